@@ -130,3 +130,220 @@ _INSIGHTS = """SELECT metric, value FROM (
 @register("business_insights", with_clean(_INSIGHTS))
 def q_business_insights(spark, sf):
     return K.business_insights(_cleaned(spark, sf))
+
+
+# ------------------------------------------------------ raw quality checks
+from quarry.operators import quality as Q  # noqa: E402
+
+
+def _top_sql(keys, name="count", table="raw_data", limit=10, having=True):
+    k = ", ".join(keys)
+    order = ", ".join(f"{x} ASC NULLS LAST" for x in keys)
+    hv = f" HAVING count(*) > 1" if having else ""
+    lim = f" LIMIT {limit}" if limit else ""
+    return f"SELECT {k}, count(*) AS {name} FROM {table} GROUP BY {k}{hv} ORDER BY {name} DESC, {order}{lim}"
+
+
+@register("qc_invalid_rows", with_raw(
+    "SELECT count(*) FILTER (WHERE order_id IS NULL OR price <= 0 OR quantity <= 0 OR event_type IS NULL "
+    "OR product_name IS NULL OR city IS NULL) AS invalid_rows FROM raw_data"))
+def q_qc_invalid_rows(spark, sf):
+    return Q.qc_invalid_rows(_raw(spark, sf))
+
+
+@register("qc_null_counts", with_raw(
+    "SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}"
+                          for c in ["user_id", "product_id", "category", "payment_method", "timestamp"])
+    + " FROM raw_data"))
+def q_qc_null_counts(spark, sf):
+    return Q.qc_null_counts(_raw(spark, sf))
+
+
+@register("qc_duplicate_orders", with_raw(_top_sql(["order_id"])))
+def q_qc_duplicate_orders(spark, sf):
+    return Q.qc_duplicate_orders(_raw(spark, sf))
+
+
+@register("qc_order_lookup", with_raw(
+    "SELECT order_id, product_id, product_name, price, quantity FROM raw_data WHERE order_id = 2363 "
+    "ORDER BY id LIMIT 10"))
+def q_qc_order_lookup(spark, sf):
+    return Q.qc_order_lookup(_raw(spark, sf), 2363)
+
+
+@register("qc_true_duplicates", with_raw(_top_sql(["order_id", "product_id", "price", "quantity"])))
+def q_qc_true_duplicates(spark, sf):
+    return Q.qc_true_duplicates(_raw(spark, sf))
+
+
+@register("qc_true_duplicates_ts", with_raw(
+    _top_sql(["order_id", "product_id", "price", "quantity", "timestamp"])))
+def q_qc_true_duplicates_ts(spark, sf):
+    return Q.qc_true_duplicates_ts(_raw(spark, sf))
+
+
+@register("qc_event_type_dist", with_raw(_top_sql(["event_type"], limit=None, having=False)))
+def q_qc_event_type_dist(spark, sf):
+    return Q.qc_event_type_dist(_raw(spark, sf))
+
+
+@register("qc_ranges", with_raw(
+    "SELECT min(price) AS min_price, max(price) AS max_price, min(quantity) AS min_quantity, "
+    "max(quantity) AS max_quantity FROM raw_data"))
+def q_qc_ranges(spark, sf):
+    return Q.qc_ranges(_raw(spark, sf))
+
+
+@register("qc_category_dist", with_raw(_top_sql(["category"], limit=None, having=False)))
+def q_qc_category_dist(spark, sf):
+    return Q.qc_category_dist(_raw(spark, sf))
+
+
+@register("qc_timestamp_length", with_raw(
+    "SELECT timestamp, CAST(length(timestamp) AS INT) AS length FROM raw_data ORDER BY id LIMIT 10"))
+def q_qc_timestamp_length(spark, sf):
+    return Q.qc_timestamp_length(_raw(spark, sf))
+
+
+@register("qc_invalid_timestamps", with_raw(
+    "SELECT count(*) FILTER (WHERE timestamp IS NULL OR length(timestamp) < 10 OR timestamp = '') "
+    "AS invalid_timestamps FROM raw_data"))
+def q_qc_invalid_timestamps(spark, sf):
+    return Q.qc_invalid_timestamps(_raw(spark, sf))
+
+
+@register("qc_timestamp_text_range", with_raw(
+    "SELECT min(timestamp) AS oldest, max(timestamp) AS newest FROM raw_data"))
+def q_qc_timestamp_text_range(spark, sf):
+    return Q.qc_timestamp_text_range(_raw(spark, sf))
+
+
+@register("qc_timestamp_out_of_year", with_raw(
+    "SELECT count(*) FILTER (WHERE timestamp < '2026-01-01' OR timestamp > '2026-12-31') AS out_of_range "
+    "FROM raw_data"))
+def q_qc_timestamp_out_of_year(spark, sf):
+    return Q.qc_timestamp_out_of_year(_raw(spark, sf))
+
+
+@register("qc_timestamp_formats", with_raw(
+    "SELECT count(*) FILTER (WHERE timestamp LIKE '%T%') AS iso_format, "
+    "count(*) FILTER (WHERE timestamp LIKE '% %') AS normal_format, "
+    "count(*) FILTER (WHERE timestamp NOT LIKE '%T%' AND timestamp NOT LIKE '% %') AS unknown_format "
+    "FROM raw_data"))
+def q_qc_timestamp_formats(spark, sf):
+    return Q.qc_timestamp_formats(_raw(spark, sf))
+
+
+@register("qc_city_dist", with_raw(_top_sql(["city"], limit=None, having=False)))
+def q_qc_city_dist(spark, sf):
+    return Q.qc_city_dist(_raw(spark, sf))
+
+
+@register("qc_payment_dist", with_raw(_top_sql(["payment_method"], limit=None, having=False)))
+def q_qc_payment_dist(spark, sf):
+    return Q.qc_payment_dist(_raw(spark, sf))
+
+
+@register("qc_table_counts", with_clean(
+    "SELECT r.raw_rows, c.cleaned_rows, CASE WHEN r.raw_rows > 0 THEN round(c.cleaned_rows * 100.0 / r.raw_rows, 2) "
+    "END AS retention_pct FROM (SELECT count(*) AS raw_rows FROM raw_data) r, "
+    "(SELECT count(*) AS cleaned_rows FROM cleaned_data) c"))
+def q_qc_table_counts(spark, sf):
+    raw = _raw(spark, sf)
+    return Q.qc_table_counts(raw, CL.clean_events(raw))
+
+
+# --------------------------------------------------- cleaned-table profile
+@register("clean_city_dist", with_clean(_top_sql(["city"], "total_orders", "cleaned_data", None, False)))
+def q_clean_city_dist(spark, sf):
+    return Q.clean_city_dist(_cleaned(spark, sf))
+
+
+@register("clean_payment_dist", with_clean(
+    _top_sql(["payment_method"], "total_orders", "cleaned_data", None, False)))
+def q_clean_payment_dist(spark, sf):
+    return Q.clean_payment_dist(_cleaned(spark, sf))
+
+
+@register("clean_true_duplicates", with_clean(
+    _top_sql(["order_id", "product_id", "price", "quantity", "event_timestamp"], "count", "cleaned_data")))
+def q_clean_true_duplicates(spark, sf):
+    return Q.clean_true_duplicates(_cleaned(spark, sf))
+
+
+@register("clean_event_type_dist", with_clean(
+    _top_sql(["event_type"], "total_events", "cleaned_data", None, False)))
+def q_clean_event_type_dist(spark, sf):
+    return Q.clean_event_type_dist(_cleaned(spark, sf))
+
+
+@register("clean_revenue_stats", with_clean(
+    "SELECT min(revenue) AS min_revenue, max(revenue) AS max_revenue, round(avg(revenue), 4) AS avg_revenue "
+    "FROM cleaned_data"))
+def q_clean_revenue_stats(spark, sf):
+    return Q.clean_revenue_stats(_cleaned(spark, sf))
+
+
+@register("clean_timestamp_range", with_clean(
+    "SELECT min(event_timestamp) AS oldest_timestamp, max(event_timestamp) AS latest_timestamp FROM cleaned_data"))
+def q_clean_timestamp_range(spark, sf):
+    return Q.clean_timestamp_range(_cleaned(spark, sf))
+
+
+_CLEAN_ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in
+                         ["order_id", "user_id", "product_id", "product_name", "category", "price", "quantity",
+                          "event_type", "event_timestamp", "payment_method", "city", "revenue"])
+
+
+@register("preview_cleaned", with_clean(f"SELECT * FROM cleaned_data ORDER BY {_CLEAN_ORDER} LIMIT 20"))
+def q_preview_cleaned(spark, sf):
+    return Q.preview(_cleaned(spark, sf), 20)
+
+
+@register("preview_raw", with_raw("SELECT * FROM raw_data ORDER BY id LIMIT 5"))
+def q_preview_raw(spark, sf):
+    return Q.preview(_raw(spark, sf), 5, order_by="id")
+
+
+@register("row_count_raw", with_raw("SELECT count(*) AS row_count FROM raw_data"))
+def q_row_count_raw(spark, sf):
+    return Q.row_count(_raw(spark, sf))
+
+
+@register("row_count_cleaned", with_clean("SELECT count(*) AS row_count FROM cleaned_data"))
+def q_row_count_cleaned(spark, sf):
+    return Q.row_count(_cleaned(spark, sf))
+
+
+@register("scan_raw", with_raw("SELECT * FROM raw_data"))
+def q_scan_raw(spark, sf):
+    return _raw(spark, sf)
+
+
+# ------------------------------------------------------- notebook profile
+@register("profile_schema")
+def q_profile_schema(spark, sf):
+    return Q.profile_schema(_raw(spark, sf))
+
+
+@register("profile_raw", with_raw(
+    "SELECT count(*) AS total_rows, count(*) FILTER (WHERE order_id IS NULL) AS null_order_id, "
+    "count(*) FILTER (WHERE price IS NULL) AS null_price, count(*) FILTER (WHERE quantity IS NULL) AS null_quantity, "
+    "count(*) FILTER (WHERE city IS NULL) AS null_city, count(*) FILTER (WHERE payment_method IS NULL) AS null_payment, "
+    "count(*) FILTER (WHERE price < 0) AS price_negative, count(*) FILTER (WHERE price = 0) AS price_zero, "
+    "count(*) FILTER (WHERE price > 80000) AS price_over_max, count(*) FILTER (WHERE quantity = 0) AS quantity_zero, "
+    "count(*) FILTER (WHERE quantity > 3) AS quantity_over_3 FROM raw_data"))
+def q_profile_raw(spark, sf):
+    return Q.profile_raw(_raw(spark, sf))
+
+
+@register("profile_event_type_counts", with_raw(
+    "SELECT event_type, count(*) AS count FROM raw_data WHERE event_type IS NOT NULL GROUP BY event_type"))
+def q_profile_event_type_counts(spark, sf):
+    return Q.value_counts(_raw(spark, sf), "event_type")
+
+
+@register("profile_city_counts", with_raw(
+    "SELECT city, count(*) AS count FROM raw_data WHERE city IS NOT NULL GROUP BY city"))
+def q_profile_city_counts(spark, sf):
+    return Q.value_counts(_raw(spark, sf), "city")
