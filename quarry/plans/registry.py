@@ -32,4 +32,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from quarry.plans import queries_batch  # noqa: F401
+    from quarry.plans import queries_anomaly, queries_batch  # noqa: F401
