@@ -6,13 +6,16 @@ each categorical text by its rank among the sorted distinct values.
 
 The code dictionary for all encoded columns is built in ONE pass over the
 input: (column, value) pairs are exploded from each row, de-duplicated with a
-map-side partial aggregate, and ranked per column.  Its size is counted before
-it is broadcast; past ``broadcast_limit`` entries the codes are joined with a
-regular shuffle join instead.
+map-side partial aggregate, and ranked per column.  Its size is checked
+before use: a small dictionary (the normal case for categorical columns) is
+inlined as a literal map evaluated inside the scan stage, a larger one is
+broadcast, and past ``broadcast_limit`` entries it is joined with a shuffle
+join.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from quarry.functions import columns as C
 ENCODED = [("category_clean", "category_encoded"), ("city_clean", "city_encoded"),
            ("event_type_clean", "event_type_encoded"), ("payment_clean", "payment_encoded")]
 BROADCAST_LIMIT = 1_000_000
+INLINE_LIMIT = 10_000
 
 
 def prepare_features(raw: DataFrame, price_dtype: str | None = None) -> DataFrame:
@@ -42,33 +46,87 @@ def prepare_features(raw: DataFrame, price_dtype: str | None = None) -> DataFram
     )
 
 
-def encoding_map(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value, code)``: per column, sorted distinct values -> 0..n-1."""
+def encoding_map(df: DataFrame, columns: list[str], with_counts: bool = False) -> DataFrame:
+    """``(column, value, code[, n])``: per column, sorted distinct values ->
+    0..n-1 (and each value's row count)."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                       for c in columns])
-    distinct = df.select(F.inline(pairs)).distinct()
+    exploded = df.select(F.inline(pairs))
+    if with_counts:
+        distinct = exploded.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        distinct = exploded.distinct()
     w = Window.partitionBy("column").orderBy("value")
-    return distinct.select("column", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    return distinct.select("*", (F.row_number().over(w) - 1).cast("int").alias("code"))
+
+
+def _lookup_encode(df: DataFrame, pairs, rows) -> DataFrame:
+    """Dictionary small enough to inline: a literal map lookup per column,
+    evaluated inside the scan stage (no join, no exchange)."""
+    by_col: dict[str, list] = {}
+    for r in rows:
+        by_col.setdefault(r["column"], []).append(r)
+    exprs = []
+    for in_col, out_col in pairs:
+        kv = []
+        for r in sorted(by_col.get(in_col, []), key=lambda r: r["code"]):
+            if r["value"] is not None:
+                kv += [F.lit(r["value"]), F.lit(r["code"])]
+        lookup = F.create_map(*kv) if kv else F.create_map().cast("map<string,int>")
+        exprs.append(F.element_at(lookup, F.col(in_col).cast("string")).cast("int").alias(out_col))
+    return df.select("*", *exprs)
 
 
 def label_encode(df: DataFrame, pairs=ENCODED, codes: DataFrame | None = None,
-                 broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Join each ``in_col`` to its code as ``out_col``."""
+                 broadcast_limit: int = BROADCAST_LIMIT, inline_limit: int = INLINE_LIMIT) -> DataFrame:
+    """Replace each ``in_col`` by its code as ``out_col``.
+
+    The dictionary's size is counted first: up to ``inline_limit`` entries it
+    is inlined as a literal map; up to ``broadcast_limit`` it is broadcast;
+    beyond that it is joined with a shuffle join.
+    """
     in_cols = [a for a, _ in pairs]
     if codes is None:
-        codes = encoding_map(df, in_cols).persist()
-    small = codes.count() <= broadcast_limit
+        codes = encoding_map(df, in_cols)
+    size = codes.count()
+    if size <= inline_limit:
+        return _lookup_encode(df, pairs, codes.select("column", "value", "code").collect())
     out = df
     for in_col, out_col in pairs:
         m = codes.where(F.col("column") == in_col).select(
             F.col("value").alias(in_col), F.col("code").alias(out_col))
-        out = out.join(F.broadcast(m) if small else m, on=in_col, how="left")
+        out = out.join(F.broadcast(m) if size <= broadcast_limit else m, on=in_col, how="left")
     return out
 
 
-def build_features(raw: DataFrame, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+def build_features(raw: DataFrame, broadcast_limit: int = BROADCAST_LIMIT,
+                   inline_limit: int = INLINE_LIMIT) -> DataFrame:
     """Raw rows + the 7 model features (other raw columns are kept)."""
-    return label_encode(prepare_features(raw), broadcast_limit=broadcast_limit)
+    return label_encode(prepare_features(raw), broadcast_limit=broadcast_limit, inline_limit=inline_limit)
+
+
+def build_features_counted(raw: DataFrame, inline_limit: int = INLINE_LIMIT,
+                           broadcast_limit: int = BROADCAST_LIMIT,
+                           persist: bool = False) -> tuple[DataFrame, int]:
+    """``build_features`` plus the row count, both from one dictionary pass
+    (the counts of one encoded column's values add up to the row count).
+    At most ``inline_limit + 1`` dictionary rows are ever collected.
+
+    With ``persist`` the prepared rows are cached (spread over the cluster's
+    cores first if the input came in fewer splits) so that the dictionary
+    pass and every later pass over the features read the cache, not raw."""
+    prepared = prepare_features(raw)
+    if persist:
+        from quarry.session import ensure_parallelism
+        prepared = ensure_parallelism(prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    codes = encoding_map(prepared, [a for a, _ in ENCODED], with_counts=True).persist()
+    rows = codes.limit(inline_limit + 1).collect()
+    if len(rows) <= inline_limit:
+        codes.unpersist()
+        n = sum(r["n"] for r in rows if r["column"] == ENCODED[0][0])
+        return _lookup_encode(prepared, ENCODED, rows), n
+    n = codes.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0
+    return label_encode(prepared, codes=codes, broadcast_limit=broadcast_limit, inline_limit=0), n
 
 
 def describe_features(features: DataFrame, cols=S.FEATURE_COLS) -> DataFrame:

@@ -59,3 +59,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "quarry-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a frame over at least ``min_partitions`` (default: the
+    cluster's default parallelism) when its input produced fewer splits, so
+    an expensive stage is not serialised on a few cores.  A no-op whenever
+    the input is already split finer, which is always the case at scale."""
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. remote sessions): leave as is
+        return df
+    return df.repartition(target) if current < target else df
