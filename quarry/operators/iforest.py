@@ -190,11 +190,12 @@ def label_by_threshold(scored: DataFrame, threshold: float, col: str = "isolatio
 
 def fit_predict(features: DataFrame, contamination: float = S.CONTAMINATION, n_trees: int = S.N_TREES,
                 max_samples: int = S.MAX_SAMPLES, seed: int = S.SEED, feature_cols=S.FEATURE_COLS,
-                id_col: str = "id", checkpoint: bool = True) -> tuple[DataFrame, IsolationForestModel, float]:
+                id_col: str = "id", checkpoint: bool = True,
+                n_rows: int | None = None) -> tuple[DataFrame, IsolationForestModel, float]:
     """Train, score every row, threshold, label.  The scored frame is
     checkpointed (lineage cut, survives executor loss) before the threshold
     pass and the labelling pass read it."""
-    model = train_isolation_forest(features, feature_cols, id_col, n_trees, max_samples, seed)
+    model = train_isolation_forest(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows)
     scored = model.score(features)
     scored = scored.checkpoint(eager=True) if checkpoint else scored
     thr = threshold_for(scored, contamination)
