@@ -49,12 +49,18 @@ def flag_exprs(as_of: str | Column | None = None) -> dict[str, Column]:
     }
 
 
-FLAGS = list(flag_exprs("2000-01-01").keys())
+# flag names in report order (kept as plain text so importing needs no session)
+FLAGS = ["negative_price", "zero_price", "price_outlier", "missing_price", "bot_traffic", "retried_order",
+         "quantity_outlier", "uuid_user", "missing_payment", "missing_order_id", "missing_product_id",
+         "missing_product_name", "missing_category", "missing_quantity", "noncanonical_event_type",
+         "noncanonical_city", "timestamp_missing", "timestamp_epoch", "timestamp_day_first", "timestamp_future"]
 
 
 def corruption_flags(raw: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Raw rows plus one boolean per defect (null-safe: never null)."""
-    return raw.select("*", *[F.coalesce(e, F.lit(False)).alias(f"f_{k}") for k, e in flag_exprs(as_of).items()])
+    exprs = flag_exprs(as_of)
+    assert list(exprs) == FLAGS
+    return raw.select("*", *[F.coalesce(exprs[k], F.lit(False)).alias(f"f_{k}") for k in FLAGS])
 
 
 def _long(one_row: DataFrame, per_flag: dict[str, list[str]]) -> DataFrame:
