@@ -20,7 +20,7 @@ from quarry.operators import features as FE  # noqa: E402
 from quarry.operators import iforest as IF  # noqa: E402
 from quarry.operators import kpi as K  # noqa: E402
 from quarry.plans import jobs as J  # noqa: E402
-from quarry.session import build_session, scratch_path  # noqa: E402
+from quarry.session import build_session, materialize, scratch_path  # noqa: E402
 from quarry.sources import tables as TB  # noqa: E402
 from quarry.sources.fixture import raw_data  # noqa: E402
 
@@ -48,13 +48,13 @@ def main() -> None:
         K.business_insights(TB.scan(spark, cleaned_path)).collect()
 
     def forest_train():
-        feats, n = FE.build_features_counted(raw_data(spark, sf_dir), persist=True)
+        feats, n = FE.build_features_counted(raw_data(spark, sf_dir), persist="auto")
         model = IF.train_isolation_forest(feats, n_rows=n)
         state.update(feats=feats, model=model, arrays=model.node_arrays())
 
     def forest_score():
         feats, model = state["feats"], state["model"]
-        scored = model.score(feats).checkpoint(eager=True)
+        scored = materialize(model.score(feats), "bench-scored")
         thr = IF.threshold_for(scored)
         _noop(IF.label_by_threshold(scored, thr))
         feats.unpersist()

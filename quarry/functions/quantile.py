@@ -21,6 +21,14 @@ BUCKETS = 4096
 COLLECT_LIMIT = 50_000
 
 
+def _spark_percentiles(df: DataFrame, cols, probs) -> dict:
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"q{i}")
+                   for i, c in enumerate(cols)]).first()
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
+            for i, c in enumerate(cols)}
+
+
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
     pos = p * (n - 1)
     lo = math.floor(pos)
@@ -28,20 +36,21 @@ def _ranks(n: int, p: float) -> tuple[int, int, float]:
 
 
 def exact_percentiles(df: DataFrame, cols, probs, small_n: int = SMALL_N,
-                      buckets: int = BUCKETS, collect_limit: int = COLLECT_LIMIT) -> dict:
-    """``{col: [value per prob]}``; nulls ignored; None for an all-null column."""
+                      buckets: int = BUCKETS, collect_limit: int = COLLECT_LIMIT,
+                      max_rows: int | None = None) -> dict:
+    """``{col: [value per prob]}``; nulls ignored; None for an all-null column.
+    ``max_rows`` (an upper bound on the row count, when the caller knows it)
+    lets a small input go straight to Spark's exact ``percentile``."""
     cols = list(cols)
     probs = list(probs)
+    if max_rows is not None and max_rows <= small_n:
+        return _spark_percentiles(df, cols, probs)
     stats = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
                    *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(cols)],
                    *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(cols)]).first()
     ns = [stats[f"n{i}"] for i in range(len(cols))]
     if max(ns, default=0) <= small_n:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"q{i}")
-                       for i, c in enumerate(cols)]).first()
-        return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
-                for i, c in enumerate(cols)}
+        return _spark_percentiles(df, cols, probs)
 
     # targets: (col index, rank k) for every rank the interpolation needs
     targets = {}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.functions.sampling import smallest_by_hash
 from quarry.operators.quality import group_counts
 
 LABELS = [S.LABEL_NORMAL, S.LABEL_ANOMALY]
@@ -71,18 +72,24 @@ def price_histogram(labelled: DataFrame, bins: int = 50, lo: float = 0.0, hi: fl
             .orderBy("anomaly_label", "bin"))
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = S.SEED, id_col: str = "id") -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = S.SEED, id_col: str = "id",
+                n_rows: int | None = None) -> DataFrame:
     """A fixed-seed sample of min(n, N) rows: the n smallest
-    ``xxhash64(id, seed)`` (per-partition top-n, bounded merge)."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", id_col).limit(n).drop("_h")
+    ``xxhash64(id, seed)`` (hash-threshold filter, then a bounded top-n)."""
+    return smallest_by_hash(df, n, seed, id_col, n_rows=n_rows)
 
 
 def stratified_sample(labelled: DataFrame, n_per_label: int = 5000, seed: int = S.SEED,
                       id_col: str = "id", labels=LABELS) -> DataFrame:
-    """Up to ``n_per_label`` rows per label, each a bounded top-n by hash."""
-    parts = [sample_rows(labelled.where(F.col("anomaly_label") == lab), n_per_label, seed, id_col)
-             for lab in labels]
+    """Up to ``n_per_label`` rows per label, each a bounded top-n by hash.
+    Label sizes come from one small aggregate."""
+    sizes = {r["anomaly_label"]: r["n"] for r in
+             labelled.groupBy("anomaly_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [sample_rows(labelled.where(F.col("anomaly_label") == lab), n_per_label, seed, id_col,
+                         n_rows=sizes.get(lab, 0))
+             for lab in labels if sizes.get(lab, 0) > 0]
+    if not parts:
+        return labelled.limit(0)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

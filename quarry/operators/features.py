@@ -105,27 +105,33 @@ def build_features(raw: DataFrame, broadcast_limit: int = BROADCAST_LIMIT,
     return label_encode(prepare_features(raw), broadcast_limit=broadcast_limit, inline_limit=inline_limit)
 
 
+CACHE_ROWS_LIMIT = 50_000_000
+
+
 def build_features_counted(raw: DataFrame, inline_limit: int = INLINE_LIMIT,
-                           broadcast_limit: int = BROADCAST_LIMIT,
-                           persist: bool = False) -> tuple[DataFrame, int]:
+                           broadcast_limit: int = BROADCAST_LIMIT, persist="auto",
+                           cache_rows_limit: int = CACHE_ROWS_LIMIT) -> tuple[DataFrame, int]:
     """``build_features`` plus the row count, both from one dictionary pass
     (the counts of one encoded column's values add up to the row count).
     At most ``inline_limit + 1`` dictionary rows are ever collected.
 
-    With ``persist`` the prepared rows are cached (spread over the cluster's
-    cores first if the input came in fewer splits) so that the dictionary
-    pass and every later pass over the features read the cache, not raw."""
+    ``persist``: True caches the prepared rows for the later passes (spread
+    over the cluster's cores first if the input came in fewer splits);
+    ``"auto"`` does so only when N <= ``cache_rows_limit`` -- a table far
+    larger than cluster memory is re-read from its columnar source instead."""
     prepared = prepare_features(raw)
-    if persist:
-        from quarry.session import ensure_parallelism
-        prepared = ensure_parallelism(prepared).persist(StorageLevel.MEMORY_AND_DISK)
     codes = encoding_map(prepared, [a for a, _ in ENCODED], with_counts=True).persist()
     rows = codes.limit(inline_limit + 1).collect()
     if len(rows) <= inline_limit:
-        codes.unpersist()
         n = sum(r["n"] for r in rows if r["column"] == ENCODED[0][0])
+    else:
+        n = codes.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0
+    if persist is True or (persist == "auto" and n <= cache_rows_limit):
+        from quarry.session import ensure_parallelism
+        prepared = ensure_parallelism(prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    if len(rows) <= inline_limit:
+        codes.unpersist()
         return _lookup_encode(prepared, ENCODED, rows), n
-    n = codes.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0
     return label_encode(prepared, codes=codes, broadcast_limit=broadcast_limit, inline_limit=0), n
 
 

@@ -2,8 +2,9 @@
 
 1. Sample.  Every tree needs psi = min(max_samples, N) rows.  A pool of the
    m = min(N, n_trees * psi) rows with the smallest ``xxhash64(id, seed)`` is
-   taken with ``orderBy().limit()`` (per-partition top-m, bounded merge: the
-   pool never exceeds n_trees * psi rows whatever N is).  Pool rank r goes to
+   taken by a hash-threshold filter plus top-m (functions.sampling): the merge
+   sees about 4m rows and the pool never exceeds n_trees * psi rows, whatever
+   N is.  Pool rank r goes to
    every tree t with ``(r - t*psi) mod m < psi``: disjoint blocks when N is
    large, overlapping windows of a random order when it is small.  Only the
    pool is replicated, never the input.
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from quarry import schemas as S
+from quarry.session import materialize
 from quarry.functions.quantile import exact_percentile
+from quarry.functions.sampling import smallest_by_hash
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left_child int, right_child int, "
                "size int, depth int")
@@ -58,10 +61,8 @@ def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: s
         raise ValueError("cannot train an isolation forest on zero rows")
     psi = min(max_samples, n)
     m = min(n, n_trees * psi)
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
-    pool = (features.select(F.col(id_col).alias("id"), *[F.col(c).cast("double").alias(c) for c in feature_cols],
-                            h.alias("_h"))
-            .orderBy("_h", "id").limit(m))
+    cols = [F.col(id_col).alias("id")] + [F.col(c).cast("double").alias(c) for c in feature_cols]
+    pool = smallest_by_hash(features.select(*cols), m, seed, "id", n_rows=n, keep_hash="_h")
     # the pool holds at most n_trees * psi rows: ranking it in one partition is bounded
     ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_h", "id")) - 1)
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
@@ -178,8 +179,8 @@ def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_
 
 
 def threshold_for(scored: DataFrame, contamination: float = S.CONTAMINATION,
-                  col: str = "isolation_score") -> float:
-    return exact_percentile(scored, col, contamination)
+                  col: str = "isolation_score", n_rows: int | None = None) -> float:
+    return exact_percentile(scored, col, contamination, max_rows=n_rows)
 
 
 def label_by_threshold(scored: DataFrame, threshold: float, col: str = "isolation_score") -> DataFrame:
@@ -192,11 +193,13 @@ def fit_predict(features: DataFrame, contamination: float = S.CONTAMINATION, n_t
                 max_samples: int = S.MAX_SAMPLES, seed: int = S.SEED, feature_cols=S.FEATURE_COLS,
                 id_col: str = "id", checkpoint: bool = True,
                 n_rows: int | None = None) -> tuple[DataFrame, IsolationForestModel, float]:
-    """Train, score every row, threshold, label.  The scored frame is
-    checkpointed (lineage cut, survives executor loss) before the threshold
-    pass and the labelling pass read it."""
+    """Train, score every row, threshold, label.  With ``checkpoint`` the
+    scored rows are written once as a parquet table in the shared checkpoint
+    folder (lineage cut, survives executor loss); the threshold pass then
+    reads only the score column and the labelling pass reads the table."""
     model = train_isolation_forest(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows)
     scored = model.score(features)
-    scored = scored.checkpoint(eager=True) if checkpoint else scored
-    thr = threshold_for(scored, contamination)
+    if checkpoint:
+        scored = materialize(scored, "scored")
+    thr = threshold_for(scored, contamination, n_rows=n_rows)
     return label_by_threshold(scored, thr), model, thr

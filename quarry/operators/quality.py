@@ -121,9 +121,11 @@ def qc_table_counts(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     scalar subquery, so both counts are one-row aggregates and nothing is
     joined."""
     n_clean = cleaned.select(_cnt()).scalar()
-    return raw.agg(_cnt().alias("raw_rows")).select(
-        "raw_rows", n_clean.alias("cleaned_rows"),
-        F.when(F.col("raw_rows") > 0, F.round(n_clean * 100.0 / F.col("raw_rows"), 2)).alias("retention_pct"))
+    counts = raw.agg(_cnt().alias("raw_rows")).select("raw_rows", n_clean.alias("cleaned_rows"))
+    return counts.select(
+        "raw_rows", "cleaned_rows",
+        F.when(F.col("raw_rows") > 0, F.round(F.col("cleaned_rows") * 100.0 / F.col("raw_rows"), 2))
+        .alias("retention_pct"))
 
 
 # ------------------------------------------------------- cleaned profile

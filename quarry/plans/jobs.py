@@ -20,6 +20,7 @@ from quarry.operators import clean as CL
 from quarry.operators import features as FE
 from quarry.operators import iforest as IF
 from quarry.operators import kpi as K
+from quarry.session import materialize
 from quarry.sources import tables as TB
 
 
@@ -42,11 +43,11 @@ def run_anomaly_detection(spark: SparkSession, raw: DataFrame, out_dir: str,
                           cfg: JobConfig | None = None) -> dict:
     """raw -> features -> forest -> labels -> alert -> reasons -> anomaly_data."""
     cfg = cfg or JobConfig()
-    feats, n = FE.build_features_counted(raw, persist=True)
+    feats, n = FE.build_features_counted(raw, persist="auto")
     model = IF.train_isolation_forest(feats, n_trees=cfg.n_trees, max_samples=cfg.max_samples,
                                       seed=cfg.seed, n_rows=n)
-    scored = model.score(feats).checkpoint(eager=True)   # lineage cut; survives executor loss
-    thr = IF.threshold_for(scored, cfg.contamination)
+    scored = materialize(model.score(feats), "scored")   # lineage cut; later passes read columns
+    thr = IF.threshold_for(scored, cfg.contamination, n_rows=n)
     labelled = IF.label_by_threshold(scored, thr)
     summary = A.anomaly_summary(labelled).first()
     alert = A.anomaly_rate_alert(

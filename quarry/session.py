@@ -73,3 +73,12 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     except Exception:  # no RDD access (e.g. remote sessions): leave as is
         return df
     return df.repartition(target) if current < target else df
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and return a scan of it: cuts the lineage (a lost executor costs a re-read,
+    not a recompute) and later passes read only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
