@@ -16,7 +16,7 @@ join.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
@@ -46,18 +46,57 @@ def prepare_features(raw: DataFrame, price_dtype: str | None = None) -> DataFram
     )
 
 
+def value_dictionary(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, value, n)``: distinct values per column with their row
+    counts, from one pass (map-side partial aggregation)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for c in columns])
+    return df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def assign_codes(dictionary: DataFrame) -> DataFrame:
+    """Add ``code``: each value's 0-based rank within its column, computed
+    distributed (no task holds a whole column's values).
+
+    A range-partitioned sort puts every partition's rows in global order;
+    the partition sizes (one small aggregate, one row per partition) give each
+    partition's starting rank; subtracting each column's first rank restarts
+    the count per column.
+    """
+    ordered = dictionary.orderBy("column", "value")
+    pid = F.spark_partition_id()
+    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    ranked = ordered.select("*", pid.alias("_pid"), pos.alias("_pos")).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = sorted((r["_pid"], r["c"]) for r in ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
+    start, kv = 0, []
+    for p, c in sizes:
+        kv += [F.lit(p), F.lit(start)]
+        start += c
+    offsets = F.create_map(*kv) if kv else F.create_map().cast("map<int,bigint>")
+    glob = ranked.select("*", (F.element_at(offsets, F.col("_pid")) + F.col("_pos")).alias("_g"))
+    first = glob.groupBy("column").agg(F.min("_g").alias("_first"))   # one row per encoded column
+    return (glob.join(F.broadcast(first), "column")
+            .select(*[c for c in dictionary.columns], (F.col("_g") - F.col("_first")).cast("int").alias("code")))
+
+
+def _local_codes(rows) -> list[dict]:
+    """Codes for a small collected dictionary: sorted per column (Python's
+    code-point order equals Spark's binary UTF-8 string order)."""
+    by_col: dict[str, list] = {}
+    for r in rows:
+        by_col.setdefault(r["column"], []).append(r)
+    out = []
+    for col, rs in by_col.items():
+        for code, r in enumerate(sorted(rs, key=lambda r: (r["value"] is not None, r["value"] or ""))):
+            out.append({"column": col, "value": r["value"], "n": r["n"], "code": code})
+    return out
+
+
 def encoding_map(df: DataFrame, columns: list[str], with_counts: bool = False) -> DataFrame:
     """``(column, value, code[, n])``: per column, sorted distinct values ->
     0..n-1 (and each value's row count)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
-                      for c in columns])
-    exploded = df.select(F.inline(pairs))
-    if with_counts:
-        distinct = exploded.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        distinct = exploded.distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.select("*", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    codes = assign_codes(value_dictionary(df, columns))
+    return codes if with_counts else codes.drop("n")
 
 
 def _lookup_encode(df: DataFrame, pairs, rows) -> DataFrame:
@@ -77,28 +116,42 @@ def _lookup_encode(df: DataFrame, pairs, rows) -> DataFrame:
     return df.select("*", *exprs)
 
 
-def label_encode(df: DataFrame, pairs=ENCODED, codes: DataFrame | None = None,
-                 broadcast_limit: int = BROADCAST_LIMIT, inline_limit: int = INLINE_LIMIT) -> DataFrame:
-    """Replace each ``in_col`` by its code as ``out_col``.
-
-    The dictionary's size is counted first: up to ``inline_limit`` entries it
-    is inlined as a literal map; up to ``broadcast_limit`` it is broadcast;
-    beyond that it is joined with a shuffle join.
-    """
-    in_cols = [a for a, _ in pairs]
-    if codes is None:
-        codes = encoding_map(df, in_cols)
-    size = codes.count()
-    if size <= inline_limit:
-        return _lookup_encode(df, pairs, codes.select("column", "value", "code").collect())
+def _join_encode(df: DataFrame, pairs, codes: DataFrame, broadcast: bool) -> DataFrame:
     out = df
     for in_col, out_col in pairs:
         m = codes.where(F.col("column") == in_col).select(
             F.col("value").alias(in_col), F.col("code").alias(out_col))
-        out = out.join(F.broadcast(m) if size <= broadcast_limit else m, on=in_col, how="left")
+        out = out.join(F.broadcast(m) if broadcast else m, on=in_col, how="left")
     return out
 
 
+def _encode_with(prepared: DataFrame, pairs, dictionary: DataFrame, inline_limit: int,
+                 broadcast_limit: int) -> tuple[DataFrame, int]:
+    """Encode using a persisted value dictionary whose size is checked first;
+    returns the encoded frame and the dictionary's row count for column 1."""
+    first_col = pairs[0][0]
+    rows = dictionary.limit(inline_limit + 1).collect()
+    if len(rows) <= inline_limit:
+        dictionary.unpersist()
+        n = sum(r["n"] for r in rows if r["column"] == first_col)
+        return _lookup_encode(prepared, pairs, _local_codes(rows)), n
+    n = dictionary.where(F.col("column") == first_col).agg(F.sum("n")).first()[0] or 0
+    size = dictionary.count()
+    return _join_encode(prepared, pairs, assign_codes(dictionary), size <= broadcast_limit), n
+
+
+def label_encode(df: DataFrame, pairs=ENCODED, broadcast_limit: int = BROADCAST_LIMIT,
+                 inline_limit: int = INLINE_LIMIT) -> DataFrame:
+    """Replace each ``in_col`` by its code as ``out_col``.
+
+    The dictionary's size is checked first: up to ``inline_limit`` entries it
+    is inlined as a literal map; up to ``broadcast_limit`` it is broadcast;
+    beyond that it is joined with a shuffle join.
+    """
+    d = value_dictionary(df, [a for a, _ in pairs]).persist()
+    return _encode_with(df, pairs, d, inline_limit, broadcast_limit)[0]
+
+
 def build_features(raw: DataFrame, broadcast_limit: int = BROADCAST_LIMIT,
                    inline_limit: int = INLINE_LIMIT) -> DataFrame:
     """Raw rows + the 7 model features (other raw columns are kept)."""
@@ -120,19 +173,14 @@ def build_features_counted(raw: DataFrame, inline_limit: int = INLINE_LIMIT,
     ``"auto"`` does so only when N <= ``cache_rows_limit`` -- a table far
     larger than cluster memory is re-read from its columnar source instead."""
     prepared = prepare_features(raw)
-    codes = encoding_map(prepared, [a for a, _ in ENCODED], with_counts=True).persist()
-    rows = codes.limit(inline_limit + 1).collect()
-    if len(rows) <= inline_limit:
-        n = sum(r["n"] for r in rows if r["column"] == ENCODED[0][0])
-    else:
-        n = codes.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0
+    d = value_dictionary(prepared, [a for a, _ in ENCODED]).persist()
+    first = d.limit(inline_limit + 1).collect()
+    n = (sum(r["n"] for r in first if r["column"] == ENCODED[0][0]) if len(first) <= inline_limit
+         else d.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0)
     if persist is True or (persist == "auto" and n <= cache_rows_limit):
         from quarry.session import ensure_parallelism
         prepared = ensure_parallelism(prepared).persist(StorageLevel.MEMORY_AND_DISK)
-    if len(rows) <= inline_limit:
-        codes.unpersist()
-        return _lookup_encode(prepared, ENCODED, rows), n
-    return label_encode(prepared, codes=codes, broadcast_limit=broadcast_limit, inline_limit=0), n
+    return _encode_with(prepared, ENCODED, d, inline_limit, broadcast_limit)[0], n
 
 
 def describe_features(features: DataFrame, cols=S.FEATURE_COLS) -> DataFrame:

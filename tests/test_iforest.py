@@ -55,3 +55,15 @@ def test_planted_outlier_and_identical_rows(spark):
     assert {r.id for r in top} == {10**12, 10**12 + 1}
     assert top[0].isolation_score == top[1].isolation_score
     assert all(r.anomaly_label == "Anomaly" for r in top)
+
+
+def test_encoding_paths_agree(spark):
+    from quarry.operators import features as FE
+    from quarry.sources.fixture import raw_data as rd
+    prepared = FE.prepare_features(rd(spark, SF_SMALL))
+    cols = ["id"] + [b for _, b in FE.ENCODED]
+    inline = FE.label_encode(prepared).select(*cols)
+    broadcast = FE.label_encode(prepared, inline_limit=0).select(*cols)
+    shuffle = FE.label_encode(prepared, inline_limit=0, broadcast_limit=0).select(*cols)
+    assert inline.exceptAll(broadcast).count() == 0 and broadcast.exceptAll(shuffle).count() == 0
+    assert inline.count() == shuffle.count()
