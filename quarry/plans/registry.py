@@ -33,4 +33,4 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from quarry.plans import (queries_anomaly, queries_batch, queries_forest,  # noqa: F401
-                              queries_ingest, queries_views)
+                              queries_ingest, queries_rules, queries_views)
