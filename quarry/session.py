@@ -44,7 +44,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
     as is.  Only when it is unset (local tests) do we create one under /tmp.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: no context handle, use the conf
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return d
     d = sc.getCheckpointDir()
     if d:
         return d
