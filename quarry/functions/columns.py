@@ -78,18 +78,33 @@ def compute_revenue(price="price", quantity="quantity") -> Column:
 
 
 # ---------------------------------------------------------- timestamp rules
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
+DMY_SHAPE = r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}$"
+
+
+def _ntz(text: Column, shape: str, y, mo, d, h, mi, sec=None) -> Column:
+    """Zone-free timestamp from fixed-position digit fields; null when the
+    text does not have the shape or the date/time is invalid (month 13)."""
+    part = lambda pos, ln: F.substring(text, pos, ln).cast("int")
+    seconds = part(*sec).cast("decimal(8,6)") if sec else F.lit(0).cast("decimal(8,6)")
+    return F.when(text.rlike(shape), F.try_make_timestamp_ntz(
+        part(*y), part(*mo), part(*d), part(*h), part(*mi), seconds))
+
+
 def parse_event_timestamp(c="timestamp") -> Column:
     """Two accepted text formats, in order: anything containing ``T`` is read
-    as ISO from its first 19 characters; ``dd-mm-yyyy hh:mi...`` from its first
-    16.  Blank, ``NaT`` and everything else is null.  Epoch-0 and future
-    times survive.  Result is a zone-free TIMESTAMP_NTZ."""
+    as ``yyyy-MM-ddTHH:mm:ss`` from its first 19 characters; text shaped
+    ``dd-mm-yyyy hh:mi...`` as ``dd-MM-yyyy HH:mm`` from its first 16.  Blank,
+    ``NaT`` and everything else is null.  Epoch-0 and future times survive.
+    The result is a TIMESTAMP_NTZ built from the digits, so the session time
+    zone (and its DST gaps) never shifts a value."""
     col = _c(c)
-    iso = F.try_to_timestamp(F.substring(col, 1, 19), F.lit(S.ISO_FORMAT))
-    dmy = F.try_to_timestamp(F.substring(col, 1, 16), F.lit(S.DMY_FORMAT))
-    return (F.when(col.isNull() | (F.trim(col) == "") | (col == "NaT"), F.lit(None))
+    iso = _ntz(F.substring(col, 1, 19), ISO_SHAPE, (1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
+    dmy = _ntz(F.substring(col, 1, 16), DMY_SHAPE, (7, 4), (4, 2), (1, 2), (12, 2), (15, 2))
+    return (F.when(col.isNull() | (F.trim(col) == "") | (col == "NaT"), F.lit(None).cast("timestamp_ntz"))
             .when(col.like("%T%"), iso)
             .when(col.like("__-__-____ __:__%"), dmy)
-            .otherwise(F.lit(None))).cast("timestamp_ntz")
+            .otherwise(F.lit(None).cast("timestamp_ntz")))
 
 
 # ----------------------------------------------------------- ingest repairs

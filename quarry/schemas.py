@@ -29,8 +29,6 @@ N_TREES = 100
 MAX_SAMPLES = 256
 SEED = 42
 REVENUE_SIGMA = 2.0
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-DMY_FORMAT = "dd-MM-yyyy HH:mm"
 # reason texts, in the order the reference assigns them (later wins)
 R_NORMAL = "Normal"
 R_NEG_PRICE = "Negative Price"

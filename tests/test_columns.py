@@ -39,6 +39,8 @@ def test_price_half_even(spark, raw, expected):
     ("13-05-2026 17:14:59", dt.datetime(2026, 5, 13, 17, 14)),
     ("1970-01-01T00:00:00", dt.datetime(1970, 1, 1)),
     (None, None), ("", None), ("NaT", None), ("2026/05/13", None), ("45-13-2026 99:99", None),
+    ("2026-13-08T02:30:00", None), ("Tuesday", None), ("2026-02-29T00:00:00", None),
+    ("2024-02-29T23:59:59", dt.datetime(2024, 2, 29, 23, 59, 59)),
 ])
 def test_timestamp(spark, raw, expected):
     assert one(spark, C.parse_event_timestamp, raw) == expected
@@ -69,3 +71,12 @@ def test_coerce_price_never_stringifies_doubles(spark):
     assert one(spark, lambda c: C.coerce_price(c, "double"), 8.0e7, "double") == 8.0e7
     assert one(spark, lambda c: C.coerce_price(c, "string"), "700 INR", "string") == 700.0
     assert one(spark, lambda c: C.coerce_price(c, "double"), None, "double") == 0.0
+
+
+def test_timestamp_ignores_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:  # 02:30 does not exist in that zone on this day; the text must survive unchanged
+        assert one(spark, C.parse_event_timestamp, "2026-03-08T02:30:00") == dt.datetime(2026, 3, 8, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
