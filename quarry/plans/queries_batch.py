@@ -347,3 +347,11 @@ def q_profile_event_type_counts(spark, sf):
     "SELECT city, count(*) AS count FROM raw_data WHERE city IS NOT NULL GROUP BY city"))
 def q_profile_city_counts(spark, sf):
     return Q.value_counts(_raw(spark, sf), "city")
+
+
+@register("business_insights_all_rows", with_clean(_INSIGHTS.replace(
+    "(SELECT CAST(count(*) FILTER (WHERE event_type = 'purchase') AS VARCHAR) FROM cleaned_data)",
+    "(SELECT CAST(count(*) AS VARCHAR) FROM cleaned_data)")))
+def q_business_insights_all_rows(spark, sf):
+    """The notebook's table: Total Orders counts every cleaned row."""
+    return K.business_insights(_cleaned(spark, sf), "all")
