@@ -31,8 +31,9 @@ def _threshold(q: float) -> int:
 
 def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_rows: int | None = None,
                      oversample: float = 4.0, keep_hash: str | None = None) -> DataFrame:
-    """Exactly the ``min(n, N)`` rows with the smallest (hash, id), persisted
-    (at most n rows).  ``n_rows`` (N) avoids a counting pass when known."""
+    """Exactly the ``min(n, N)`` rows with the smallest (hash, id) (at most n
+    rows; persisted when a threshold filter had to be verified).  ``n_rows``
+    (N) avoids a counting pass when known."""
     h = hash_key(id_col, seed)
     if n_rows is None:
         n_rows = df.count()
@@ -40,11 +41,12 @@ def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_row
     q = oversample * n / n_rows if n_rows else 1.0
     while True:
         src = df.withColumn("_h", h)
-        if q < 1.0:
-            src = src.where(F.col("_h") < F.lit(_threshold(q)))
+        if q >= 1.0:  # no filter: the top-n is complete by construction
+            pool = src.orderBy("_h", id_col).limit(n)
+            break
+        src = src.where(F.col("_h") < F.lit(_threshold(q)))
         pool = src.orderBy("_h", id_col).limit(n).persist(StorageLevel.MEMORY_AND_DISK)
-        got = pool.count()
-        if got >= want or q >= 1.0:
+        if pool.count() >= want:
             break
         pool.unpersist()
         q = min(1.0, q * 4)
