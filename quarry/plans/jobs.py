@@ -20,7 +20,7 @@ from quarry.operators import clean as CL
 from quarry.operators import features as FE
 from quarry.operators import iforest as IF
 from quarry.operators import kpi as K
-from quarry.session import materialize
+from quarry.session import drop_scratch, materialize
 from quarry.sources import tables as TB
 
 
@@ -59,6 +59,7 @@ def run_anomaly_detection(spark: SparkSession, raw: DataFrame, out_dir: str,
     reasoned = A.assign_reason(labelled, cfg.revenue_sigma)
     TB.replace_table(A.select_anomaly_output(reasoned), table_path(out_dir, "anomaly_data"))
     feats.unpersist()
+    drop_scratch(spark, scored._quarry_scratch)  # as large as the input; anomaly_data now holds it
     return {"total_rows": summary["total_rows"], "anomalies": summary["anomaly_rows"],
             "normal": summary["normal_rows"], "anomaly_rate": summary["anomaly_rate"],
             "threshold": thr, "alert_raised": alert_raised}

@@ -87,4 +87,18 @@ def materialize(df, name: str):
     not a recompute) and later passes read only the columns they need."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._quarry_scratch = path  # lets the owner drop it when done
+    return out
+
+
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Best-effort removal of a scratch table written by ``materialize``
+    (through the cluster's Hadoop file system; skipped where unavailable)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(hpath, True))
+    except Exception:
+        return False
