@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quarry.operators import clean as CL
 from quarry.operators import kpi as K
@@ -355,3 +356,33 @@ def q_profile_city_counts(spark, sf):
 def q_business_insights_all_rows(spark, sf):
     """The notebook's table: Total Orders counts every cleaned row."""
     return K.business_insights(_cleaned(spark, sf), "all")
+
+
+@register("preview", with_clean(f"SELECT * FROM cleaned_data ORDER BY {_CLEAN_ORDER} LIMIT 20"))
+def q_preview(spark, sf):
+    """``SELECT * ... LIMIT 20`` of the cleaned table, in a stated order."""
+    return Q.preview(_cleaned(spark, sf), 20)
+
+
+@register("row_count", with_clean(
+    "SELECT 'raw_data' AS table_name, count(*) AS row_count FROM raw_data "
+    "UNION ALL SELECT 'cleaned_data', count(*) FROM cleaned_data"))
+def q_row_count(spark, sf):
+    """Row count of each table, one row per table."""
+    raw = _raw(spark, sf)
+    return (Q.row_count(raw).select(F.lit("raw_data").alias("table_name"), "row_count")
+            .unionByName(Q.row_count(CL.clean_events(raw)).select(F.lit("cleaned_data").alias("table_name"),
+                                                                  "row_count")))
+
+
+@register("profile_value_counts", with_raw(
+    "SELECT 'event_type' AS field, event_type AS value, count(*) AS count FROM raw_data "
+    "WHERE event_type IS NOT NULL GROUP BY event_type "
+    "UNION ALL SELECT 'city', city, count(*) FROM raw_data WHERE city IS NOT NULL GROUP BY city"))
+def q_profile_value_counts(spark, sf):
+    """pandas ``value_counts`` of event type and city (nulls dropped), long form."""
+    raw = _raw(spark, sf)
+    return (Q.value_counts(raw, "event_type").select(F.lit("event_type").alias("field"),
+                                                     F.col("event_type").alias("value"), "count")
+            .unionByName(Q.value_counts(raw, "city").select(F.lit("city").alias("field"),
+                                                            F.col("city").alias("value"), "count")))
