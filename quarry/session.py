@@ -22,12 +22,18 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app_name)
+    """Session with the conf above.  ``master=None`` leaves master, memory and
+    shuffle partitions to the cluster (spark-submit); a local master also
+    sizes the driver and the shuffle partitions for one machine."""
+    b = SparkSession.builder.appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if master is not None:
+        b = b.master(master)
+        conf.setdefault("spark.driver.memory", "16g")
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
         conf.update(extra)
     for k, v in conf.items():

@@ -59,3 +59,19 @@ def append_raw(decoded: DataFrame, target: str) -> None:
     """Append decoded rows in the landing-table column order and types."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW.fields]
     append_table(decoded.select(*cols), target)
+
+
+def register_views(spark: SparkSession, raw: str | DataFrame | None = None,
+                   cleaned: str | DataFrame | None = None, **others) -> list[str]:
+    """Expose tables as session views ``raw_data`` / ``cleaned_data`` (and any
+    ``name=path_or_df``), so SQL written against the landing and cleaned
+    tables runs unchanged through ``spark.sql``."""
+    named = dict(others)
+    if raw is not None:
+        named["raw_data"] = raw
+    if cleaned is not None:
+        named["cleaned_data"] = cleaned
+    for name, src in named.items():
+        df = scan(spark, src) if isinstance(src, str) else src
+        df.createOrReplaceTempView(name)
+    return sorted(named)
