@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (local tests) do we create one under /tmp.
+    as is; a cluster session without it is an error.  Only a local-mode
+    session without it (tests) gets a folder under /tmp.
     """
     try:
         sc = spark.sparkContext
@@ -62,7 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        d = tempfile.mkdtemp(prefix="quarry-ckpt-")  # single machine only (tests)
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
