@@ -17,6 +17,7 @@ from quarry.functions.sampling import smallest_by_hash
 from quarry.operators.quality import group_counts
 
 LABELS = [S.LABEL_NORMAL, S.LABEL_ANOMALY]
+MAX_BROADCAST_LABELS = 10_000
 
 
 def anomaly_label_counts(labelled: DataFrame) -> DataFrame:
@@ -57,9 +58,10 @@ def price_histogram(labelled: DataFrame, bins: int = 50, lo: float = 0.0, hi: fl
     start = F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5)
     stop = F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5)
     stats = stats.select("anomaly_label", "n_label", start.alias("start"),
-                         ((stop - start) / bins).alias("width"))
-    # at most one row per label value: a bounded broadcast
-    j = clipped.join(F.broadcast(stats), "anomaly_label")
+                         ((stop - start) / bins).alias("width")).persist()
+    # one row per label value; broadcast only after checking that count
+    small = stats.count() <= MAX_BROADCAST_LABELS
+    j = clipped.join(F.broadcast(stats) if small else stats, "anomaly_label")
     b = F.least(F.floor((F.col("x") - F.col("start")) / F.col("width")).cast("int"), F.lit(bins - 1))
     return (j.groupBy("anomaly_label", b.alias("bin"))
             .agg(F.count(F.lit(1)).alias("count"), F.first("start").alias("start"), F.first("width").alias("width"),
