@@ -30,10 +30,12 @@ def _threshold(q: float) -> int:
 
 
 def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_rows: int | None = None,
-                     oversample: float = 4.0, keep_hash: str | None = None) -> DataFrame:
+                     oversample: float = 4.0, keep_hash: str | None = None, verify: bool = True) -> DataFrame:
     """Exactly the ``min(n, N)`` rows with the smallest (hash, id) (at most n
     rows; persisted when a threshold filter had to be verified).  ``n_rows``
-    (N) avoids a counting pass when known."""
+    (N) avoids a counting pass when known.  ``verify=False`` returns the
+    filtered top-n without counting it; the caller must then check that it
+    got ``min(n, N)`` rows and call again with ``oversample=inf`` if not."""
     h = hash_key(id_col, seed)
     if n_rows is None:
         n_rows = df.count()
@@ -45,6 +47,9 @@ def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_row
             pool = src.orderBy("_h", id_col).limit(n)
             break
         src = src.where(F.col("_h") < F.lit(_threshold(q)))
+        if not verify:
+            pool = src.orderBy("_h", id_col).limit(n)
+            break
         pool = src.orderBy("_h", id_col).limit(n).persist(StorageLevel.MEMORY_AND_DISK)
         if pool.count() >= want:
             break

@@ -31,7 +31,7 @@ def label_from_prediction(df: DataFrame, pred: str = "anomaly_score") -> DataFra
                          .when(F.col(pred) == 1, F.lit(S.LABEL_NORMAL)))
 
 
-def reason_expr(high_revenue_cut: Column) -> Column:
+def reason_expr(revenue_cut: Column) -> Column:
     """Sequential overwrites where the last match wins, written as one CASE
     in reverse order (first true wins)."""
     a = F.col("anomaly_label") == S.LABEL_ANOMALY
@@ -45,29 +45,38 @@ def reason_expr(high_revenue_cut: Column) -> Column:
             .when(pc > S.MAX_PRICE, F.lit(S.R_PRICE_OUTLIER))
             .when(pc == 0, F.lit(S.R_ZERO_PRICE))
             .when(pc < 0, F.lit(S.R_NEG_PRICE))
-            .when(F.col("revenue_clean") > high_revenue_cut, F.lit(S.R_HIGH_REVENUE))
+            .when(F.col("revenue_clean") > revenue_cut, F.lit(S.R_HIGH_REVENUE))
             .otherwise(F.lit(S.R_ML_PATTERN)))
 
 
+def high_revenue_cut(sigma: float = S.REVENUE_SIGMA) -> Column:
+    """Aggregate: mean + sigma * sample std of ``revenue_clean``."""
+    return F.avg("revenue_clean") + F.lit(sigma) * F.stddev_samp("revenue_clean")
+
+
 def assign_reason(labelled: DataFrame, sigma: float = S.REVENUE_SIGMA,
-                  population: DataFrame | None = None) -> DataFrame:
+                  population: DataFrame | None = None, cut: float | None = None) -> DataFrame:
     """Add ``anomaly_reason``.  The high-revenue cut is mean + sigma * sample
     std of ``revenue_clean`` over all rows of ``population`` (default: the
-    input), evaluated once as a scalar subquery."""
+    input), evaluated once as a scalar subquery -- or passed in as ``cut``
+    when the caller already computed it in another aggregate."""
+    if cut is not None:
+        return labelled.withColumn("anomaly_reason", reason_expr(F.lit(float(cut))))
     pop = population if population is not None else labelled
-    cut = pop.select(F.avg("revenue_clean") + F.lit(sigma) * F.stddev_samp("revenue_clean")).scalar()
-    return labelled.withColumn("anomaly_reason", reason_expr(cut))
+    return labelled.withColumn("anomaly_reason", reason_expr(pop.select(high_revenue_cut(sigma)).scalar()))
 
 
-def anomaly_summary(labelled: DataFrame) -> DataFrame:
+def summary_aggs() -> list[Column]:
     lab = F.col("anomaly_label")
-    return labelled.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(lab == S.LABEL_NORMAL).alias("normal_rows"),
-        F.count_if(lab == S.LABEL_ANOMALY).alias("anomaly_rows"),
-    ).select("total_rows", "normal_rows", "anomaly_rows",
-             F.when(F.col("total_rows") > 0, F.col("anomaly_rows") * 100.0 / F.col("total_rows"))
-             .alias("anomaly_rate"))
+    return [F.count(F.lit(1)).alias("total_rows"),
+            F.count_if(lab == S.LABEL_NORMAL).alias("normal_rows"),
+            F.count_if(lab == S.LABEL_ANOMALY).alias("anomaly_rows")]
+
+
+def anomaly_summary(labelled: DataFrame) -> DataFrame:
+    rate = F.when(F.col("total_rows") > 0, F.col("anomaly_rows") * 100.0 / F.col("total_rows"))
+    return labelled.agg(*summary_aggs()).select("total_rows", "normal_rows", "anomaly_rows",
+                                                rate.alias("anomaly_rate"))
 
 
 def rate_drift_note(summary: DataFrame, low: float = 5.0, high: float = 20.0) -> DataFrame:

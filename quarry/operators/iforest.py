@@ -54,7 +54,8 @@ def average_path_length(n):
 
 def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",
                      n_trees: int = S.N_TREES, max_samples: int = S.MAX_SAMPLES, seed: int = S.SEED,
-                     n_rows: int | None = None) -> tuple[DataFrame, int]:
+                     n_rows: int | None = None, oversample: float = 4.0,
+                     verify: bool = True) -> tuple[DataFrame, int]:
     """``(tree, id, features...)`` training rows, and psi."""
     n = features.count() if n_rows is None else n_rows
     if n == 0:
@@ -62,7 +63,8 @@ def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: s
     psi = min(max_samples, n)
     m = min(n, n_trees * psi)
     cols = [F.col(id_col).alias("id")] + [F.col(c).cast("double").alias(c) for c in feature_cols]
-    pool = smallest_by_hash(features.select(*cols), m, seed, "id", n_rows=n, keep_hash="_h")
+    pool = smallest_by_hash(features.select(*cols), m, seed, "id", n_rows=n, keep_hash="_h",
+                            oversample=oversample, verify=verify)
     # the pool holds at most n_trees * psi rows: ranking it in one partition is bounded
     ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_h", "id")) - 1)
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
@@ -114,14 +116,21 @@ class IsolationForestModel:
     n_trees: int
     feature_cols: tuple
     seed: int
+    node_table: pd.DataFrame | None = None   # collected nodes, once trained eagerly
+
+    def collect_nodes(self) -> pd.DataFrame:
+        """The node table on the driver (bounded by n_trees * (2 psi - 1) rows)."""
+        if self.node_table is None:
+            bound = self.n_trees * (2 * self.psi - 1)
+            pdf = self.nodes.toPandas()
+            if len(pdf) > bound:
+                raise RuntimeError(f"forest has {len(pdf)} nodes, above its bound {bound}")
+            self.node_table = pdf
+        return self.node_table
 
     def node_arrays(self) -> dict:
-        """Collect the node table (bounded by n_trees * (2 psi - 1) rows)."""
-        bound = self.n_trees * (2 * self.psi - 1)
-        pdf = self.nodes.toPandas()
-        if len(pdf) > bound:
-            raise RuntimeError(f"forest has {len(pdf)} nodes, above its bound {bound}")
-        pdf = pdf.sort_values(["tree", "node"]).reset_index(drop=True)
+        """Flat arrays of all trees for vectorised scoring."""
+        pdf = self.collect_nodes().sort_values(["tree", "node"]).reset_index(drop=True)
         base = np.zeros(self.n_trees, dtype=np.int64)
         counts = pdf.groupby("tree").size().reindex(range(self.n_trees), fill_value=0).to_numpy()
         base[1:] = np.cumsum(counts)[:-1]
@@ -173,9 +182,20 @@ class IsolationForestModel:
 def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",
                            n_trees: int = S.N_TREES, max_samples: int = S.MAX_SAMPLES,
                            seed: int = S.SEED, n_rows: int | None = None) -> IsolationForestModel:
-    train, psi = sample_for_trees(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows)
-    nodes = (train.groupBy("tree").applyInPandas(_fit_tree_fn(tuple(feature_cols), psi, seed), NODE_SCHEMA))
-    return IsolationForestModel(nodes, psi, n_trees, tuple(feature_cols), seed)
+    """Train and collect the (bounded) node table.  The sample pool is not
+    counted separately: each tree's root size is in the node table, so a pool
+    the hash filter left short (practically impossible) is detected there and
+    the training repeats without the filter."""
+    for oversample in (4.0, float("inf")):
+        train, psi = sample_for_trees(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows,
+                                      oversample=oversample, verify=False)
+        fit = _fit_tree_fn(tuple(feature_cols), psi, seed)
+        nodes = train.groupBy("tree").applyInPandas(fit, NODE_SCHEMA)
+        model = IsolationForestModel(nodes, psi, n_trees, tuple(feature_cols), seed)
+        roots = model.collect_nodes().query("node == 0")
+        if len(roots) == n_trees and bool((roots["size"] == psi).all()):
+            return model
+    raise RuntimeError("isolation forest sample is short even without the hash filter")
 
 
 def threshold_for(scored: DataFrame, contamination: float = S.CONTAMINATION,

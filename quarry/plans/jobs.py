@@ -12,13 +12,15 @@ import os
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.operators import anomaly as A
 from quarry.operators import clean as CL
 from quarry.operators import features as FE
 from quarry.operators import iforest as IF
+from quarry.functions.quantile import SMALL_N
 from quarry.operators import kpi as K
 from quarry.session import drop_scratch, materialize
 from quarry.sources import tables as TB
@@ -39,30 +41,49 @@ def table_path(out_dir: str, name: str) -> str:
     return os.path.join(out_dir, name)
 
 
+def _threshold_and_cut(scored: DataFrame, n: int, cfg: JobConfig) -> tuple[float, float | None]:
+    """Score threshold and high-revenue cut; one aggregate when N allows
+    Spark's exact ``percentile``, else the bounded selection plus one more."""
+    cut = A.high_revenue_cut(cfg.revenue_sigma).alias("cut")
+    if n <= SMALL_N:
+        row = scored.agg(F.percentile("isolation_score", F.lit(cfg.contamination)).alias("thr"), cut).first()
+        return row["thr"], row["cut"]
+    thr = IF.threshold_for(scored, cfg.contamination, n_rows=n)
+    return thr, scored.agg(cut).first()["cut"]
+
+
 def run_anomaly_detection(spark: SparkSession, raw: DataFrame, out_dir: str,
                           cfg: JobConfig | None = None) -> dict:
-    """raw -> features -> forest -> labels -> alert -> reasons -> anomaly_data."""
+    """raw -> features -> forest -> labels -> reasons -> anomaly_data, and an
+    alert row when the anomaly rate passes the threshold.
+
+    Passes over the data: the dictionary pass (also gives N), the sample
+    pass, the scoring pass (written once as parquet), one aggregate for the
+    threshold and the revenue cut, and the output write, which also counts
+    the labels through an ``Observation`` instead of a separate pass."""
     cfg = cfg or JobConfig()
     feats, n = FE.build_features_counted(raw, persist="auto")
     model = IF.train_isolation_forest(feats, n_trees=cfg.n_trees, max_samples=cfg.max_samples,
                                       seed=cfg.seed, n_rows=n)
     scored = materialize(model.score(feats), "scored")   # lineage cut; later passes read columns
-    thr = IF.threshold_for(scored, cfg.contamination, n_rows=n)
+    thr, cut = _threshold_and_cut(scored, n, cfg)
     labelled = IF.label_by_threshold(scored, thr)
-    summary = A.anomaly_summary(labelled).first()
-    alert = A.anomaly_rate_alert(
-        spark.createDataFrame([summary.asDict()], "total_rows long, normal_rows long, anomaly_rows long, "
-                                                  "anomaly_rate double"), cfg.alert_threshold)
-    alert_raised = summary["anomaly_rate"] is not None and summary["anomaly_rate"] > cfg.alert_threshold
+    reasoned = A.assign_reason(labelled, cfg.revenue_sigma, cut=cut)
+    obs = Observation("anomaly_summary")
+    TB.replace_table(A.select_anomaly_output(reasoned).observe(obs, *A.summary_aggs()),
+                     table_path(out_dir, "anomaly_data"))
+    counts = obs.get
+    total, anomalies = counts["total_rows"], counts["anomaly_rows"]
+    rate = anomalies * 100.0 / total if total else None
+    alert_raised = rate is not None and rate > cfg.alert_threshold
     if alert_raised:
-        TB.append_table(alert, table_path(out_dir, "anomaly_alerts"))
-    reasoned = A.assign_reason(labelled, cfg.revenue_sigma)
-    TB.replace_table(A.select_anomaly_output(reasoned), table_path(out_dir, "anomaly_data"))
+        summary = spark.createDataFrame([(total, counts["normal_rows"], anomalies, rate)],
+                                        "total_rows long, normal_rows long, anomaly_rows long, anomaly_rate double")
+        TB.append_table(A.anomaly_rate_alert(summary, cfg.alert_threshold), table_path(out_dir, "anomaly_alerts"))
     feats.unpersist()
     drop_scratch(spark, scored._quarry_scratch)  # as large as the input; anomaly_data now holds it
-    return {"total_rows": summary["total_rows"], "anomalies": summary["anomaly_rows"],
-            "normal": summary["normal_rows"], "anomaly_rate": summary["anomaly_rate"],
-            "threshold": thr, "alert_raised": alert_raised}
+    return {"total_rows": total, "anomalies": anomalies, "normal": counts["normal_rows"],
+            "anomaly_rate": rate, "threshold": thr, "alert_raised": alert_raised}
 
 
 def run_analysis(spark: SparkSession, cleaned: DataFrame, out_dir: str,
