@@ -117,3 +117,19 @@ def event_feed(raw: DataFrame) -> DataFrame:
              .when((i % 50 == 21) | (i % 89 == 5), js(text))
              .otherwise(js(normal)))
     return raw.select(i.alias("id"), value.alias("value"))
+
+
+def write_events(df: DataFrame, target: str, fmt: str = "text", topic: str | None = None,
+                 bootstrap_servers: str | None = None, mode: str = "append") -> None:
+    """Publish rows as JSON events: one line per row into text files at
+    ``target``, or messages on a Kafka ``topic`` (needs the Kafka connector
+    on the classpath).  Works for batch frames; use ``writeStream`` with the
+    same ``encode_events`` projection for streams."""
+    encoded = encode_events(df)
+    if fmt == "text":
+        encoded.write.mode(mode).text(target)
+    elif fmt == "kafka":
+        (encoded.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("topic", topic or target).save())
+    else:
+        raise ValueError(f"unknown event sink {fmt!r}")

@@ -77,3 +77,14 @@ def test_streaming_replay_and_batches(spark):
     q = spark.read.parquet(bad_p)
     assert q.where(F.col("bad_reason").isNull()).count() == 0
     assert n1 + q.where("batch_id < 99").count() == raw_data(spark, SF_SMALL).count()
+
+
+def test_write_events_then_ingest(spark):
+    raw = raw_data(spark, SF_SMALL)
+    cols = [c for c in raw.columns if c != "id"]
+    src = scratch_path(spark, "published")
+    EV.write_events(raw.select(*cols), src)
+    base = scratch_path(spark, "ingest-published")
+    IN.ingest_available(spark, src, base + "/raw", base + "/bad", base + "/ck")
+    got = IN.read_raw(spark, base + "/raw").select(*cols)
+    assert got.exceptAll(raw.select(*cols)).count() == 0 and raw.select(*cols).exceptAll(got).count() == 0
