@@ -120,3 +120,13 @@ def q_surrogate_id(spark, sf):
 def q_ingest_then_clean(spark, sf):
     src = _feed_dir(spark, sf)
     return IN.ingest_then_clean(spark, src, scratch_path(spark, "ingest-clean"))
+
+
+@register("write_events", with_raw(f"SELECT {', '.join(FIELDS)} FROM raw_data"))
+def q_write_events(spark, sf):
+    """Publish raw rows as JSON events, ingest them with the stream, read back."""
+    src = scratch_path(spark, "published")
+    EV.write_events(raw_data(spark, sf).select(*FIELDS), src)
+    base = scratch_path(spark, "ingest-published")
+    IN.ingest_available(spark, src, base + "/raw", base + "/bad", base + "/ck")
+    return IN.read_raw(spark, base + "/raw").select(*FIELDS)
