@@ -62,3 +62,20 @@ def test_alert_boundary(spark):
 def test_drift_note(spark):
     r = A.rate_drift_note(_summary(spark, 1000, 30)).first()
     assert r.rate_far_from_target and r.suggested_contamination == 0.03
+
+
+def test_invariants_on_forest_labels(spark):
+    from quarry.operators import charts as CH
+    from quarry.operators import iforest as IF
+    from quarry.sources.fixture import raw_data
+    from conftest import SF_SMALL
+    feats = FE.build_features(raw_data(spark, SF_SMALL))
+    lab, _, _ = IF.fit_predict(feats, checkpoint=False)
+    reasoned = A.assign_reason(lab)
+    # reason = Normal <=> label = Normal
+    assert reasoned.where("(anomaly_reason = 'Normal') <> (anomaly_label = 'Normal')").count() == 0
+    # histogram counts add up to the rows of each label
+    hist = {r.anomaly_label: r.n for r in CH.price_histogram(lab).groupBy("anomaly_label")
+            .agg(F.sum("count").alias("n")).collect()}
+    sizes = {r.anomaly_label: r["count"] for r in lab.groupBy("anomaly_label").count().collect()}
+    assert hist == sizes
