@@ -30,9 +30,9 @@ def _spark_percentiles(df: DataFrame, cols, probs) -> dict:
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
-    pos = p * (n - 1)
-    lo = math.floor(pos)
-    return lo, min(lo + 1, n - 1), pos - lo
+    """(lower rank, upper rank, position) of percentile p among n values."""
+    pos = (n - 1) * p
+    return math.floor(pos), math.ceil(pos), pos
 
 
 def exact_percentiles(df: DataFrame, cols, probs, small_n: int = SMALL_N,
@@ -115,9 +115,10 @@ def exact_percentiles(df: DataFrame, cols, probs, small_n: int = SMALL_N,
             continue
         res = []
         for p in probs:
-            lo, hi, frac = _ranks(ns[i], p)
+            lo, hi, pos = _ranks(ns[i], p)
             vlo, vhi = found[(i, lo)], found[(i, hi)]
-            res.append(vlo + frac * (vhi - vlo) if frac else vlo)
+            # same arithmetic as Spark's percentile, so both paths agree bit for bit
+            res.append(vlo if hi == lo or vlo == vhi else (hi - pos) * vlo + (pos - lo) * vhi)
         out[c] = res
     return out
 

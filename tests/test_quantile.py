@@ -20,3 +20,12 @@ def test_against_numpy(spark, small_n):
 def test_nulls_and_single_value(spark):
     df = spark.createDataFrame([(1.0,), (None,), (1.0,)], "a double")
     assert exact_percentiles(df, ["a"], [0.5], small_n=0)["a"] == [1.0]
+
+
+def test_paths_bit_identical(spark):
+    rng = np.random.default_rng(11)
+    vals = np.round(rng.lognormal(10, 2, 4000), 1)
+    df = spark.createDataFrame([(float(v),) for v in vals], "a double")
+    probs = [0.01, 0.1, 0.37, 0.5, 0.99]
+    assert exact_percentiles(df, ["a"], probs) == exact_percentiles(df, ["a"], probs, small_n=0, buckets=128,
+                                                                    collect_limit=40)
