@@ -183,9 +183,15 @@ def build_features_counted(raw: DataFrame, inline_limit: int = INLINE_LIMIT,
     return _encode_with(prepared, ENCODED, d, inline_limit, broadcast_limit)[0], n
 
 
+# mean and std are sums of doubles whose last bits depend on addition order
+# (partitioning, engine); 4 decimals keeps the profile stable across both
+STAT_DECIMALS = 4
+
+
 def describe_features(features: DataFrame, cols=S.FEATURE_COLS) -> DataFrame:
     """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max per
-    feature, one row per feature, computed in one aggregate."""
+    feature, one row per feature, computed in one aggregate.  Percentiles are
+    exact order statistics; mean and std are rounded to ``STAT_DECIMALS``."""
     from quarry.functions.quantile import exact_percentiles
 
     aggs = []
@@ -198,7 +204,8 @@ def describe_features(features: DataFrame, cols=S.FEATURE_COLS) -> DataFrame:
     q = exact_percentiles(features, cols, [0.25, 0.5, 0.75])
     rows = F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(f"{c}__count").alias("count"),
-        F.round(F.col(f"{c}__mean"), 6).alias("mean"), F.round(F.col(f"{c}__std"), 6).alias("std"),
+        F.round(F.col(f"{c}__mean"), STAT_DECIMALS).alias("mean"),
+        F.round(F.col(f"{c}__std"), STAT_DECIMALS).alias("std"),
         F.col(f"{c}__min").alias("min"), F.lit(q[c][0]).alias("p25"), F.lit(q[c][1]).alias("p50"),
         F.lit(q[c][2]).alias("p75"), F.col(f"{c}__max").alias("max")) for c in cols])
     return wide.select(F.inline(rows))

@@ -95,8 +95,8 @@ def q_build_features(spark, sf):
 
 
 _DESCRIBE = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, "
-    f"round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 4) AS mean, "
+    f"round(stddev_samp({c}), 4) AS std, CAST(min({c}) AS DOUBLE) AS min, "
     f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
     f"round(quantile_cont({c}, 0.75), 6) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM features"
     for c in S.FEATURE_COLS)
