@@ -3,8 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+import tools.oracle_check as OC
 from tools.oracle_check import compare, duck_conn
 
+OC.STRICT = True  # doubles compared at full precision
+
 from conftest import SF_SMALL
 
 ORACLE = E.oracle_sql()
