@@ -117,7 +117,8 @@ def kpi_row(cleaned: DataFrame, total_orders_mode: str = "purchase") -> DataFram
             {"category": "top_category", "hour": "peak_hour", "city": "top_city"}[key])
 
     def total(c: str) -> Column:
-        return F.max(F.when(gid == 7, F.col(c)))
+        # an empty input has no grand-total row: a count of nothing is 0
+        return F.coalesce(F.max(F.when(gid == 7, F.col(c))), F.lit(0).cast("bigint"))
 
     one = g.agg(arg_top("category", 3), arg_top("hour", 5), arg_top("city", 6),
                 total("views").alias("views"), total("add_to_cart").alias("add_to_cart"),
