@@ -386,3 +386,30 @@ def q_profile_value_counts(spark, sf):
                                                      F.col("event_type").alias("value"), "count")
             .unionByName(Q.value_counts(raw, "city").select(F.lit("city").alias("field"),
                                                             F.col("city").alias("value"), "count")))
+
+
+@register("qc_summary", with_raw(
+    "SELECT count(*) AS total_rows, count(*) FILTER (WHERE order_id IS NULL OR price <= 0 OR quantity <= 0 "
+    "OR event_type IS NULL OR product_name IS NULL OR city IS NULL) AS invalid_rows, "
+    + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}"
+                for c in ["user_id", "product_id", "category", "payment_method", "timestamp"])
+    + ", min(price) AS min_price, max(price) AS max_price, min(quantity) AS min_quantity, "
+    "max(quantity) AS max_quantity, "
+    "count(*) FILTER (WHERE timestamp IS NULL OR length(timestamp) < 10 OR timestamp = '') AS invalid_timestamps, "
+    "min(timestamp) AS oldest, max(timestamp) AS newest, "
+    "count(*) FILTER (WHERE timestamp < '2026-01-01' OR timestamp > '2026-12-31') AS out_of_range, "
+    "count(*) FILTER (WHERE timestamp LIKE '%T%') AS iso_format, "
+    "count(*) FILTER (WHERE timestamp LIKE '% %') AS normal_format, "
+    "count(*) FILTER (WHERE timestamp NOT LIKE '%T%' AND timestamp NOT LIKE '% %') AS unknown_format "
+    "FROM raw_data"))
+def q_qc_summary(spark, sf):
+    """All scalar raw checks from one scan."""
+    return Q.qc_summary(_raw(spark, sf))
+
+
+@register("qc_distributions", with_raw(" UNION ALL ".join(
+    f"SELECT '{c}' AS field, {c} AS value, count(*) AS count FROM raw_data GROUP BY {c}"
+    for c in ["event_type", "category", "city", "payment_method"])))
+def q_qc_distributions(spark, sf):
+    """All four raw value distributions from one scan."""
+    return Q.qc_distributions(_raw(spark, sf))
