@@ -32,7 +32,10 @@ def _noop(df):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="quarry-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task times for tools/stage_times.py
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="quarry-bench", extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
 
     cleaned_path = scratch_path(spark, "bench-cleaned")
@@ -64,11 +67,13 @@ def main() -> None:
 
     steps = [("clean", clean), ("kpis", kpis), ("forest_train", forest_train),
              ("forest_score", forest_score), ("full_job", full_job)]
+    sc = spark.sparkContext
     for _, fn in steps:  # warm-up
         fn()
     times = {name: [] for name, _ in steps}
     for _ in range(3):
         for name, fn in steps:
+            sc.setJobGroup(name, name)
             t0 = time.perf_counter()
             fn()
             times[name].append(time.perf_counter() - t0)

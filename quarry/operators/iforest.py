@@ -137,39 +137,44 @@ class IsolationForestModel:
         tree = pdf["tree"].to_numpy()
         g = lambda col: np.where(pdf[col].to_numpy() >= 0, pdf[col].to_numpy() + base[tree], -1)
         leaf_val = pdf["depth"].to_numpy(np.float64) + average_path_length(pdf["size"].to_numpy())
+        feat = pdf["feature"].to_numpy(np.int64)
+        leaf = feat < 0
+        own = np.arange(len(pdf), dtype=np.int64)
+        left = np.where(leaf, own, g("left_child"))
+        right = np.where(leaf, own, g("right_child"))
         return {
-            "roots": base.copy(),
-            "feature": pdf["feature"].to_numpy(np.int64),
-            "threshold": pdf["threshold"].to_numpy(np.float64),
-            "left": g("left_child").astype(np.int64),
-            "right": g("right_child").astype(np.int64),
+            "roots": base.astype(np.int32),
+            # leaves loop to themselves with an infinite threshold, so the walk
+            # needs no per-level masks
+            "feature": np.where(leaf, 0, feat).astype(np.int32),
+            "threshold": np.where(leaf, np.inf, pdf["threshold"].to_numpy(np.float64)),
+            "children": np.stack([left, right], axis=1).ravel().astype(np.int32),
             "leaf_value": leaf_val,
             "max_depth": int(pdf["depth"].max()) if len(pdf) else 0,
             "c_psi": float(average_path_length([self.psi])[0]),
         }
 
     def score_column(self, arrays: dict | None = None):
-        """A pandas UDF ``(features...) -> isolation_score``."""
+        """A pandas UDF ``(features...) -> isolation_score``: each tree walked
+        level by level over the whole batch with flat gathers only."""
         a = arrays or self.node_arrays()
-        roots, feat, thr = a["roots"], a["feature"], a["threshold"]
-        left, right, leaf_val = a["left"], a["right"], a["leaf_value"]
-        max_depth, c_psi = a["max_depth"], a["c_psi"]
+        roots, feat, thr, children = a["roots"], a["feature"], a["threshold"], a["children"]
+        leaf_val, max_depth, c_psi = a["leaf_value"], a["max_depth"], a["c_psi"]
+        n_feat = len(self.feature_cols)
 
         @pandas_udf("double")
         def isolation_score(*cols: pd.Series) -> pd.Series:
-            x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols])
-            n = len(x)
-            node = np.broadcast_to(roots, (n, len(roots))).copy()
-            rows = np.arange(n)[:, None]
-            for _ in range(max_depth):
-                f = feat[node]
-                internal = f >= 0
-                if not internal.any():
-                    break
-                xv = x[rows, np.where(internal, f, 0)]
-                nxt = np.where(xv <= thr[node], left[node], right[node])
-                node = np.where(internal, nxt, node)
-            depth = leaf_val[node].mean(axis=1)
+            x = np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in cols]).ravel()
+            n = len(x) // n_feat
+            base = np.arange(n, dtype=np.int64) * n_feat
+            paths = np.empty((n, len(roots)))
+            for t, root in enumerate(roots):  # one tree at a time: the arrays stay in cache
+                node = np.full(n, root, dtype=np.int32)
+                for _ in range(max_depth):
+                    go_right = ~(x[base + feat[node]] <= thr[node])  # NaN goes right
+                    node = children[2 * node + go_right]
+                paths[:, t] = leaf_val[node]
+            depth = paths.mean(axis=1)
             return pd.Series(-np.power(2.0, -depth / c_psi) if c_psi > 0 else -np.ones(n))
 
         return isolation_score
@@ -179,6 +184,14 @@ class IsolationForestModel:
         return features.withColumn(out_col, udf(*[F.col(c).cast("double") for c in self.feature_cols]))
 
 
+def _train_partitions(df: DataFrame, n_trees: int) -> int:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # remote session
+        cores = n_trees
+    return max(1, min(n_trees, cores))
+
+
 def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",
                            n_trees: int = S.N_TREES, max_samples: int = S.MAX_SAMPLES,
                            seed: int = S.SEED, n_rows: int | None = None) -> IsolationForestModel:
@@ -190,7 +203,11 @@ def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_
         train, psi = sample_for_trees(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows,
                                       oversample=oversample, verify=False)
         fit = _fit_tree_fn(tuple(feature_cols), psi, seed)
-        nodes = train.groupBy("tree").applyInPandas(fit, NODE_SCHEMA)
+        # the training rows are few (<= n_trees * psi), so adaptive execution
+        # would coalesce them into one task and fit every tree serially; an
+        # explicit partition count keeps one tree (or a few) per task
+        nodes = (train.repartition(_train_partitions(features, n_trees), "tree")
+                 .groupBy("tree").applyInPandas(fit, NODE_SCHEMA))
         model = IsolationForestModel(nodes, psi, n_trees, tuple(feature_cols), seed)
         roots = model.collect_nodes().query("node == 0")
         if len(roots) == n_trees and bool((roots["size"] == psi).all()):
