@@ -88,3 +88,16 @@ def test_write_events_then_ingest(spark):
     IN.ingest_available(spark, src, base + "/raw", base + "/bad", base + "/ck")
     got = IN.read_raw(spark, base + "/raw").select(*cols)
     assert got.exceptAll(raw.select(*cols)).count() == 0 and raw.select(*cols).exceptAll(got).count() == 0
+
+
+def test_kafka_shaped_batch_ids(spark):
+    """Rows carrying (partition, offset) get ids from their source position,
+    so a replayed batch gets the same ids."""
+    lines = EV.encode_events(raw_data(spark, SF_SMALL).drop("id")).limit(50)
+    batch = lines.select("value", (F.monotonically_increasing_id() % 3).cast("int").alias("partition"),
+                         F.monotonically_increasing_id().alias("offset"))
+    base = scratch_path(spark, "kafka-shaped")
+    IN.write_batch(batch, 7, base + "/raw", base + "/bad")
+    got = spark.read.parquet(base + "/raw")
+    expect = batch.select((F.shiftleft(F.col("partition").cast("long"), 40) + F.col("offset")).alias("id"))
+    assert got.select("id").exceptAll(expect).count() == 0 and got.count() == 50
