@@ -25,7 +25,12 @@ from quarry.sources import events as EV
 
 # Surrogate id layout for sources without offsets: batch id in the high bits,
 # Spark's per-batch monotonically increasing id (partition << 33 | row) below.
+# Unique while a micro-batch has < 2^11 partitions and batch ids stay < 2^19;
+# both limits raise instead of silently colliding (bound the batch size with
+# maxFilesPerTrigger).
 BATCH_SHIFT = 44
+MAX_BATCH_PARTITIONS = 1 << (BATCH_SHIFT - 33)
+MAX_BATCH_ID = 1 << (63 - BATCH_SHIFT)
 
 
 def read_event_stream(spark: SparkSession, source: str = "files", path: str | None = None,
@@ -60,7 +65,12 @@ def surrogate_id(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     elif batch_id is None:
         sid = F.monotonically_increasing_id()
     else:
-        sid = F.shiftleft(F.lit(batch_id).cast("long"), BATCH_SHIFT) + F.monotonically_increasing_id()
+        if batch_id >= MAX_BATCH_ID:
+            raise ValueError(f"batch id {batch_id} exceeds the surrogate id layout")
+        too_wide = F.spark_partition_id() >= MAX_BATCH_PARTITIONS
+        sid = F.when(too_wide, F.raise_error(F.lit(
+            f"micro-batch has >= {MAX_BATCH_PARTITIONS} partitions; lower maxFilesPerTrigger"))
+        ).otherwise(F.shiftleft(F.lit(batch_id).cast("long"), BATCH_SHIFT) + F.monotonically_increasing_id())
     return df.withColumn("id", sid)
 
 
