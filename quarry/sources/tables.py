@@ -8,6 +8,8 @@ passing ``format="jdbc"`` options when its driver jar is on the classpath.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +48,43 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str = "parquet", **option
         w.format(fmt).saveAsTable(target)
 
 
+def _swap_in(spark: SparkSession, staging: str, target: str) -> bool:
+    """Move a fully written ``staging`` folder to ``target`` with file-system
+    renames; the old table is kept until the new one is in place."""
+    try:
+        sc = spark.sparkContext
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    except Exception:  # remote session: no file-system handle
+        return False
+    Path = jvm.org.apache.hadoop.fs.Path
+    t, st = Path(target), Path(staging)
+    fs = t.getFileSystem(conf)
+    old = Path(f"{target}.__replaced-{uuid.uuid4().hex[:8]}")
+    had_old = fs.exists(t)
+    if had_old and not fs.rename(t, old):
+        return False
+    if not fs.rename(st, t):
+        if had_old:
+            fs.rename(old, t)
+        return False
+    if had_old:
+        fs.delete(old, True)
+    return True
+
+
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
-    """Overwrite (the reference's DROP + CREATE AS / ``if_exists='replace'``)."""
-    _write(df, target, "overwrite", fmt, **options)
+    """Replace a table (the reference's DROP + CREATE AS / ``if_exists='replace'``).
+
+    A path table is written to a staging folder next to it first and then
+    swapped in, so a failed write leaves the old table intact and readers
+    never see a half-written one; catalog and JDBC targets are overwritten."""
+    if fmt == "jdbc" or not _is_path(target):
+        _write(df, target, "overwrite", fmt, **options)
+        return
+    staging = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:8]}"
+    _write(df, staging, "overwrite", fmt, **options)
+    if not _swap_in(df.sparkSession, staging, target.rstrip("/")):
+        _write(df.sparkSession.read.format(fmt).load(staging), target, "overwrite", fmt, **options)
 
 
 def append_table(df: DataFrame, target: str, fmt: str = "parquet", **options) -> None:
