@@ -122,6 +122,8 @@ class IsolationForestModel:
         """The node table on the driver (bounded by n_trees * (2 psi - 1) rows)."""
         if self.node_table is None:
             bound = self.n_trees * (2 * self.psi - 1)
+            # bounded by construction: every split sends >= 1 row each way, so a
+            # tree on psi rows has <= psi leaves and <= 2 psi - 1 nodes
             pdf = self.nodes.toPandas()
             if len(pdf) > bound:
                 raise RuntimeError(f"forest has {len(pdf)} nodes, above its bound {bound}")
