@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.functions.grouping import set_key, set_name
 
 
 def _cnt() -> Column:
@@ -229,11 +230,5 @@ def qc_distributions(raw: DataFrame) -> DataFrame:
     ``field, value, count``."""
     g = (raw.groupingSets([[c] for c in DIST_FIELDS], *DIST_FIELDS)
          .agg(_cnt().alias("count"), F.grouping_id().alias("_gid")))
-    k = len(DIST_FIELDS)
-    field = None
-    for i, c in enumerate(DIST_FIELDS):
-        gid = (1 << k) - 1 - (1 << (k - 1 - i))
-        field = F.when(F.col("_gid") == gid, F.lit(c)) if field is None else field.when(F.col("_gid") == gid, F.lit(c))
-    value = F.coalesce(*[F.col(c) for c in DIST_FIELDS])
-    return (g.select(field.alias("field"), value.alias("value"), "count")
+    return (g.select(set_name(DIST_FIELDS).alias("field"), set_key(DIST_FIELDS).alias("value"), "count")
             .orderBy("field", F.desc("count"), F.col("value").asc_nulls_last()))

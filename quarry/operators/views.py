@@ -8,21 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
+from quarry.functions.grouping import set_key, set_name
 from quarry.operators import kpi as K
 
 SALES_DIMS = ["category", "hour", "city", "payment_method", "event_type"]
 
 
-def _gid_name(dims: list[str]) -> F.Column:
-    """grouping_id of a single-dimension set -> that dimension's name."""
-    k = len(dims)
-    expr = None
-    for i, d in enumerate(dims):
-        gid = (1 << k) - 1 - (1 << (k - 1 - i))
-        expr = F.when(F.col("_gid") == gid, F.lit(d)) if expr is None else expr.when(F.col("_gid") == gid, F.lit(d))
-    return expr
-
-
 def sliced_sales(cleaned: DataFrame, city: str | None = None, category: str | None = None,
                  payment: str | None = None) -> DataFrame:
     """``dimension, key, revenue, n`` for category, hour, city, payment and
@@ -39,8 +30,8 @@ def sliced_sales(cleaned: DataFrame, city: str | None = None, category: str | No
                      "event_type", "revenue")
     g = (base.groupingSets([[d] for d in SALES_DIMS], *SALES_DIMS)
          .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")))
-    dim = _gid_name(SALES_DIMS)
-    key = F.coalesce(*[F.col(d).cast("string") for d in SALES_DIMS])
+    dim = set_name(SALES_DIMS)
+    key = set_key(SALES_DIMS, "string")
     return (g.select(dim.alias("dimension"), key.alias("key"), F.col("revenue").cast("bigint").alias("revenue"), "n")
             .where(~((F.col("dimension") == "hour") & F.col("key").isNull()))
             .orderBy("dimension", F.desc("revenue"), "key"))
@@ -59,8 +50,8 @@ def anomaly_overview(reasoned: DataFrame) -> DataFrame:
                            F.when(a, F.col("event_type_clean")).alias("event_type_clean"))
     g = (base.groupingSets([[d] for d in OVERVIEW_DIMS], *OVERVIEW_DIMS)
          .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_gid")))
-    sec = _gid_name(OVERVIEW_DIMS)
-    key = F.coalesce(*[F.col(d) for d in OVERVIEW_DIMS])
+    sec = set_name(OVERVIEW_DIMS)
+    key = set_key(OVERVIEW_DIMS)
     return (g.select(sec.alias("section"), key.alias("key"), "n").where(F.col("key").isNotNull())
             .orderBy("section", F.desc("n"), "key"))
 
