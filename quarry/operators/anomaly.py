@@ -129,3 +129,11 @@ def select_anomaly_output(reasoned: DataFrame) -> DataFrame:
     else:
         cols.append(F.lit(None).cast("double").alias("isolation_score"))
     return reasoned.select(*cols)
+
+
+def from_anomaly_table(anomaly_data: DataFrame) -> DataFrame:
+    """The stored ``anomaly_data`` table under the feature-frame names the
+    chart and view operators use (its cleaned texts carry raw names there)."""
+    names = {"category": "category_clean", "city": "city_clean", "event_type": "event_type_clean",
+             "payment_method": "payment_clean", "revenue": "revenue_clean"}
+    return anomaly_data.select(*[F.col(c).alias(names.get(c, c)) for c in anomaly_data.columns])

@@ -25,3 +25,17 @@ def test_job_matches_operators(spark):
     assert det["threshold"] == thr and det["total_rows"] == n
     assert det["anomalies"] == written.where("anomaly_label = 'Anomaly'").count()
     assert det["alert_raised"] is False
+
+
+def test_views_on_stored_anomaly_table(spark):
+    from quarry.operators import charts as CH
+    from quarry.operators import views as V
+    raw = raw_data(spark, SF_SMALL)
+    out = scratch_path(spark, "job-views")
+    J.run_anomaly_detection(spark, raw, out)
+    stored = A.from_anomaly_table(spark.read.parquet(J.table_path(out, "anomaly_data")))
+    overview = {(r.section, r.key): r.n for r in V.anomaly_overview(stored).collect()}
+    assert overview[("anomaly_label", "Normal")] + overview[("anomaly_label", "Anomaly")] == raw.count()
+    by_city = CH.anomalies_by_city(stored).collect()
+    assert sum(r["count"] for r in by_city) == overview[("anomaly_label", "Anomaly")]
+    assert CH.price_histogram(stored).count() > 0
