@@ -80,3 +80,21 @@ def test_timestamp_ignores_session_zone(spark):
         assert one(spark, C.parse_event_timestamp, "2026-03-08T02:30:00") == dt.datetime(2026, 3, 8, 2, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("700 INR", 700.0), ("abc", 0.0), ("-5.5", -5.5), ("1,500", 1500.0), (None, 0.0), ("", 0.0),
+])
+def test_coerce_price_text_column(spark, raw, expected):
+    """Text prices lose every character but digits, '.' and '-', then parse;
+    anything unparseable or missing is 0 (the feature step's rule)."""
+    assert one(spark, lambda c: C.coerce_price(c, "string"), raw) == expected
+
+
+def test_prepare_features_detects_text_price(spark):
+    from quarry.operators.features import prepare_features
+    df = spark.createDataFrame([("700 INR", 2, "Home", "Delhi", "view", "UPI")],
+                               "price string, quantity int, category string, city string, event_type string, "
+                               "payment_method string")
+    r = prepare_features(df).first()
+    assert r.price_clean == 700.0 and r.revenue_clean == 1400.0
