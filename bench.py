@@ -63,7 +63,7 @@ def main() -> None:
         feats.unpersist()
 
     def full_job():
-        J.run_batch_job(spark, raw_data(spark, sf_dir), scratch_path(spark, "bench-job")).collect()
+        state["report"] = J.run_batch_job(spark, raw_data(spark, sf_dir), scratch_path(spark, "bench-job")).first()
 
     steps = [("clean", clean), ("kpis", kpis), ("forest_train", forest_train),
              ("forest_score", forest_score), ("full_job", full_job)]
@@ -81,6 +81,9 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "full_job_sec", "value": med["full_job"], "unit": "sec",
                       "queries": med, "sf": sf, "raw_rows": n_raw,
+                      "anomaly_rate_pct": round(state["report"]["anomaly_rate"], 2),
+                      "cleaned_rows": state["report"]["cleaned_rows"],
+                      "retention_pct": round(100.0 * state["report"]["cleaned_rows"] / n_raw, 1),
                       "rows_per_sec": round(n_raw / med["full_job"], 1) if med["full_job"] else None}))
     spark.stop()
 

@@ -95,10 +95,15 @@ def run_analysis(spark: SparkSession, cleaned: DataFrame, out_dir: str,
     return TB.scan(spark, target)
 
 
-def clean_to_table(spark: SparkSession, raw: DataFrame, out_dir: str) -> DataFrame:
-    """Rebuild ``cleaned_data`` and return a scan of the written table."""
+def clean_to_table(spark: SparkSession, raw: DataFrame, out_dir: str,
+                   observation: Observation | None = None) -> DataFrame:
+    """Rebuild ``cleaned_data`` and return a scan of the written table; an
+    ``observation`` receives its row count during the write (``cleaned_rows``)."""
     target = table_path(out_dir, "cleaned_data")
-    TB.replace_table(CL.clean_events(raw), target)
+    cleaned = CL.clean_events(raw)
+    if observation is not None:
+        cleaned = cleaned.observe(observation, F.count(F.lit(1)).alias("cleaned_rows"))
+    TB.replace_table(cleaned, target)
     return TB.scan(spark, target)
 
 
@@ -108,13 +113,15 @@ def run_batch_job(spark: SparkSession, raw: DataFrame, out_dir: str,
     one-row run report.  Failures propagate to the caller."""
     cfg = cfg or JobConfig()
     t0 = time.time()
-    cleaned = clean_to_table(spark, raw, out_dir)
+    clean_obs = Observation("cleaned")
+    cleaned = clean_to_table(spark, raw, out_dir, clean_obs)
     det = run_anomaly_detection(spark, raw, out_dir, cfg)
     insights = run_analysis(spark, cleaned, out_dir, cfg)
     n_insights = insights.count()
+    n_cleaned = clean_obs.get["cleaned_rows"]
     elapsed = round(time.time() - t0, 3)
     return spark.createDataFrame(
         [(elapsed, det["total_rows"], det["anomalies"], det["normal"], float(det["anomaly_rate"] or 0.0),
-          det["alert_raised"], n_insights)],
+          det["alert_raised"], n_insights, n_cleaned)],
         "elapsed_sec double, total_rows long, anomalies long, normal_rows long, anomaly_rate double, "
-        "alert_raised boolean, insights long")
+        "alert_raised boolean, insights long, cleaned_rows long")
