@@ -170,9 +170,13 @@ def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
 
 # ------------------------------------------------- notebook raw profile
 def profile_schema(df: DataFrame) -> DataFrame:
-    """Column names and types as a DataFrame (schema metadata only)."""
-    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    """Columns, their types and non-null counts (pandas ``info()``), from one
+    aggregate scan: ``position, column_name, data_type, non_null``."""
+    counts = df.agg(*[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"),
+                              F.lit(t).alias("data_type"), F.col(f"_n{i}").alias("non_null"))
+                     for i, (c, t) in enumerate(df.dtypes)])
+    return counts.select(F.inline(rows))
 
 
 def profile_raw(raw: DataFrame) -> DataFrame:

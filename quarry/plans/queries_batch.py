@@ -322,7 +322,14 @@ def q_scan_raw(spark, sf):
 
 
 # ------------------------------------------------------- notebook profile
-@register("profile_schema")
+_RAW_TYPES = [("id", "bigint"), ("order_id", "int"), ("user_id", "string"), ("product_id", "int"),
+              ("product_name", "string"), ("category", "string"), ("price", "double"), ("quantity", "int"),
+              ("event_type", "string"), ("timestamp", "string"), ("payment_method", "string"), ("city", "string")]
+
+
+@register("profile_schema", with_raw(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null FROM raw_data"
+    for i, (c, t) in enumerate(_RAW_TYPES))))
 def q_profile_schema(spark, sf):
     return Q.profile_schema(_raw(spark, sf))
 
