@@ -22,6 +22,25 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~1000 executors, ~100 TB input),
+# applied by ``build_session(master=None)`` only where the cluster's own
+# configuration leaves them unset:
+# - 256 MB input splits and AQE-sized shuffle partitions (starting high and
+#   coalescing to ~256 MB) keep every task's working set well inside
+#   executor memory, so the DISTINCT and the group-bys spill rarely;
+# - skew-join splitting covers the one possible shuffle join (a huge
+#   label dictionary);
+# - 10,000-row Arrow batches bound the scoring UDF's per-batch memory
+#   (about 10,000 x 100 trees x 8 bytes for the path matrix).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
 def build_session(master: str | None = "local[8]", shuffle_partitions: int | None = 8,
                   app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
     """Session with the conf above.  ``master=None`` leaves master, memory and
@@ -29,16 +48,23 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
     sizes the driver and the shuffle partitions for one machine."""
     b = SparkSession.builder.appName(app_name)
     conf = dict(DEFAULT_CONF)
+    cluster_defaults = {}
     if master is not None:
         b = b.master(master)
         conf.setdefault("spark.driver.memory", "16g")
         if shuffle_partitions:
             conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        cluster_defaults = dict(CLUSTER_CONF)
     if extra:
         conf.update(extra)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    explicit = spark.sparkContext.getConf()
+    for k, v in cluster_defaults.items():  # runtime SQL confs; the cluster's own values win
+        if not explicit.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
