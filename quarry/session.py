@@ -25,9 +25,10 @@ DEFAULT_CONF = {
 # Suggested settings for a large cluster (~1000 executors, ~100 TB input),
 # applied by ``build_session(master=None)`` only where the cluster's own
 # configuration leaves them unset:
-# - 256 MB input splits and AQE-sized shuffle partitions (starting high and
-#   coalescing to ~256 MB) keep every task's working set well inside
-#   executor memory, so the DISTINCT and the group-bys spill rarely;
+# - 256 MB input splits and a ~256 MB AQE target per shuffle partition keep
+#   every task's working set well inside executor memory, so the DISTINCT
+#   and the group-bys spill rarely (the shuffle partition count itself is
+#   sized by the cluster for its data);
 # - skew-join splitting covers the one possible shuffle join (a huge
 #   label dictionary);
 # - 10,000-row Arrow batches bound the scoring UDF's per-batch memory
@@ -35,7 +36,6 @@ DEFAULT_CONF = {
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
 }
@@ -61,10 +61,11 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int | Non
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    explicit = spark.sparkContext.getConf()
-    for k, v in cluster_defaults.items():  # runtime SQL confs; the cluster's own values win
-        if not explicit.contains(k):
-            spark.conf.set(k, v)
+    if not spark.sparkContext.master.startswith("local"):  # real clusters only
+        explicit = spark.sparkContext.getConf()
+        for k, v in cluster_defaults.items():  # runtime SQL confs; the cluster's own values win
+            if not explicit.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
