@@ -25,6 +25,8 @@ from quarry.sources import tables as TB
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="quarry")
     ap.add_argument("--master", default=None, help="e.g. local[8]; omit under spark-submit")
+    ap.add_argument("--checkpoint-dir", default=None,
+                    help="shared folder for checkpoints and scratch tables (spark.checkpoint.dir)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     for name in ("ingest", "clean", "detect", "analyze", "batch"):
         p = sub.add_parser(name)
@@ -39,7 +41,8 @@ def main(argv=None) -> int:
         p.add_argument("--contamination", type=float, default=J.JobConfig.contamination)
         p.add_argument("--threshold", type=float, default=J.JobConfig.alert_threshold)
     a = ap.parse_args(argv)
-    spark = build_session(master=a.master)
+    extra = {"spark.checkpoint.dir": a.checkpoint_dir} if a.checkpoint_dir else None
+    spark = build_session(master=a.master, extra=extra)
     cfg = J.JobConfig(contamination=a.contamination, alert_threshold=a.threshold)
     if a.cmd == "ingest":
         from quarry.streaming.ingest import ingest_then_clean
