@@ -39,3 +39,17 @@ def test_views_on_stored_anomaly_table(spark):
     by_city = CH.anomalies_by_city(stored).collect()
     assert sum(r["count"] for r in by_city) == overview[("anomaly_label", "Anomaly")]
     assert CH.price_histogram(stored).count() > 0
+
+
+def test_job_appends_alert_above_threshold(spark):
+    raw = raw_data(spark, SF_SMALL)
+    out = scratch_path(spark, "job-alert")
+    cfg = J.JobConfig(alert_threshold=5.0)
+    for _ in range(2):  # each run appends one alert row
+        det = J.run_anomaly_detection(spark, raw, out, cfg)
+    assert det["alert_raised"] is True
+    alerts = spark.read.parquet(J.table_path(out, "anomaly_alerts")).collect()
+    assert len(alerts) == 2
+    a = alerts[0]
+    assert a.threshold == 5.0 and a.total_rows == det["total_rows"] and a.anomaly_count == det["anomalies"]
+    assert a.message == f"High anomaly rate: {det['anomaly_rate']:.1f}%"
