@@ -53,3 +53,14 @@ def test_job_appends_alert_above_threshold(spark):
     a = alerts[0]
     assert a.threshold == 5.0 and a.total_rows == det["total_rows"] and a.anomaly_count == det["anomalies"]
     assert a.message == f"High anomaly rate: {det['anomaly_rate']:.1f}%"
+
+
+def test_job_drops_scored_scratch(spark):
+    import os
+
+    from quarry.session import ensure_checkpoint_dir
+    base = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "quarry-scratch")
+    before = {f for f in os.listdir(base) if f.startswith("scored-")} if os.path.isdir(base) else set()
+    J.run_anomaly_detection(spark, raw_data(spark, SF_SMALL), scratch_path(spark, "job-scratch"))
+    after = {f for f in os.listdir(base) if f.startswith("scored-")}
+    assert after - before == set()
