@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, token_counts, token_ids
+from quarry.llm import decontaminate, mixing, token_counts, token_ids, warc
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,13 +26,24 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_report(table(spark, sf_dir, "pages"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_token_ids, op10_benchmark_decontamination)
+    f.__name__: f for f in (op1_token_counts, op2_token_ids, op6_mixing, op8_warc,
+                                 op10_benchmark_decontamination)
 }
 ORACLE: dict[str, str] = {
+    "op6_mixing": mixing.oracle_sql(),
+    "op8_warc": warc.ORACLE_SQL,
     "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }
