@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, mixing, token_counts, token_ids, warc
+from quarry.llm import decontaminate, fingerprints, jaccard_join, language_id, mixing, quality, token_counts, token_ids, toxicity, warc
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,21 +26,48 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_ids(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=0)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(table(spark, sf_dir, "pages"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_token_ids, op6_mixing, op8_warc,
-                                 op10_benchmark_decontamination)
+    f.__name__: f for f in (op1_token_counts, op2_token_ids, op3_language_id, op4_fingerprints, op5_quality, op6_mixing,
+                            op7_toxicity, op8_warc, op9_jaccard_join, op10_benchmark_decontamination,
+                            pipeline)
 }
 ORACLE: dict[str, str] = {
     "op6_mixing": mixing.oracle_sql(),
