@@ -4,12 +4,14 @@
    characters, after A-Z are lower-cased.  A window is ``width`` consecutive
    words of a benchmark item; a shorter item (but not an empty one) is one
    window of its own length.
-2. Benchmark windows are hashed and broadcast when their counted number is at
-   most ``BROADCAST_WINDOWS``; beyond that the same join shuffles on the hash.
-3. Training texts are scanned map-side: hashes of all windows are built in
-   place by doubling (a window of 10 words is one of 8 and one of 2), exploded
-   and joined.  Only true occurrences survive the word-by-word verification,
-   so shuffles carry hits, never the windows of the corpus.
+2. The n-grams (windows) are filed by the hash of their longest word, the one
+   least likely to be common, and this hash table is broadcast when its counted
+   number of windows is at most ``BROADCAST_WINDOWS``; beyond that the same
+   join shuffles on the hash.
+3. Training texts are scanned map-side: every word is looked up; where it is
+   the longest word of n-grams, the window of the text around it is compared
+   word by word with each.  Words that miss and windows that differ go no
+   further, so shuffles carry hits, never the words of the corpus.
 4. Hits are united per document: covered words, and the items found.
 
 Documents are keyed by (id, hash of the whole text), so repeated rows share
@@ -22,44 +24,16 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Words as the contract defines them, on lower-cased text.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word and the separators after it, on the original text.
-PIECE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-LEAD = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
+#: What separates words (fixed by the contract).
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 BROADCAST_WINDOWS = 200_000  # windows of about 200 bytes: 40 MB at most
 
 
 def words(text: Column) -> Column:
+    # split, not regexp_extract_all: the latter copies the whole text for every match
     lower = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
-    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
-
-
-def _pair(a: Column, b: Column, offset: int) -> Column:
-    """Hash of a[i] and b[i + offset]; what has no partner is cut off later."""
-    return F.zip_with(a, F.slice(b, offset + 1, F.greatest(F.size(b) - offset, F.lit(0))), lambda x, y: F.xxhash64(x, y))
-
-
-def window_hashes(df: DataFrame, word_col: str, widths: list[int]) -> DataFrame:
-    """Add ``_w<width>``: hashes of all windows of that many words.  Each step
-    is a column of its own, so none is computed twice."""
-    have = {1: "_h1"}
-    df = df.withColumn("_h1", F.transform(word_col, lambda w: F.xxhash64(w)))
-    size = 2
-    while size <= max(widths):
-        half = have[size // 2]
-        df = df.withColumn(f"_h{size}", _pair(F.col(half), F.col(half), size // 2))
-        have[size] = f"_h{size}"
-        size *= 2
-    for width in widths:
-        bits = [1 << b for b in range(width.bit_length()) if width >> b & 1][::-1]
-        done, col = bits[0], F.col(have[bits[0]])
-        for b in bits[1:]:
-            df = df.withColumn(f"_j{width}_{done}", _pair(col, F.col(have[b]), done))
-            col, done = F.col(f"_j{width}_{done}"), done + b
-        df = df.withColumn(f"_w{width}", F.slice(col, 1, F.greatest(F.size(word_col) - width + 1, F.lit(0))))
-    return df.drop(*[c for c in df.columns if c.startswith(("_h", "_j"))])
+    return F.array_remove(F.split(lower, SEPARATORS + "+"), "")
 
 
 def benchmark_windows(items: DataFrame, width: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -82,22 +56,17 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
     (word ranges [first, end) covered by windows) and ``items`` (the ids of the
     items found; an item without an id is found but not listed)."""
     windows = benchmark_windows(items, width, item_id_col, item_text_col)
-    counted = {r["width"]: r["count"] for r in windows.groupBy("width").count().collect()}  # at most `width` rows
-    widths = sorted(counted) or [width]
-    hashed = window_hashes(windows.withColumnRenamed("window", "_words"), "_words", widths)
-    own = F.coalesce(*[F.when(F.col("width") == w, F.element_at(f"_w{w}", 1)) for w in widths])
-    keys = hashed.select("item_id", "width", F.col("_words").alias("window"), own.alias("hash"))
-    if sum(counted.values()) <= BROADCAST_WINDOWS:
+    longest = F.array_max(F.transform("window", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("w"), i.alias("i"))))
+    keys = (windows.withColumn("_longest", longest)
+            .select(F.xxhash64("_longest.w").alias("hash"), F.col("_longest.i").alias("offset"), "width", "window", "item_id"))
+    if windows.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
-
-    scanned = window_hashes(_keyed(docs, id_col, text_col), "_words", widths)
-    hits = None
-    for w in widths:
-        found = (scanned.select("doc_id", "text_key", "_words", F.posexplode(f"_w{w}").alias("first", "hash"))
-                 .join(keys.where(F.col("width") == w), "hash")
-                 .where(F.slice("_words", F.col("first") + 1, w) == F.col("window"))
-                 .select("doc_id", "text_key", F.struct("first", (F.col("first") + w).alias("end")).alias("span"), "item_id"))
-        hits = found if hits is None else hits.unionAll(found)
+    first = F.col("at") - F.col("offset")
+    hits = (_keyed(docs, id_col, text_col)
+            .select("doc_id", "text_key", "_words", F.posexplode("_words").alias("at", "_word"))
+            .withColumn("hash", F.xxhash64("_word")).join(keys, "hash")
+            .where((first >= 0) & (F.slice("_words", F.greatest(first, F.lit(0)) + 1, F.col("width")) == F.col("window")))
+            .select("doc_id", "text_key", F.struct(first.alias("first"), (first + F.col("width")).alias("end")).alias("span"), "item_id"))
     return hits.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("span")).alias("spans"),
                                                   F.collect_set("item_id").alias("items"))
 
@@ -142,9 +111,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, remove: st
         return docs.join(hits.drop("_hit_spans"), on, "left_anti")
     if remove != "spans":
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(PIECE), F.lit(0))
-    kept = F.filter(pieces, lambda p, i: ~F.exists("_hit_spans", lambda s: (i >= s["first"]) & (i < s["end"])))
-    cut = F.concat(F.regexp_extract(F.col(text_col), LEAD, 0), F.array_join(kept, ""))
+    # a piece is a word with the separators after it; the first also has those before it
+    pieces = F.split(F.col(text_col), f"(?<={SEPARATORS})(?!{SEPARATORS})")
+    lead = (F.regexp_replace(F.element_at(pieces, 1), SEPARATORS, "") == "").cast("int")  # separators alone come first
+    kept = F.filter(pieces, lambda p, i: ~F.exists("_hit_spans", lambda s: (i - lead >= s["first"]) & (i - lead < s["end"])))
+    cut = F.array_join(kept, "")
     joined = docs.join(hits, on, "left")
     return joined.select(*[F.when(F.col("_hit_spans").isNotNull(), cut).otherwise(docs[c]).alias(c) if c == text_col else docs[c]
                            for c in docs.columns])
