@@ -13,14 +13,21 @@ are encoded whole by the library, because the library cuts them differently.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
-
 _ODD_BLANKS = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
 
-CACHE_ENTRIES = 400_000  # per worker; the whole worker tier is dropped when it is full
+# The byte-level alphabet: printable bytes stand for themselves, the others
+# follow from U+0100 on (the public rule of byte-level BPE).
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+_STOPS = frozenset(".,;:!?")
+
+CACHE_ENTRIES = 800_000  # per worker; the whole worker tier is dropped when it is full
 CACHED_CHARS = 64  # longer parts are encoded each time
 
 
@@ -39,15 +46,35 @@ def split_chunks(text: str) -> list[str]:
     return _CUT.split(text) if _ODD_BLANKS.search(text) else text.split(" ")
 
 
+def is_byte_level(tokenizer) -> bool:
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    pre = tokenizer.pre_tokenizer
+    return tokenizer.normalizer is None and isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space
+
+
 class ChunkTable(dict):
     """part -> encoding; misses are encoded by the library and kept."""
 
-    def __init__(self, tokenizer, encode, frequent=None, prefix=" "):
+    def __init__(self, tokenizer, encode, frequent=None, first: ChunkTable | None = None):
         super().__init__(frequent or {})
-        self.tokenizer, self.encode, self.frequent, self.prefix = tokenizer, encode, frequent or {}, prefix
+        self.tokenizer, self.encode, self.frequent = tokenizer, encode, frequent or {}
+        self.prefix = "" if first is None else " "
+        self.first = self if first is None else first
+        self.model, self.blank = tokenizer.model, "" if first is None else _BYTE_CHARS[32]
 
     def __missing__(self, part):
-        value = self.encode(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids)
+        # two more places where a new pre-token always starts: a line end between
+        # words, and a stop after letters
+        at = part.find("\n")
+        if 0 < at < len(part) - 1 and not part[at - 1].isspace() and not part[at + 1].isspace():
+            return self[part[:at]] + self.first["\n"] + self.first[part[at + 1:]]
+        if part[-1:] in _STOPS and part[:-1].isalpha():
+            value = self[part[:-1]] + self.first[part[-1]]
+        elif part.isalpha():  # one pre-token: the library's merges alone
+            value = self.encode([t.id for t in self.model.tokenize(self.blank + part.encode().decode("latin-1").translate(_BYTE_CHARS))])
+        else:
+            value = self.encode(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids)
         if len(part) <= CACHED_CHARS:
             if len(self) >= CACHE_ENTRIES + len(self.frequent):
                 self.clear()
@@ -63,14 +90,15 @@ class ChunkEncoder:
     def __init__(self, path: str, encode, join, frequent=None):
         self.tokenizer = load_tokenizer(path)
         self.encode, self.join = encode, join
+        self.cut = is_byte_level(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.rest = ChunkTable(self.tokenizer, encode, frequent)
-        self.first = ChunkTable(self.tokenizer, encode, prefix="")
+        self.first = ChunkTable(self.tokenizer, encode)
+        self.rest = ChunkTable(self.tokenizer, encode, frequent, self.first)
 
     def __call__(self, text: str | None):
         if not text:
             return self.join([])
-        if any(s in text for s in self.special):
+        if not self.cut or any(s in text for s in self.special):
             return self.join([self.encode(self.tokenizer.encode(text, add_special_tokens=False).ids)])
         parts = split_chunks(text)
         values = [self.first[parts[0]]]
@@ -78,5 +106,23 @@ class ChunkEncoder:
         return self.join(values)
 
 
-def id_bytes(ids: list[int], dtype: str) -> bytes:
-    return np.array(ids, dtype).tobytes()
+@lru_cache(maxsize=2)
+def counting_encoder(path: str, table) -> ChunkEncoder:
+    """Text -> number of tokens.  One per worker and broadcast table, so that
+    later tasks find the cache warm."""
+    return ChunkEncoder(path, len, sum, table.value)
+
+
+@lru_cache(maxsize=2)
+def id_encoder(path: str, dtype: str) -> ChunkEncoder:
+    """Text -> bytes of its ids.  One per worker, see above."""
+    kind = {"<u2": "H", "<u4": "I"}[dtype]  # array() is faster than NumPy for a few ids
+    swap = sys.byteorder != "little"
+
+    def pack(ids: list[int]) -> bytes:
+        a = array(kind, ids)
+        if swap:
+            a.byteswap()
+        return a.tobytes()
+
+    return ChunkEncoder(path, pack, b"".join)

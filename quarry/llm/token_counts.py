@@ -99,7 +99,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 1024,
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = chunks.ChunkEncoder(tokenizer_path, len, sum, table.value)
+        encoder = chunks.counting_encoder(tokenizer_path, table)
         for texts in batches:
             yield pd.Series([encoder(t) for t in texts], dtype="int64")
 

@@ -63,7 +63,7 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()
-        encoder = chunks.ChunkEncoder(tokenizer_path, lambda ids: chunks.id_bytes(ids, dtype), b"".join)
+        encoder = chunks.id_encoder(tokenizer_path, dtype)
         width = np.dtype(dtype).itemsize
         final = _shard_files(folder, shard)
         temporary = {k: f"{p}.{uuid.uuid4().hex}.tmp" for k, p in final.items()}
