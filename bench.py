@@ -51,7 +51,7 @@ def main() -> None:
         K.business_insights(TB.scan(spark, cleaned_path)).collect()
 
     def forest_train():
-        feats, n = FE.build_features_counted(raw_data(spark, sf_dir), persist="auto")
+        feats, n = FE.build_features_counted(raw_data(spark, sf_dir))
         model = IF.train_isolation_forest(feats, n_rows=n)
         state.update(feats=feats, model=model, arrays=model.node_arrays())
 
@@ -60,7 +60,6 @@ def main() -> None:
         scored = materialize(model.score(feats), "bench-scored")
         thr = IF.threshold_for(scored)
         _noop(IF.label_by_threshold(scored, thr))
-        feats.unpersist()
 
     def full_job():
         state["report"] = J.run_batch_job(spark, raw_data(spark, sf_dir), scratch_path(spark, "bench-job")).first()

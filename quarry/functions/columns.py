@@ -131,7 +131,7 @@ def coerce_price(c="price", dtype: str = "double") -> Column:
     col = _c(c)
     if dtype == "string":
         col = F.regexp_replace(col, r"[^0-9.\-]", "").try_cast("double")
-    return F.coalesce(col.cast("double"), F.lit(0.0))
+    return F.coalesce(F.nanvl(col.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def coerce_quantity(c="quantity") -> Column:

@@ -12,10 +12,11 @@ and the pass repeated, so the result is always exactly the n smallest.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import drop_scratch, materialize
+
 _SPAN = 2.0 ** 64
 _MIN = -(2 ** 63)
 
@@ -32,7 +33,7 @@ def _threshold(q: float) -> int:
 def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_rows: int | None = None,
                      oversample: float = 4.0, keep_hash: str | None = None, verify: bool = True) -> DataFrame:
     """Exactly the ``min(n, N)`` rows with the smallest (hash, id) (at most n
-    rows; persisted when a threshold filter had to be verified).  ``n_rows``
+    rows; written once when a threshold filter had to be verified).  ``n_rows``
     (N) avoids a counting pass when known.  ``verify=False`` returns the
     filtered top-n without counting it; the caller must then check that it
     got ``min(n, N)`` rows and call again with ``oversample=inf`` if not."""
@@ -50,10 +51,10 @@ def smallest_by_hash(df: DataFrame, n: int, seed: int, id_col: str = "id", n_row
         if not verify:
             pool = src.orderBy("_h", id_col).limit(n)
             break
-        pool = src.orderBy("_h", id_col).limit(n).persist(StorageLevel.MEMORY_AND_DISK)
+        pool = materialize(src.orderBy("_h", id_col).limit(n), "sample")  # at most n rows
         if pool.count() >= want:
             break
-        pool.unpersist()
+        drop_scratch(df.sparkSession, pool._quarry_scratch)
         q = min(1.0, q * 4)
     return pool if keep_hash == "_h" else (pool.withColumnRenamed("_h", keep_hash) if keep_hash
                                            else pool.drop("_h"))

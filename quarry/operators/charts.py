@@ -17,7 +17,6 @@ from quarry.functions.sampling import smallest_by_hash
 from quarry.operators.quality import group_counts
 
 LABELS = [S.LABEL_NORMAL, S.LABEL_ANOMALY]
-MAX_BROADCAST_LABELS = 10_000
 
 
 def anomaly_label_counts(labelled: DataFrame) -> DataFrame:
@@ -53,15 +52,15 @@ def price_histogram(labelled: DataFrame, bins: int = 50, lo: float = 0.0, hi: fl
     value +- 0.5), count and density n / (N * width).  Empty bins omitted."""
     x = F.least(F.greatest(F.col(value).cast("double"), F.lit(lo)), F.lit(hi))
     clipped = labelled.select("anomaly_label", x.alias("x"))
-    stats = (clipped.groupBy("anomaly_label")
+    stats = (clipped.where(F.col("anomaly_label").isNotNull()).groupBy("anomaly_label")
              .agg(F.min("x").alias("mn"), F.max("x").alias("mx"), F.count(F.lit(1)).alias("n_label")))
     start = F.when(F.col("mx") > F.col("mn"), F.col("mn")).otherwise(F.col("mn") - 0.5)
     stop = F.when(F.col("mx") > F.col("mn"), F.col("mx")).otherwise(F.col("mx") + 0.5)
-    stats = stats.select("anomaly_label", "n_label", start.alias("start"),
-                         ((stop - start) / bins).alias("width")).persist()
-    # one row per label value; broadcast only after checking that count
-    small = stats.count() <= MAX_BROADCAST_LABELS
-    j = clipped.join(F.broadcast(stats) if small else stats, "anomaly_label")
+    # one entry per label value, as a one-row scalar subquery: lazy, no join
+    per_label = stats.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("anomaly_label"), F.struct(start.alias("start"), ((stop - start) / bins).alias("width"), "n_label"))))).scalar()
+    j = (clipped.where(F.col("anomaly_label").isNotNull()).withColumn("_s", F.element_at(per_label, F.col("anomaly_label")))
+         .select("anomaly_label", "x", "_s.start", "_s.width", "_s.n_label"))
     b = F.least(F.floor((F.col("x") - F.col("start")) / F.col("width")).cast("int"), F.lit(bins - 1))
     return (j.groupBy("anomaly_label", b.alias("bin"))
             .agg(F.count(F.lit(1)).alias("count"), F.first("start").alias("start"), F.first("width").alias("width"),

@@ -15,17 +15,17 @@ join.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions import columns as C
+from quarry.session import materialize
 
 ENCODED = [("category_clean", "category_encoded"), ("city_clean", "city_encoded"),
            ("event_type_clean", "event_type_encoded"), ("payment_clean", "payment_encoded")]
 BROADCAST_LIMIT = 1_000_000
-INLINE_LIMIT = 10_000
+INLINE_LIMIT = 100
 
 
 def prepare_features(raw: DataFrame, price_dtype: str | None = None) -> DataFrame:
@@ -66,7 +66,7 @@ def assign_codes(dictionary: DataFrame) -> DataFrame:
     ordered = dictionary.orderBy("column", "value")
     pid = F.spark_partition_id()
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    ranked = ordered.select("*", pid.alias("_pid"), pos.alias("_pos")).persist(StorageLevel.MEMORY_AND_DISK)
+    ranked = materialize(ordered.select("*", pid.alias("_pid"), pos.alias("_pos")), "dictionary")
     sizes = sorted((r["_pid"], r["c"]) for r in ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
     start, kv = 0, []
     for p, c in sizes:
@@ -127,14 +127,15 @@ def _join_encode(df: DataFrame, pairs, codes: DataFrame, broadcast: bool) -> Dat
 
 def _encode_with(prepared: DataFrame, pairs, dictionary: DataFrame, inline_limit: int,
                  broadcast_limit: int) -> tuple[DataFrame, int]:
-    """Encode using a persisted value dictionary whose size is checked first;
-    returns the encoded frame and the dictionary's row count for column 1."""
+    """Encode using a value dictionary whose size is checked first; returns the
+    encoded frame and the dictionary's row count for column 1.  Nothing is
+    cached: a dictionary too large to inline is written once as a table."""
     first_col = pairs[0][0]
     rows = dictionary.limit(inline_limit + 1).collect()
     if len(rows) <= inline_limit:
-        dictionary.unpersist()
         n = sum(r["n"] for r in rows if r["column"] == first_col)
         return _lookup_encode(prepared, pairs, _local_codes(rows)), n
+    dictionary = materialize(dictionary, "dictionary")
     n = dictionary.where(F.col("column") == first_col).agg(F.sum("n")).first()[0] or 0
     size = dictionary.count()
     return _join_encode(prepared, pairs, assign_codes(dictionary), size <= broadcast_limit), n
@@ -148,7 +149,7 @@ def label_encode(df: DataFrame, pairs=ENCODED, broadcast_limit: int = BROADCAST_
     is inlined as a literal map; up to ``broadcast_limit`` it is broadcast;
     beyond that it is joined with a shuffle join.
     """
-    d = value_dictionary(df, [a for a, _ in pairs]).persist()
+    d = value_dictionary(df, [a for a, _ in pairs])
     return _encode_with(df, pairs, d, inline_limit, broadcast_limit)[0]
 
 
@@ -158,54 +159,14 @@ def build_features(raw: DataFrame, broadcast_limit: int = BROADCAST_LIMIT,
     return label_encode(prepare_features(raw), broadcast_limit=broadcast_limit, inline_limit=inline_limit)
 
 
-CACHE_ROWS_LIMIT = 50_000_000
-
-
 def build_features_counted(raw: DataFrame, inline_limit: int = INLINE_LIMIT,
-                           broadcast_limit: int = BROADCAST_LIMIT, persist="auto",
-                           cache_rows_limit: int = CACHE_ROWS_LIMIT) -> tuple[DataFrame, int]:
+                           broadcast_limit: int = BROADCAST_LIMIT) -> tuple[DataFrame, int]:
     """``build_features`` plus the row count, both from one dictionary pass
     (the counts of one encoded column's values add up to the row count).
     At most ``inline_limit + 1`` dictionary rows are ever collected.
 
-    ``persist``: True caches the prepared rows for the later passes (spread
-    over the cluster's cores first if the input came in fewer splits);
-    ``"auto"`` does so only when N <= ``cache_rows_limit`` -- a table far
-    larger than cluster memory is re-read from its columnar source instead."""
+    Rows are not cached: every later pass reads the columnar source, so a run
+    never sees rows that an earlier run of the session left in memory."""
     prepared = prepare_features(raw)
-    d = value_dictionary(prepared, [a for a, _ in ENCODED]).persist()
-    first = d.limit(inline_limit + 1).collect()
-    n = (sum(r["n"] for r in first if r["column"] == ENCODED[0][0]) if len(first) <= inline_limit
-         else d.where(F.col("column") == ENCODED[0][0]).agg(F.sum("n")).first()[0] or 0)
-    if persist is True or (persist == "auto" and n <= cache_rows_limit):
-        from quarry.session import ensure_parallelism
-        prepared = ensure_parallelism(prepared).persist(StorageLevel.MEMORY_AND_DISK)
-    return _encode_with(prepared, ENCODED, d, inline_limit, broadcast_limit)[0], n
-
-
-# mean and std are sums of doubles whose last bits depend on addition order
-# (partitioning, engine); 4 decimals keeps the profile stable across both
-STAT_DECIMALS = 4
-
-
-def describe_features(features: DataFrame, cols=S.FEATURE_COLS) -> DataFrame:
-    """count, mean, std (n-1), min, 25/50/75 % (linear interpolation), max per
-    feature, one row per feature, computed in one aggregate.  Percentiles are
-    exact order statistics; mean and std are rounded to ``STAT_DECIMALS``."""
-    from quarry.functions.quantile import exact_percentiles
-
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = features.agg(*aggs)
-    q = exact_percentiles(features, cols, [0.25, 0.5, 0.75])
-    rows = F.array(*[F.struct(
-        F.lit(c).alias("feature"), F.col(f"{c}__count").alias("count"),
-        F.round(F.col(f"{c}__mean"), STAT_DECIMALS).alias("mean"),
-        F.round(F.col(f"{c}__std"), STAT_DECIMALS).alias("std"),
-        F.col(f"{c}__min").alias("min"), F.lit(q[c][0]).alias("p25"), F.lit(q[c][1]).alias("p50"),
-        F.lit(q[c][2]).alias("p75"), F.col(f"{c}__max").alias("max")) for c in cols])
-    return wide.select(F.inline(rows))
+    return _encode_with(prepared, ENCODED, value_dictionary(prepared, [a for a, _ in ENCODED]),
+                        inline_limit, broadcast_limit)

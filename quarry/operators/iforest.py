@@ -65,21 +65,26 @@ def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: s
     cols = [F.col(id_col).alias("id")] + [F.col(c).cast("double").alias(c) for c in feature_cols]
     pool = smallest_by_hash(features.select(*cols), m, seed, "id", n_rows=n, keep_hash="_h",
                             oversample=oversample, verify=verify)
-    # the pool holds at most n_trees * psi rows: ranking it in one partition is bounded
-    ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_h", "id")) - 1)
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                     lambda t: F.pmod(F.col("_r") - t * psi, F.lit(m)) < psi)
-    out = ranked.select(F.explode(trees).alias("tree"), "id", *feature_cols)
-    return out, psi
+    # each tree takes the psi pool rows with the smallest (id, tree) hashes: an
+    # independent sample without replacement.  A hash threshold leaves about
+    # oversample * psi candidates per tree before the ranking within the tree.
+    keep = min(1.0, oversample * psi / m)
+    key = lambda t: F.xxhash64(F.col("id"), t, F.lit(seed))
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    if keep < 1.0:
+        trees = F.filter(trees, lambda t: key(t) < F.lit(int(-(2 ** 63) + keep * 2 ** 64)))
+    drawn = pool.select(F.explode(trees).alias("tree"), "id", *feature_cols).withColumn("_k", key(F.col("tree")))
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy("_k", "id", *feature_cols))
+    return drawn.withColumn("_r", rank).where(F.col("_r") <= psi).drop("_k", "_r"), psi
 
 
 def _fit_tree_fn(feature_cols, psi: int, seed: int):
     height_limit = int(math.ceil(math.log2(max(psi, 2))))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id", kind="mergesort")
+        pdf = pdf.sort_values(["id", *feature_cols], kind="mergesort")  # repeated ids: by value
         tree = int(pdf["tree"].iloc[0])
-        x = pdf[list(feature_cols)].to_numpy(dtype=np.float64)
+        x = np.nan_to_num(pdf[list(feature_cols)].to_numpy(dtype=np.float64), nan=0.0, posinf=1e300, neginf=-1e300)
         rng = np.random.default_rng(np.random.SeedSequence([seed, tree]))
         rows = []
         stack = [(np.arange(len(x)), 0, 0)]  # (row indices, node id, depth)

@@ -49,7 +49,9 @@ def decode_events(df: DataFrame, value_col: str = "value") -> DataFrame:
     parsed = df.select("*", F.explode(F.array(d)).alias("_d"))
     e = {f: F.col(f"_d.{f}") for f in S.EVENT_JSON_FIELDS}
     malformed = v.isNull() | (F.trim(v) == "") | F.col(f"_d.{CORRUPT}").isNotNull()
-    pid = C.resolve_product_id(_int_field(e["product_id"]), _int_field(e["prod_id"]))
+    # an empty, false or zero product_id counts as absent
+    own = F.when(~F.trim(e["product_id"]).isin("", "false", "0", "0.0"), e["product_id"])
+    pid = _int_field(F.coalesce(own, e["prod_id"], F.when(F.trim(e["product_id"]).isin("0", "0.0"), F.lit("0"))))
     typed = {
         "order_id": _int_field(e["order_id"]),
         "user_id": e["user_id"],
@@ -64,11 +66,11 @@ def decode_events(df: DataFrame, value_col: str = "value") -> DataFrame:
         "city": e["city"],
     }
     int_texts = {"order_id": e["order_id"], "quantity": e["quantity"],
-                 # the field that ``a or b`` picks: product_id unless absent/null/0
-                 "product_id": F.coalesce(F.nullif(e["product_id"], F.lit("0")), e["prod_id"])}
+                 "product_id": F.coalesce(own, e["prod_id"])}
     reason = F.when(malformed, F.lit("malformed json"))
     for f, text in int_texts.items():
         reason = reason.when(text.isNotNull() & _int_field(text).isNull(), F.lit(f"bad {f}"))
+    reason = reason.when(F.abs(typed["price"]) == float("inf"), F.lit("bad price"))
     for f, width in TEXT_WIDTH.items():
         reason = reason.when(F.length(e[f]) > width, F.lit(f"{f} too long"))
     keep = [c for c in df.columns if c != value_col]

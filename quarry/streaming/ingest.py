@@ -23,24 +23,23 @@ from pyspark.sql.streaming import StreamingQuery
 from quarry import schemas as S
 from quarry.sources import events as EV
 
-# Surrogate id layout for sources without offsets: batch id in the high bits,
-# Spark's per-batch monotonically increasing id (partition << 33 | row) below.
-# Unique while a micro-batch has < 2^11 partitions and batch ids stay < 2^19;
-# both limits raise instead of silently colliding (bound the batch size with
-# maxFilesPerTrigger).
-BATCH_SHIFT = 44
-MAX_BATCH_PARTITIONS = 1 << (BATCH_SHIFT - 33)
+# Surrogate ids for sources without offsets: the batch id in the high bits and
+# the row's dense position in the batch below, whatever the number of
+# partitions.  2^40 rows a batch and 2^23 batches; a batch id beyond that raises.
+BATCH_SHIFT = 40
 MAX_BATCH_ID = 1 << (63 - BATCH_SHIFT)
 
 
 def read_event_stream(spark: SparkSession, source: str = "files", path: str | None = None,
-                      topic: str = "ecommerce_topic", bootstrap_servers: str | None = None,
+                      topic: str | None = None, bootstrap_servers: str | None = None,
                       max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
                       starting_offsets: str = "earliest", **options) -> DataFrame:
     """Streaming DataFrame with a text ``value`` column (plus ``partition``
     and ``offset`` for Kafka).  Kafka needs its connector jar on the
     classpath; the file source is the offline stand-in."""
     if source == "kafka":
+        if not topic:
+            raise ValueError("the kafka source needs a topic")
         r = (spark.readStream.format("kafka")
              .option("kafka.bootstrap.servers", bootstrap_servers)
              .option("subscribe", topic).option("startingOffsets", starting_offsets))
@@ -67,25 +66,45 @@ def surrogate_id(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     else:
         if batch_id >= MAX_BATCH_ID:
             raise ValueError(f"batch id {batch_id} exceeds the surrogate id layout")
-        too_wide = F.spark_partition_id() >= MAX_BATCH_PARTITIONS
-        sid = F.when(too_wide, F.raise_error(F.lit(
-            f"micro-batch has >= {MAX_BATCH_PARTITIONS} partitions; lower maxFilesPerTrigger"))
-        ).otherwise(F.shiftleft(F.lit(batch_id).cast("long"), BATCH_SHIFT) + F.monotonically_increasing_id())
+        return _dense_ids(df, batch_id)
     return df.withColumn("id", sid)
 
 
+def _dense_ids(df: DataFrame, batch_id: int) -> DataFrame:
+    """Rows numbered through the batch's partitions in order: a partition's
+    first number is the prefix sum of the sizes before it (one row per
+    partition on the driver).  A replayed batch has the same partitions, so
+    the same ids."""
+    pid = F.spark_partition_id()
+    sizes = df.select(pid.alias("_pid")).groupBy("_pid").count().collect()
+    start, rows = batch_id << BATCH_SHIFT, []
+    for r in sorted(sizes):
+        rows.append((r["_pid"], start))
+        start += r["count"]
+    starts = df.sparkSession.createDataFrame(rows, "_pid int, _start long")
+    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    placed = df.select("*", pid.alias("_pid"), position.alias("_pos")).join(F.broadcast(starts), "_pid")
+    return placed.withColumn("id", F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
+
+
 def write_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:
     """One micro-batch: decode, split, write both sides into partition
     ``batch_id`` (idempotent under replay)."""
     decoded = EV.decode_events(surrogate_id(batch, batch_id)).withColumn("batch_id", F.lit(batch_id))
     decoded = decoded.persist()
+    try:
+        _write_sides(decoded, raw_path, quarantine_path)
+    finally:
+        decoded.unpersist()
+
+
+def _write_sides(decoded: DataFrame, raw_path: str, quarantine_path: str) -> None:
     good, bad = EV.quarantine_bad_rows(decoded)
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW.fields] + [F.col("batch_id")]
     (good.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(raw_path))
     (bad.select("id", "bad_reason", "value", "batch_id").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path))
-    decoded.unpersist()
 
 
 def start_ingest(stream: DataFrame, raw_path: str, quarantine_path: str, checkpoint_path: str,
