@@ -44,8 +44,10 @@ from quarry.session import materialize
 
 NUM, DEN = 75, 100  # similarity threshold as a fraction
 SHINGLE = 5
-ROUNDS = 2
+ROUNDS = 3
 HOT_GROUP = 4096
+BROADCAST_CLASSES = 500_000  # pairs of longs: 8 MB
+PAIR_BLOCK = 1 << 15  # pairs whose sketches are compared at a time
 MAX_LEVEL = 4  # independent signature sets for one group; then its pairs are listed
 SEEN_SETS = 1_000_000  # set ids a task remembers, so that copies emit signatures once
 _U = np.uint64
@@ -145,8 +147,8 @@ def signatures(s: np.ndarray, level: int = 0) -> np.ndarray:
 
 
 def parity_sketch(s: np.ndarray) -> bytes:
-    """One bit per hash range, two to four ranges per element."""
-    bits = min(16, max(6, (2 * len(s) - 1).bit_length()))
+    """One bit per hash range, four to eight ranges per element."""
+    bits = min(17, max(6, (4 * len(s) - 1).bit_length()))
     return np.packbits((np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits) & 1).astype(np.uint8)).tobytes()
 
 
@@ -165,24 +167,30 @@ def may_be_similar(na: int, ca: bytes, nb: int, cb: bytes) -> bool:
     return int(np.bitwise_count(folded(ca, size) ^ folded(cb, size)).sum()) <= differences(na, nb)
 
 
-def open_pairs(n: np.ndarray, sketches: list[bytes], component: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, js): pairs of members of different components that may be similar."""
-    width = np.array([len(x) for x in sketches])
-    for size in np.unique(width):
-        wide = np.flatnonzero(width >= size)
-        bits = np.stack([folded(sketches[i], size) for i in wide])
-        own = width[wide] == size
-        for at in np.flatnonzero(own):
-            i = wide[at]
-            # each pair once: later members of this width, all of the wider ones
-            js = np.flatnonzero((component[wide] != component[i]) & (~own | (np.arange(len(wide)) > at)))
-            nj = n[wide[js]]
-            js = js[DEN * np.minimum(nj, n[i]) >= NUM * np.maximum(nj, n[i])]
-            if len(js):
-                apart = np.bitwise_count(bits[js] ^ bits[at]).sum(axis=1, dtype=np.int64)
-                js = js[apart <= (n[wide[js]] + n[i]) * (DEN - NUM) // (DEN + NUM)]
-            if len(js):
-                yield int(i), wide[js]
+def pairs_that_may_be_similar(n: np.ndarray, sketches: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``may_be_similar`` for many pairs of rows at once: a mask."""
+    width = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    ok = DEN * np.minimum(n[a], n[b]) >= NUM * np.maximum(n[a], n[b])
+    coarse = np.minimum(width[a], width[b])
+    for size in np.unique(coarse[ok]):
+        at = np.flatnonzero(ok & (coarse == size))
+        rows, place = np.unique(np.concatenate([a[at], b[at]]), return_inverse=True)
+        bits = np.stack([folded(sketches[i], size) for i in rows]).view(np.uint64)
+        for c in range(0, len(at), PAIR_BLOCK):
+            x, y = place[c:c + PAIR_BLOCK][:len(at) - c], place[len(at) + c:len(at) + c + PAIR_BLOCK]
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+            part = at[c:c + PAIR_BLOCK]
+            ok[part] = apart <= (n[a[part]] + n[b[part]]) * (DEN - NUM) // (DEN + NUM)
+    return ok
+
+
+def pairs_between(component: np.ndarray, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (i < j) of a group's rows that lie in different components, in blocks."""
+    rows = max(1, PAIR_BLOCK // max(1, end - start))
+    for at in range(start, end, rows):
+        i, j = np.nonzero(component[at:min(end, at + rows), None] != component[None, start:end])
+        i, j = i + at, j + start
+        yield i[i < j], j[i < j]
 
 
 # --- Spark ---------------------------------------------------------------------
@@ -221,37 +229,45 @@ def _signature_rows(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(emit, "sig long, sid long")
 
 
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Parts of a partition that is sorted by sig, in whole groups: the rows,
+    and where each group starts and ends."""
+    carry = None
+    for pdf in batches:
+        pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
+        sig = pdf["sig"].to_numpy()
+        cuts = np.flatnonzero(sig[1:] != sig[:-1]) + 1
+        if not len(cuts):
+            carry = pdf
+            continue
+        yield pdf.iloc[:cuts[-1]], np.append(0, cuts[:-1]), cuts
+        carry = pdf.iloc[cuts[-1]:].reset_index(drop=True)
+    if carry is not None and len(carry):
+        yield carry, np.array([0]), np.array([len(carry)])
+
+
+def _grouped(groups: DataFrame) -> DataFrame:
+    return groups.repartition(shuffle_partitions(groups.sparkSession), "sig").sortWithinPartitions("sig", "sid")
+
+
 def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, leader, sid) of the signatures that several sets have; the leader
-    is the group's smallest sid.  One pass over sorted rows, holding a group
-    only until its second member shows up."""
+    """(sig, leader, sid, size) of the signatures that several sets have; the
+    leader is the group's smallest sid.  Of groups of two only the other member
+    has a row."""
     def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sig = leader = last = None  # the group that is open, its leader, its last member
-        alone = False
-        for pdf in batches:
+        for pdf, _, _ in _whole_groups(batches):
             g, d = pdf["sig"].to_numpy(np.int64), pdf["sid"].to_numpy(np.int64)
-            new = np.append(sig is None or g[0] != sig, g[1:] != g[:-1])
-            fresh = new | np.append(last is None or d[0] != last, d[1:] != d[:-1])  # not a repeated row
-            g, d, new = g[fresh], d[fresh], new[fresh]
-            if not len(g):
-                continue
-            at = np.maximum.accumulate(np.where(new, np.arange(len(g)), -1))
-            lead = np.where(at >= 0, d[at], leader if leader is not None else 0)
-            more = ~new
-            open_pair = bool(alone and more[0])  # the open group's leader row was held back
-            paired = np.append(more[1:], False)  # the next row is in the same group
-            keep = more | (new & paired)
-            out = {"sig": g[keep], "leader": lead[keep], "sid": d[keep]}
-            if open_pair:
-                out = {"sig": np.append(sig, out["sig"]), "leader": np.append(leader, out["leader"]), "sid": np.append(leader, out["sid"])}
-            sig, leader, last = int(g[-1]), int(lead[-1]), int(d[-1])
-            alone = bool(new[-1])
-            if len(out["sig"]):
-                yield pd.DataFrame(out)
-
-    n = shuffle_partitions(rows.sparkSession)
-    return (rows.repartition(n, "sig").sortWithinPartitions("sig", "sid")
-            .mapInPandas(groups, "sig long, leader long, sid long"))
+            fresh = np.append(True, (g[1:] != g[:-1]) | (d[1:] != d[:-1]))  # not a repeated row
+            g, d = g[fresh], d[fresh]
+            new = np.append(True, g[1:] != g[:-1])
+            start = np.flatnonzero(new)
+            size = np.diff(np.append(start, len(g)))
+            group = np.cumsum(new) - 1
+            keep = (size[group] > 2) | ((size[group] == 2) & ~new)
+            if keep.any():
+                yield pd.DataFrame({"sig": g[keep], "leader": d[start][group][keep], "sid": d[keep], "size": size[group][keep]})
+
+    return _grouped(rows).mapInPandas(groups, "sig long, leader long, sid long, size long")
 
 
 def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -270,7 +286,10 @@ def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _class_texts(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
     """(sid, shingles) of the wanted classes, from one document of each."""
-    chosen = doc_sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_doc")).join(sids, "sid")
+    chosen = materialize(doc_sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_doc")).join(sids, "sid"),
+                         "jaccard-chosen")
+    if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled
+        chosen = F.broadcast(chosen)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -279,7 +298,7 @@ def _class_texts(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataF
             yield pd.DataFrame({"sid": [i for i, r in zip(pdf["sid"], right) if r],
                                 "elements": [s.tobytes() for s, r in zip(got, right) if r]})
 
-    return (docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_doc")).select("sid", "text")
+    return (docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("sid", "text")
             .mapInPandas(sets, "sid long, elements binary").dropDuplicates(["sid"]))
 
 
@@ -294,52 +313,24 @@ def _links(candidates: DataFrame, elements: DataFrame) -> DataFrame:
     return candidates.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("a", "b")
 
 
-def _by_group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The groups (rows of one sig) of a partition that is sorted by sig."""
-    carry = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        pdf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
-        sig = pdf["sig"].to_numpy()
-        cuts = np.flatnonzero(sig[1:] != sig[:-1]) + 1
-        at = 0
-        for c in cuts:
-            yield pdf.iloc[at:c]
-            at = c
-        carry = pdf.iloc[at:]
-    if carry is not None:
-        yield carry
-
-
-def _grouped(groups: DataFrame) -> DataFrame:
-    n = shuffle_partitions(groups.sparkSession)
-    return groups.repartition(n, "sig").sortWithinPartitions("sig", "sid")
-
-
 def _open(groups: DataFrame, components: DataFrame, seed: int) -> DataFrame:
-    """(sig, sid, component, leader): the groups of three or more that hold
-    several components, and a leader from the largest; null where the leader
-    need not be compared."""
+    """(sig, sid, component, leader): the groups that hold several components,
+    and a leader from the largest; null where it need not be compared."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, rows = [], 0
-        for g in _by_group(batches):
-            comp = g["component"].to_numpy(np.int64)
-            if len(g) < 3 or (comp == comp[0]).all():
-                continue
-            sid = g["sid"].to_numpy(np.int64)
-            values, inverse, counts = np.unique(comp, return_inverse=True, return_counts=True)
-            members = sid[inverse == counts.argmax()]
-            leader = members[mix64(members.view(_U), 20 + seed).argmin()]
-            led = pd.array(np.full(len(g), leader), "Int64")
-            led[inverse == counts.argmax()] = pd.NA
-            out.append(pd.DataFrame({"sig": g["sig"].to_numpy(), "sid": sid, "component": comp, "leader": led}))
-            rows += len(g)
-            if rows >= 10_000:
-                yield pd.concat(out)
-                out, rows = [], 0
-        if out:
-            yield pd.concat(out)
+        for pdf, starts, ends in _whole_groups(batches):
+            sid, comp = pdf["sid"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
+            several = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
+            keep, leader = np.zeros(len(sid), bool), np.zeros(len(sid), np.int64)
+            led = np.zeros(len(sid), bool)
+            rank = mix64(sid.view(_U), 20 + seed)
+            for s, e in zip(starts[several], ends[several]):
+                values, inverse, counts = np.unique(comp[s:e], return_inverse=True, return_counts=True)
+                inside = inverse == counts.argmax()
+                keep[s:e], led[s:e] = True, ~inside
+                leader[s:e] = sid[s:e][inside][rank[s:e][inside].argmin()]
+            if keep.any():
+                yield pd.DataFrame({"sig": pdf["sig"].to_numpy()[keep], "sid": sid[keep], "component": comp[keep],
+                                    "leader": pd.Series(leader[keep], dtype="Int64").mask(~led[keep])})
 
     groups = groups.select("sig", "sid")
     placed = groups.join(components, groups["sid"] == components["node"], "left").select(
@@ -351,16 +342,35 @@ def _rest(opened: DataFrame, classes: DataFrame, listed: bool) -> DataFrame:
     """(sig, a, b): the pairs of an open group's components that may be links,
     or, with b null, the members of a hot group (unless ``listed``)."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in _by_group(batches):
-            sid, sig = g["sid"].to_numpy(np.int64), g["sig"].iloc[0]
-            if len(g) > HOT_GROUP and not listed:
-                yield pd.DataFrame({"sig": sig, "a": sid, "b": pd.array([None] * len(sid), "Int64")})
-                continue
-            found = list(open_pairs(g["n_shingles"].to_numpy(np.int64), [bytes(x) for x in g["sketch"]], g["component"].to_numpy(np.int64)))
-            if found:
-                a = np.concatenate([np.full(len(js), sid[i]) for i, js in found])
-                b = np.concatenate([sid[js] for _, js in found])
-                yield pd.DataFrame({"sig": sig, "a": np.minimum(a, b), "b": pd.array(np.maximum(a, b), "Int64")})
+        for pdf, starts, ends in _whole_groups(batches):
+            sig, sid = pdf["sig"].to_numpy(np.int64), pdf["sid"].to_numpy(np.int64)
+            comp, n = pdf["component"].to_numpy(np.int64), pdf["n_shingles"].to_numpy(np.int64)
+            sketches = [bytes(x) for x in pdf["sketch"]]
+            left, right, held, seen = [], [], 0, set()
+
+            def checked() -> Iterator[pd.DataFrame]:
+                a, b = np.concatenate(left), np.concatenate(right)
+                ok = pairs_that_may_be_similar(n, sketches, a, b)
+                a, b = a[ok], b[ok]
+                new = [p for p in zip(np.minimum(sid[a], sid[b]).tolist(), np.maximum(sid[a], sid[b]).tolist(), sig[a].tolist()) if p[:2] not in seen]
+                seen.update(p[:2] for p in new)
+                if new:
+                    x, y, g = zip(*new)
+                    yield pd.DataFrame({"sig": g, "a": x, "b": pd.array(y, "Int64")})
+
+            for s, e in zip(starts, ends):
+                if e - s > HOT_GROUP and not listed:
+                    yield pd.DataFrame({"sig": sig[s:e], "a": sid[s:e], "b": pd.array([None] * (e - s), "Int64")})
+                    continue
+                for i, j in pairs_between(comp, s, e):
+                    left.append(i)
+                    right.append(j)
+                    held += len(i)
+                    if held >= 8 * PAIR_BLOCK:
+                        yield from checked()
+                        left, right, held = [], [], 0
+            if held:
+                yield from checked()
 
     return (_grouped(opened.select("sig", "sid", "component").join(classes, "sid"))
             .mapInPandas(emit, "sig long, a long, b long"))
@@ -386,7 +396,8 @@ def _star(groups: DataFrame) -> DataFrame:
 def class_links(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
     """Links (a, b) between classes: every link is there, or its ends are
     joined by a path of links that are."""
-    classes = doc_sets.where("sid is not null").select("sid", "n_shingles", "sketch").dropDuplicates(["sid"])
+    classes = materialize(doc_sets.where("sid is not null").select("sid", "n_shingles", "sketch").dropDuplicates(["sid"]),
+                          "jaccard-classes")
 
     def linked(pairs: DataFrame, ready: DataFrame | None = None) -> DataFrame:
         pairs = materialize(pairs, "jaccard-pairs")
@@ -395,7 +406,7 @@ def class_links(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
 
     groups = materialize(_shared(_signature_rows(docs)), "jaccard-groups")
     links = linked(_candidates(_star(groups), classes))
-    level = 0
+    groups, level = groups.where("size > 2"), 0  # a group of two is done with its star
     while True:
         for r in range(ROUNDS + 1):
             groups = materialize(_open(groups, connected_components(links), r), "jaccard-open")
@@ -412,6 +423,7 @@ def class_links(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
         members = materialize(_class_texts(docs, doc_sets, hot.select("sid").distinct()), "jaccard-sets")
         groups = materialize(_shared(_sub_signatures(hot, members, level)), "jaccard-groups")
         links = links.unionAll(linked(_candidates(_star(groups), classes), members))
+        groups = groups.where("size > 2")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
