@@ -18,7 +18,7 @@ matters also emits.
 Groups.  Classes that share a signature are first compared with one leader of
 the group (a star, not all pairs).  Links found are united, and groups that
 still hold several components are compared with another leader, from their
-largest component, ``ROUNDS`` times.  Only then are the pairs between the
+largest component, up to ``ROUNDS`` times while that closes groups.  Only then are the pairs between the
 components of a group looked at, by sketches, inside the task that holds the
 group; pairs that may be links are compared.  A group with more than
 ``HOT_GROUP`` classes in several components is first divided by a second,
@@ -36,6 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm.common import mix64, ship, shuffle_partitions
@@ -45,6 +47,7 @@ from quarry.session import materialize
 NUM, DEN = 75, 100  # similarity threshold as a fraction
 SHINGLE = 5
 ROUNDS = 3
+STALLED = 0.9  # no further leader round if the last one left more than this share of the open rows
 HOT_GROUP = 4096
 BROADCAST_CLASSES = 500_000  # pairs of longs: 8 MB
 PAIR_BLOCK = 1 << 15  # pairs whose sketches are compared at a time
@@ -55,23 +58,13 @@ _U = np.uint64
 
 # --- sets ----------------------------------------------------------------------
 
-_POWERS = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, _U))
+_PLACES = (0x9E3779B97F4A7C15 ** np.arange(1, SHINGLE + 1, dtype=object) & 0xFFFFFFFFFFFFFFFF).astype(np.uint64)  # weights of a shingle's words
 
 
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the words of a text, in order."""
-    global _POWERS
-    a = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)  # bytes.lower() changes A-Z only
-    blank = (a == 32) | ((a >= 9) & (a <= 13))
-    inside = np.flatnonzero(~blank)
-    if not len(inside):
-        return np.empty(0, _U)
-    first = np.flatnonzero(np.append(True, inside[1:] != inside[:-1] + 1))
-    lengths = np.diff(np.append(first, len(inside)))
-    while lengths.max() > len(_POWERS):
-        _POWERS = np.cumprod(np.full(2 * len(_POWERS), 0x9E3779B97F4A7C15, _U))
-    place = np.arange(len(inside)) - np.repeat(first, lengths)
-    return mix64(np.add.reduceat((a[inside].astype(_U) + _U(1)) * _POWERS[place], first) ^ lengths.astype(_U))
+    words = text.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -84,8 +77,7 @@ def shingles(text: str | None) -> np.ndarray:
     n = min(SHINGLE, len(h))
     out = np.full(len(h) - n + 1, n, _U)
     for i in range(n):
-        out = (out ^ h[i:len(h) - n + 1 + i]) * _U(0x9E3779B97F4A7C15)
-        out ^= out >> _U(32)
+        out += h[i:len(h) - n + 1 + i] * _PLACES[i]
     out = mix64(out, 1)
     out.sort()
     return out[np.append(True, out[1:] != out[:-1])]
@@ -93,7 +85,7 @@ def shingles(text: str | None) -> np.ndarray:
 
 def set_id(s: np.ndarray) -> int:
     """64-bit identity of a set (as a signed long)."""
-    total = (int(mix64(s, 2).sum(dtype=_U)) + len(s) * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
+    total = (int(s.sum(dtype=_U)) + len(s) * 0xD6E8FEB86659FD93) & 0xFFFFFFFFFFFFFFFF
     return int(mix64(np.array([total], _U), 3).view(np.int64)[0])
 
 
@@ -137,12 +129,13 @@ def signatures(s: np.ndarray, level: int = 0) -> np.ndarray:
         part = ((s >> _U(32)) * _U(m)) >> _U(32)  # ascending, since s is
         starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         count = np.diff(np.append(starts, n))
-        content = np.add.reduceat(mix64(s, 4), starts)
+        content = np.add.reduceat(s, starts)
         sig = mix64(content ^ mix64(part[starts], 5) ^ _U(b + 64 * level), 6)
+        sig = (_U(255) - np.minimum(count, 255).astype(_U)) << _U(56) | sig >> _U(8)  # the global order
         if len(sig) <= k:  # the mark: similar sets may differ in every partition
             out += [sig, mix64(np.array([b + 64 * level], _U), 7)]
         else:
-            out.append(sig[np.lexsort((sig, -count))[:k + 1]])
+            out.append(np.partition(sig, k)[:k + 1])
     return np.concatenate(out)
 
 
@@ -196,37 +189,32 @@ def pairs_between(component: np.ndarray, start: int, end: int) -> Iterator[tuple
 # --- Spark ---------------------------------------------------------------------
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, sid, sketch); sid is null for an empty set."""
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            got = [shingles(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "text_key": pdf["text_key"], "n_shingles": [len(s) for s in got],
-                                "sid": pd.array([set_id(s) if len(s) else None for s in got], "Int64"),
-                                "sketch": [parity_sketch(s) for s in got]})
-
-    return (docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-            .mapInPandas(sets, "doc_id long, text_key long, n_shingles long, sid long, sketch binary"))
-
-
-def _signature_rows(docs: DataFrame) -> DataFrame:
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(doc_id, text_key, n_shingles, sid, sketch, sigs); sid is null for an
+    empty set.  A task gives the signatures of a set that it meets again once."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for pdf in batches:
-            sigs, sids = [], []
-            for text in pdf["text"]:
-                s = shingles(text)
-                if not len(s) or (sid := set_id(s)) in seen:
-                    continue
-                if len(seen) >= SEEN_SETS:
-                    seen.clear()
-                seen.add(sid)
-                g = signatures(s)
-                sigs.append(g)
-                sids.append(np.full(len(g), sid, np.int64))
-            if sigs:
-                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "sid": np.concatenate(sids)})
 
-    return docs.select("text").mapInPandas(emit, "sig long, sid long")
+        def signed(s: np.ndarray, sid: int | None) -> np.ndarray:
+            if sid is None or sid in seen:
+                return s[:0]
+            if len(seen) >= SEEN_SETS:
+                seen.clear()
+            seen.add(sid)
+            return signatures(s)
+
+        for batch in batches:
+            got = [shingles(t) for t in batch.column("text").to_pylist()]
+            sids = [set_id(s) if len(s) else None for s in got]
+            sigs = [signed(s, sid) for s, sid in zip(got, sids)]
+            ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
+            values = np.concatenate([np.empty(0, _U), *sigs]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(map(len, got), pa.int64()), pa.array(sids, pa.int64()),
+                 pa.array(map(parity_sketch, got), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                ["doc_id", "text_key", "n_shingles", "sid", "sketch", "sigs"])
+
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+            .mapInArrow(sets, "doc_id long, text_key long, n_shingles long, sid long, sketch binary, sigs array<long>"))
 
 
 def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
@@ -404,16 +392,19 @@ def class_links(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
         elements = ready or materialize(_class_texts(docs, doc_sets, _ends(pairs)), "jaccard-sets")
         return materialize(_links(pairs, elements), "jaccard-links")
 
-    groups = materialize(_shared(_signature_rows(docs)), "jaccard-groups")
+    groups = materialize(_shared(doc_sets.select(F.explode("sigs").alias("sig"), "sid")), "jaccard-groups")
     links = linked(_candidates(_star(groups), classes))
     groups, level = groups.where("size > 2"), 0  # a group of two is done with its star
     while True:
+        rows = None
         for r in range(ROUNDS + 1):
             groups = materialize(_open(groups, connected_components(links), r), "jaccard-open")
-            if not groups.limit(1).count():
+            before, rows = rows, groups.count()
+            if not rows:
                 return links
-            if r < ROUNDS:
-                links = links.unionAll(linked(_candidates(_star(groups), classes)))
+            if r == ROUNDS or (before and rows > STALLED * before):
+                break
+            links = links.unionAll(linked(_candidates(_star(groups), classes)))
         rest = materialize(_rest(groups, classes, level >= MAX_LEVEL), "jaccard-rest")
         links = links.unionAll(linked(rest.where("b is not null").select("a", "b").distinct()))
         hot = rest.where("b is null").select("sig", F.col("a").alias("sid"))
