@@ -23,23 +23,31 @@ def _small_star(e: DataFrame) -> DataFrame:
             .unionAll(least.select("u", F.col("m").alias("v"))))
 
 
-def _sum(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s")).collect()[0]
-    return r["n"], r["s"]
+def _is_star_forest(e: DataFrame) -> bool:
+    """Whether every node has one neighbour or only neighbours that have no other."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("low")).unionAll(e.select(F.col("v").alias("x"), F.lit(0).alias("low")))
+    seen = ends.groupBy("x").agg(F.sum("low").alias("parents"), F.min("low").alias("root"))
+    return not seen.where("parents > 1 or (parents = 1 and root = 0)").limit(1).count()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has an edge; the component is its
     smallest node.  Each round is written as a table, so a lost executor costs
-    one round at most; minima are combined map-side."""
-    e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    e = materialize(e, "components")
-    before = _sum(e)
-    while before[0]:
+    one round at most; minima are combined map-side.  ``edges`` is read more
+    than once: pass a written table."""
+    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
+    while True:
         e = materialize(_small_star(_large_star(e)).distinct(), "components")
-        now = _sum(e)
-        if now == before:
+        if _is_star_forest(e):
             break
-        before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def merged(found: DataFrame, newer: DataFrame) -> DataFrame:
+    """Components whose own components were joined further: ``newer`` is over
+    the components of ``found`` and over nodes that it does not have."""
+    on = newer.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    return materialize(
+        found.join(on, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+        .unionAll(newer.join(found.select("node"), "node", "left_anti")), "components-merged")

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from quarry.llm.common import mix64, ship, shuffle_partitions
-from quarry.llm.components import connected_components
+from quarry.llm.components import connected_components, merged
 from quarry.session import materialize
 
 NUM, DEN = 75, 100  # similarity threshold as a fraction
@@ -189,8 +189,7 @@ def pairs_between(component: np.ndarray, start: int, end: int) -> Iterator[tuple
 # --- Spark ---------------------------------------------------------------------
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, sid, sketch, sigs); sid is null for an
-    empty set.  A task gives the signatures of a set that it meets again once."""
+    """(doc_id, text_key, n_shingles, sid, sigs); sid is null for an empty set.  A task gives the signatures of a set that it meets again once."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
 
@@ -210,11 +209,11 @@ def document_sets(docs: DataFrame) -> DataFrame:
             values = np.concatenate([np.empty(0, _U), *sigs]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(map(len, got), pa.int64()), pa.array(sids, pa.int64()),
-                 pa.array(map(parity_sketch, got), pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
-                ["doc_id", "text_key", "n_shingles", "sid", "sketch", "sigs"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
+                ["doc_id", "text_key", "n_shingles", "sid", "sigs"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
-            .mapInArrow(sets, "doc_id long, text_key long, n_shingles long, sid long, sketch binary, sigs array<long>"))
+            .mapInArrow(sets, "doc_id long, text_key long, n_shingles long, sid long, sigs array<long>"))
 
 
 def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
@@ -239,76 +238,79 @@ def _grouped(groups: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, leader, sid, size) of the signatures that several sets have; the
-    leader is the group's smallest sid.  Of groups of two only the other member
-    has a row."""
+    """(sig, leader, sid, near) of the signatures in ``rows`` (sig, sid,
+    n_shingles) that several sets have.  The leader is the group's smallest
+    sid; near tells whether its size allows a link."""
     def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, _, _ in _whole_groups(batches):
-            g, d = pdf["sig"].to_numpy(np.int64), pdf["sid"].to_numpy(np.int64)
+            g, d, n = (pdf[c].to_numpy(np.int64) for c in ("sig", "sid", "n_shingles"))
             fresh = np.append(True, (g[1:] != g[:-1]) | (d[1:] != d[:-1]))  # not a repeated row
-            g, d = g[fresh], d[fresh]
+            g, d, n = g[fresh], d[fresh], n[fresh]
             new = np.append(True, g[1:] != g[:-1])
             start = np.flatnonzero(new)
-            size = np.diff(np.append(start, len(g)))
-            group = np.cumsum(new) - 1
-            keep = (size[group] > 2) | ((size[group] == 2) & ~new)
+            first = start[np.cumsum(new) - 1]
+            near = (DEN * np.minimum(n, n[first]) >= NUM * np.maximum(n, n[first])) & ~new
+            size = np.diff(np.append(start, len(g)))[np.cumsum(new) - 1]
+            keep = (size > 2) | ((size == 2) & near)  # a group of two is one pair
             if keep.any():
-                yield pd.DataFrame({"sig": g[keep], "leader": d[start][group][keep], "sid": d[keep], "size": size[group][keep]})
+                yield pd.DataFrame({"sig": g[keep], "leader": d[first][keep], "sid": d[keep], "near": near[keep], "more": size[keep] > 2})
 
-    return _grouped(rows).mapInPandas(groups, "sig long, leader long, sid long, size long")
+    return _grouped(rows).mapInPandas(groups, "sig long, leader long, sid long, near boolean, more boolean")
 
 
-def _candidates(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) whose sizes and count sketches allow a link."""
-    a = classes.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ca"))
-    b = classes.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("cb"))
-
-    @F.pandas_udf("boolean")
-    def may(na: pd.Series, ca: pd.Series, nb: pd.Series, cb: pd.Series) -> pd.Series:
-        return pd.Series([may_be_similar(*r) for r in zip(na, ca, nb, cb)], dtype=bool)
-
-    sized = (pairs.distinct().join(a.drop("ca"), "a").join(b.drop("cb"), "b")
-             .where(DEN * F.least("na", "nb") >= NUM * F.greatest("na", "nb")).drop("na", "nb"))
-    return sized.join(a, "a").join(b, "b").where(may("na", "ca", "nb", "cb")).select("a", "b")
-
-
-def _class_texts(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
-    """(sid, shingles) of the wanted classes, from one document of each."""
-    chosen = materialize(doc_sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_doc")).join(sids, "sid"),
+def _class_sets(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
+    """(sid, n_shingles, sketch, elements) of the wanted classes, from one
+    document of each."""
+    chosen = materialize(doc_sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_doc")).join(sids, "sid", "left_semi"),
                          "jaccard-chosen")
     if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled
         chosen = F.broadcast(chosen)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [shingles(t) for t in pdf["text"]]
-            right = [bool(len(s)) and set_id(s) == sid for s, sid in zip(got, pdf["sid"])]  # an id may have several texts
-            yield pd.DataFrame({"sid": [i for i, r in zip(pdf["sid"], right) if r],
-                                "elements": [s.tobytes() for s, r in zip(got, right) if r]})
+            got = [(sid, shingles(t)) for sid, t in zip(pdf["sid"], pdf["text"])]
+            got = [(sid, s) for sid, s in got if len(s) and set_id(s) == sid]  # an id may have several texts
+            yield pd.DataFrame({"sid": [sid for sid, _ in got], "n_shingles": [len(s) for _, s in got],
+                                "sketch": [parity_sketch(s) for _, s in got], "elements": [s.tobytes() for _, s in got]})
+
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")))
+             .select("sid", "text").mapInPandas(sets, "sid long, n_shingles long, sketch binary, elements binary"))
+    return materialize(found.dropDuplicates(["sid"]), "jaccard-sets")
 
-    return (docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("sid", "text")
-            .mapInPandas(sets, "sid long, elements binary").dropDuplicates(["sid"]))
 
+def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) whose sizes and sketches allow a link."""
+    a = sets.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
+    b = sets.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
 
-def _links(candidates: DataFrame, elements: DataFrame) -> DataFrame:
-    """The candidate pairs that are links, by exact intersection."""
+    @F.pandas_udf("boolean")
+    def may(na: pd.Series, ka: pd.Series, nb: pd.Series, kb: pd.Series) -> pd.Series:
+        return pd.Series([may_be_similar(*r) for r in zip(na, ka, nb, kb)], dtype=bool)
+
+    return pairs.join(a, "a").join(b, "b").where(may("na", "ka", "nb", "kb")).drop("na", "ka", "nb", "kb")
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(ca, cb): the components of the pairs (a, b, ca, cb) that are links, by
+    exact intersection."""
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([similar(np.frombuffer(p, _U), np.frombuffer(q, _U)) for p, q in zip(x, y)], dtype=bool)
 
-    a = elements.select(F.col("sid").alias("a"), F.col("elements").alias("ea"))
-    b = elements.select(F.col("sid").alias("b"), F.col("elements").alias("eb"))
-    return candidates.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("a", "b")
+    a = sets.select(F.col("sid").alias("a"), F.col("elements").alias("ea"))
+    b = sets.select(F.col("sid").alias("b"), F.col("elements").alias("eb"))
+    return materialize(pairs.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("ca", "cb"), "jaccard-links")
 
 
-def _open(groups: DataFrame, components: DataFrame, seed: int) -> DataFrame:
-    """(sig, sid, component, leader): the groups that hold several components,
-    and a leader from the largest; null where it need not be compared."""
+def _open(groups: DataFrame, seed: int) -> DataFrame:
+    """(sig, sid, component, leader, home): the groups (sig, sid, component)
+    that hold several components, and a leader from the largest, with its
+    component; null where it need not be compared."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
             sid, comp = pdf["sid"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
             several = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
-            keep, leader = np.zeros(len(sid), bool), np.zeros(len(sid), np.int64)
+            keep, leader, home = np.zeros(len(sid), bool), np.zeros(len(sid), np.int64), np.zeros(len(sid), np.int64)
             led = np.zeros(len(sid), bool)
             rank = mix64(sid.view(_U), 20 + seed)
             for s, e in zip(starts[several], ends[several]):
@@ -316,19 +318,18 @@ def _open(groups: DataFrame, components: DataFrame, seed: int) -> DataFrame:
                 inside = inverse == counts.argmax()
                 keep[s:e], led[s:e] = True, ~inside
                 leader[s:e] = sid[s:e][inside][rank[s:e][inside].argmin()]
+                home[s:e] = values[counts.argmax()]
             if keep.any():
                 yield pd.DataFrame({"sig": pdf["sig"].to_numpy()[keep], "sid": sid[keep], "component": comp[keep],
-                                    "leader": pd.Series(leader[keep], dtype="Int64").mask(~led[keep])})
+                                    "leader": pd.Series(leader[keep], dtype="Int64").mask(~led[keep]), "home": home[keep]})
 
-    groups = groups.select("sig", "sid")
-    placed = groups.join(components, groups["sid"] == components["node"], "left").select(
-        "sig", "sid", F.coalesce("component", "sid").alias("component"))
-    return _grouped(placed).mapInPandas(emit, "sig long, sid long, component long, leader long")
+    return materialize(_grouped(groups).mapInPandas(emit, "sig long, sid long, component long, leader long, home long"), "jaccard-open")
 
 
-def _rest(opened: DataFrame, classes: DataFrame, listed: bool) -> DataFrame:
-    """(sig, a, b): the pairs of an open group's components that may be links,
-    or, with b null, the members of a hot group (unless ``listed``)."""
+def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
+    """(sig, a, b, ca, cb): the pairs of an open group's components that may be links,
+    with their components, or, with b null, the members of a hot group (unless
+    ``listed``)."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
             sig, sid = pdf["sig"].to_numpy(np.int64), pdf["sid"].to_numpy(np.int64)
@@ -340,15 +341,19 @@ def _rest(opened: DataFrame, classes: DataFrame, listed: bool) -> DataFrame:
                 a, b = np.concatenate(left), np.concatenate(right)
                 ok = pairs_that_may_be_similar(n, sketches, a, b)
                 a, b = a[ok], b[ok]
-                new = [p for p in zip(np.minimum(sid[a], sid[b]).tolist(), np.maximum(sid[a], sid[b]).tolist(), sig[a].tolist()) if p[:2] not in seen]
-                seen.update(p[:2] for p in new)
-                if new:
-                    x, y, g = zip(*new)
-                    yield pd.DataFrame({"sig": g, "a": x, "b": pd.array(y, "Int64")})
+                a, b = np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a)
+                fresh = []
+                for i, pair in enumerate(zip(sid[a].tolist(), sid[b].tolist())):
+                    if pair not in seen:
+                        seen.add(pair)
+                        fresh.append(i)
+                a, b = a[fresh], b[fresh]
+                if fresh:
+                    yield pd.DataFrame({"sig": sig[a], "a": sid[a], "b": pd.array(sid[b], "Int64"), "ca": comp[a], "cb": comp[b]})
 
             for s, e in zip(starts, ends):
                 if e - s > HOT_GROUP and not listed:
-                    yield pd.DataFrame({"sig": sig[s:e], "a": sid[s:e], "b": pd.array([None] * (e - s), "Int64")})
+                    yield pd.DataFrame({"sig": sig[s:e], "a": sid[s:e], "b": pd.array([None] * (e - s), "Int64"), "ca": comp[s:e], "cb": comp[s:e]})
                     continue
                 for i, j in pairs_between(comp, s, e):
                     left.append(i)
@@ -360,71 +365,70 @@ def _rest(opened: DataFrame, classes: DataFrame, listed: bool) -> DataFrame:
             if held:
                 yield from checked()
 
-    return (_grouped(opened.select("sig", "sid", "component").join(classes, "sid"))
-            .mapInPandas(emit, "sig long, a long, b long"))
+    members = opened.select("sig", "sid", "component").join(sets.select("sid", "n_shingles", "sketch"), "sid")
+    return materialize(_grouped(members).mapInPandas(emit, "sig long, a long, b long, ca long, cb long"), "jaccard-rest")
 
 
-def _sub_signatures(hot: DataFrame, elements: DataFrame, level: int) -> DataFrame:
-    """(sig, sid): members of hot groups under the signatures of a level, kept
-    apart by the group that they come from."""
+def _sub_signatures(hot: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+    """(sig, sid, n_shingles): members of hot groups under the signatures of a
+    level, kept apart by the group that they come from."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for sig, sid, e in zip(pdf["sig"], pdf["sid"], pdf["elements"]):
+            for sig, sid, n, e in zip(pdf["sig"], pdf["sid"], pdf["n_shingles"], pdf["elements"]):
                 g = signatures(np.frombuffer(e, _U), level)
                 own = mix64(g ^ mix64(np.array([sig], np.int64).view(_U), 8), 9)
-                yield pd.DataFrame({"sig": own.view(np.int64), "sid": np.full(len(own), sid, np.int64)})
+                yield pd.DataFrame({"sig": own.view(np.int64), "sid": np.full(len(own), sid, np.int64), "n_shingles": np.full(len(own), n, np.int64)})
 
-    return hot.join(elements, "sid").select("sig", "sid", "elements").mapInPandas(emit, "sig long, sid long")
+    return (hot.join(sets, "sid").select("sig", "sid", "n_shingles", "elements")
+            .mapInPandas(emit, "sig long, sid long, n_shingles long"))
 
 
-def _star(groups: DataFrame) -> DataFrame:
-    return groups.where("leader is not null and sid <> leader").select(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b"))
+def _with_components(groups: DataFrame, found: DataFrame, by: str) -> DataFrame:
+    """(sig, sid, component) of a group table, its column ``by`` looked up."""
+    return groups.join(found, groups[by] == found["node"], "left").select(
+        "sig", "sid", F.coalesce(found["component"], groups[by]).alias("component"))
 
 
-def class_links(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
-    """Links (a, b) between classes: every link is there, or its ends are
-    joined by a path of links that are."""
-    classes = materialize(doc_sets.where("sid is not null").select("sid", "n_shingles", "sketch").dropDuplicates(["sid"]),
-                          "jaccard-classes")
+def class_components(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
+    """(node, component) of the classes that have a link."""
+    rows = doc_sets.select(F.explode("sigs").alias("sig"), "sid", "n_shingles")
+    groups = materialize(_shared(rows), "jaccard-groups")
+    sets = _class_sets(docs, doc_sets, groups.select("sid").unionAll(groups.select("leader")).distinct())
 
-    def linked(pairs: DataFrame, ready: DataFrame | None = None) -> DataFrame:
-        pairs = materialize(pairs, "jaccard-pairs")
-        elements = ready or materialize(_class_texts(docs, doc_sets, _ends(pairs)), "jaccard-sets")
-        return materialize(_links(pairs, elements), "jaccard-links")
+    def star(groups: DataFrame) -> DataFrame:
+        pairs = groups.where("near").select(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b")).distinct()
+        return connected_components(_links(_sketched(pairs, sets).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), sets), "ca", "cb")
 
-    groups = materialize(_shared(doc_sets.select(F.explode("sigs").alias("sig"), "sid")), "jaccard-groups")
-    links = linked(_candidates(_star(groups), classes))
-    groups, level = groups.where("size > 2"), 0  # a group of two is done with its star
+    found, level = star(groups), 0
     while True:
-        rows = None
+        groups, rows = _with_components(groups.where("more"), found, "sid"), None
         for r in range(ROUNDS + 1):
-            groups = materialize(_open(groups, connected_components(links), r), "jaccard-open")
+            groups = _open(groups, r)
             before, rows = rows, groups.count()
             if not rows:
-                return links
+                return found
             if r == ROUNDS or (before and rows > STALLED * before):
                 break
-            links = links.unionAll(linked(_candidates(_star(groups), classes)))
-        rest = materialize(_rest(groups, classes, level >= MAX_LEVEL), "jaccard-rest")
-        links = links.unionAll(linked(rest.where("b is not null").select("a", "b").distinct()))
+            pairs = (groups.where("leader is not null").groupBy(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b"))
+                     .agg(F.min(F.least("component", "home")).alias("ca"), F.max(F.greatest("component", "home")).alias("cb")))
+            newer = connected_components(_links(_sketched(pairs, sets), sets), "ca", "cb")
+            found = merged(found, newer)
+            groups = _with_components(groups, newer, "component")
+        rest = _rest(groups, sets, level >= MAX_LEVEL)
+        pairs = rest.where("b is not null").dropDuplicates(["a", "b"]).select("a", "b", "ca", "cb")
+        found = merged(found, connected_components(_links(pairs, sets), "ca", "cb"))
         hot = rest.where("b is null").select("sig", F.col("a").alias("sid"))
         if not hot.limit(1).count():
-            return links
+            return found
         level += 1
-        members = materialize(_class_texts(docs, doc_sets, hot.select("sid").distinct()), "jaccard-sets")
-        groups = materialize(_shared(_sub_signatures(hot, members, level)), "jaccard-groups")
-        links = links.unionAll(linked(_candidates(_star(groups), classes), members))
-        groups = groups.where("size > 2")
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+        groups = materialize(_shared(_sub_signatures(hot, sets, level)), "jaccard-groups")
+        found = connected_components(found.select("node", "component").unionAll(star(groups)), "node", "component")
 
 
 def _placed(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     sets = materialize(document_sets(docs), "jaccard-docs")
-    found = connected_components(class_links(docs, sets))
+    found = class_components(docs, sets)
     tagged = (sets.select("doc_id", "text_key", "n_shingles", "sid").join(found, sets["sid"] == found["node"], "left")
               .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "sid").alias("c")))
     smallest = tagged.where("c is not null").groupBy(F.col("c").alias("_c")).agg(F.min("doc_id").alias("least"))
