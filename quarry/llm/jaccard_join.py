@@ -275,7 +275,9 @@ def _class_sets(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFr
 
     found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")))
              .select("sid", "text").mapInPandas(sets, "sid long, n_shingles long, sketch binary, elements binary"))
-    return materialize(found.dropDuplicates(["sid"]), "jaccard-sets")
+    if doc_sets.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated ids give a set again
+        found = found.dropDuplicates(["sid"])
+    return materialize(found, "jaccard-sets")
 
 
 def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -292,7 +294,12 @@ def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(ca, cb): the components of the pairs (a, b, ca, cb) that are links, by
-    exact intersection."""
+    exact intersection.  Only the sets of these pairs are shuffled."""
+    pairs = materialize(pairs, "jaccard-pairs")
+    if 2 * pairs.count() <= BROADCAST_CLASSES:  # else all sets are shuffled
+        ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+        sets = sets.join(F.broadcast(ends), "sid", "left_semi")
+
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([similar(np.frombuffer(p, _U), np.frombuffer(q, _U)) for p, q in zip(x, y)], dtype=bool)
