@@ -19,6 +19,7 @@ from functools import lru_cache
 
 _ODD_BLANKS = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 
 # The byte-level alphabet: printable bytes stand for themselves, the others
 # follow from U+0100 on (the public rule of byte-level BPE).
@@ -56,9 +57,9 @@ def is_byte_level(tokenizer) -> bool:
 class ChunkTable(dict):
     """part -> encoding; misses are encoded by the library and kept."""
 
-    def __init__(self, tokenizer, encode, frequent=None, first: ChunkTable | None = None):
+    def __init__(self, tokenizer, encode, join, frequent=None, first: ChunkTable | None = None):
         super().__init__(frequent or {})
-        self.tokenizer, self.encode, self.frequent = tokenizer, encode, frequent or {}
+        self.tokenizer, self.encode, self.join, self.frequent = tokenizer, encode, join, frequent or {}
         self.prefix = "" if first is None else " "
         self.first = self if first is None else first
         self.model, self.blank = tokenizer.model, "" if first is None else _BYTE_CHARS[32]
@@ -66,9 +67,12 @@ class ChunkTable(dict):
     def __missing__(self, part):
         # two more places where a new pre-token always starts: a line end between
         # words, and a stop after letters
-        at = part.find("\n")
-        if 0 < at < len(part) - 1 and not part[at - 1].isspace() and not part[at + 1].isspace():
-            return self[part[:at]] + self.first["\n"] + self.first[part[at + 1:]]
+        lines = _LINE_END.split(part)
+        if len(lines) > 1:  # a loop: a part may have any number of lines
+            values = [self[lines[0]]]
+            for line in lines[1:]:
+                values += self.first["\n"], self.first[line]
+            return self.join(values)
         if part[-1:] in _STOPS and part[:-1].isalpha():
             value = self[part[:-1]] + self.first[part[-1]]
         elif part.isalpha():  # one pre-token: the library's merges alone
@@ -92,8 +96,8 @@ class ChunkEncoder:
         self.encode, self.join = encode, join
         self.cut = is_byte_level(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = ChunkTable(self.tokenizer, encode)
-        self.rest = ChunkTable(self.tokenizer, encode, frequent, self.first)
+        self.first = ChunkTable(self.tokenizer, encode, join)
+        self.rest = ChunkTable(self.tokenizer, encode, join, frequent, self.first)
 
     def __call__(self, text: str | None):
         if not text:

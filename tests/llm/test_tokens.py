@@ -39,3 +39,14 @@ def test_archive_round_trip(odd_docs, no_docs):
             assert g.start == start
         start += len(own)
     assert token_ids.token_ids(no_docs, PATH).count() == 0
+
+
+def test_many_lines_without_a_blank(spark):
+    texts = ["\n".join(f"{kind}{i}" for i in range(5_000)) for kind in ("w", "", "漢字", "a,b'")]
+    texts += ["see " + texts[0] + "\n\n" + texts[1] + " end\n", texts[2] + "\n\t" + texts[3]]
+    for t in texts:
+        assert chunks.ChunkEncoder(PATH, len, sum)(t) == len(ids(t))
+        assert chunks.id_encoder(PATH, "<u4")(t) == np.array(ids(t), "<u4").tobytes()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, PATH).collect()} == {i: len(ids(t)) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_ids.token_ids(docs, PATH).collect()} == {i: len(ids(t)) + 1 for i, t in enumerate(texts)}
