@@ -2,11 +2,12 @@
 
 ``parse_arc`` reads the version block, takes the field names of its record
 definition, and then walks the records by the length that each header line
-declares.  ``convert`` turns records into WARC: record identifiers, dates,
-types and payload digests are synthesised, since ARC has none of them or keeps
-them in other forms.  Records whose payload another record also has become
-``revisit`` records.  ``write_warc`` writes one gzip member per record and
-``read_warc`` reads archives back record by record.
+declares.  ``convert`` turns ARC images into WARC files, ``convert_arc`` the
+ARC files of a path: record identifiers, dates, types and payload digests are
+synthesised, since ARC has none of them or keeps them in other forms.  Records
+whose payload another record also has become ``revisit`` records.
+``write_warc`` writes one gzip member per record and ``read_warc`` reads
+archives back record by record.
 
 A writing task renames its files when they are complete, so a task that runs
 again leaves the same files.  Archive names, not archives, pass between jobs.
@@ -37,6 +38,7 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 KEY_HEADER = "X-Record-Key"
+SIZE_HEADER = "X-Payload-Bytes"  # WARC header of a revisit: the size of the payload that it leaves out
 
 REVISIT_BYTES = 1000  # smaller payloads are always stored
 ARC_RECORDS = 64  # records in one exported ARC image
@@ -45,6 +47,15 @@ BROADCAST_GROUPS = 200_000  # payload groups of about 60 bytes
 _HIGH, _NULL = 1 << 64, 1 << 67
 
 
+def _frame(rows: list[tuple], columns: list[str], nullable: tuple[str, ...]) -> pd.DataFrame:
+    """Rows as a frame whose ``nullable`` columns are exact 64-bit integers:
+    pandas would take them through float64 as soon as one is null."""
+    out = pd.DataFrame(rows, columns=columns, dtype=object)
+    for c in nullable:
+        out[c] = pd.array(out[c].tolist(), dtype="Int64")
+    return out
+
+
 # --- record identifiers -------------------------------------------------------
 
 def record_id(key: int | None) -> str:
@@ -159,7 +170,7 @@ def arc_records(images: DataFrame, with_block: bool = True) -> DataFrame:
                     row = (None if own == "null" else int(own), r["url"], warc_date(r["date"]), warc_type(r["url"], r["block"]),
                            hashlib.sha1(payload).hexdigest(), len(payload))
                     rows.append(row + ((r["ip"], r["truncated"], r["block"]) if with_block else ()))
-                yield pd.DataFrame(rows, columns=columns).astype({"key": "Int64"})
+                yield _frame(rows, columns, ("key",))
 
     schema = "key long, url string, date string, type string, digest string, payload_bytes long"
     schema += ", ip string, truncated boolean, block binary" if with_block else ""
@@ -167,8 +178,8 @@ def arc_records(images: DataFrame, with_block: bool = True) -> DataFrame:
     return images.mapInPandas(parse, schema)
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the ARC files (plain or gzip) at ``path``."""
+def arc_images(spark: SparkSession, path: str) -> DataFrame:
+    """The ARC files (plain or gzip) at ``path``: ``arc_name``, ``data``."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("arc_name"), F.col("content").alias("data"))
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,7 +187,12 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
             pdf["data"] = [gzip.decompress(d) if bytes(d[:2]) == b"\x1f\x8b" else d for d in pdf["data"]]
             yield pdf
 
-    return arc_records(files.mapInPandas(unpack, "arc_name string, data binary"))
+    return files.mapInPandas(unpack, "arc_name string, data binary")
+
+
+def read_arc(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the ARC files (plain or gzip) at ``path``."""
+    return arc_records(arc_images(spark, path))
 
 
 def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -235,7 +251,8 @@ def warc_record(r) -> bytes:
              f"WARC-Date: {r.date}", f"WARC-Target-URI: {r.url}", f"WARC-IP-Address: {r.ip}",
              f"WARC-Payload-Digest: sha1:{digest}"]
     if revisit:
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(int(r.refers_to))}"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(int(r.refers_to))}",
+                  f"{SIZE_HEADER}: {int(r.payload_bytes)}"]
     if r.truncated:
         lines.append("WARC-Truncated: unspecified")
     http = head != b""
@@ -247,6 +264,8 @@ def warc_record(r) -> bytes:
 def write_warc(records: DataFrame, folder: str) -> DataFrame:
     """Write ``part-<task>-<n>.warc.gz`` files; one row (path, n_records) per
     file, lazily: the files appear when the result is evaluated."""
+    # keys as text: a long column with a null reaches pandas as float64
+    records = records.withColumn("key", F.col("key").cast("string")).withColumn("refers_to", F.col("refers_to").cast("string"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, out, n, final, temporary = TaskContext.get().partitionId(), 0, None, 0, "", ""
@@ -310,37 +329,48 @@ def read_warc(files: DataFrame) -> DataFrame:
                     revisit = h["warc-type"] == "revisit"
                     if not revisit and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"{path}: payload of {h['warc-record-id']} does not match its digest")
-                    size = int(_http_value(head, "Content-Length") or 0) if revisit else len(payload)
+                    size = int(h[SIZE_HEADER.lower()]) if revisit else len(payload)
                     rows.append((record_key(h["warc-record-id"]), h.get("warc-target-uri"), h["warc-type"], size, digest,
                                  record_key(h["warc-refers-to"]) if revisit else None))
                     if len(rows) >= 4096:
-                        yield pd.DataFrame(rows, columns=columns).astype(types)
+                        yield _frame(rows, columns, nullable)
                         rows = []
-                yield pd.DataFrame(rows, columns=columns).astype(types)
+                yield _frame(rows, columns, nullable)
 
     schema = "key long, url string, type string, payload_bytes long, payload_digest string, refers_to long"
     columns = [c.strip().split(" ")[0] for c in schema.split(",")]
-    types = {"key": "Int64", "refers_to": "Int64"}
+    nullable = ("key", "refers_to")
     return files.select("path").mapInPandas(read, schema)
 
 
+def convert(images: DataFrame, folder: str, min_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """Write ARC images (``arc_name``, ``data``) as WARC files under ``folder``
+    (on a shared mount); one row (path, n_records) per file written.  Jobs: one
+    for payload groups, one that writes."""
+    spark = images.sparkSession
+    path = scratch_path(spark, "warc-targets")
+    revisit_targets(arc_records(images, with_block=False), min_bytes).write.parquet(path)
+    targets = spark.read.parquet(path)
+    manifest = scratch_path(spark, "warc-files")
+    write_warc(mark_revisits(arc_records(images), targets, targets.count()), folder).write.parquet(manifest)
+    return spark.read.schema("path string, n_records long").parquet(manifest)
+
+
+def convert_arc(spark: SparkSession, path: str, folder: str | None = None, min_bytes: int = REVISIT_BYTES) -> DataFrame:
+    """``convert`` for the ARC files (plain or gzip) at ``path``."""
+    return convert(arc_images(spark, path), folder or posix_scratch(spark, "warc"), min_bytes)
+
+
 def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int = REVISIT_BYTES, **cols) -> DataFrame:
     """Export pages as ARC, convert to WARC files under ``folder`` (on a shared
     mount) and read those back.
 
     Null html is an empty payload; a null page id is kept (and never a revisit
     target); repeated page ids each get a record; an empty table gives no
-    record.  Jobs: one for payload groups, one that writes, and the read."""
+    record.  Jobs: those of ``convert``, and the read."""
     spark = pages.sparkSession
-    folder = folder or posix_scratch(spark, "warc")
-    images = pages_to_arc(pages, **cols)
-    path = scratch_path(spark, "warc-targets")
-    revisit_targets(arc_records(images, with_block=False), min_bytes).write.parquet(path)
-    targets = spark.read.parquet(path)
-    manifest = scratch_path(spark, "warc-files")
-    write_warc(mark_revisits(arc_records(images), targets, targets.count()), folder).write.parquet(manifest)
-    files = spark.read.schema("path string, n_records long").parquet(manifest).repartition(shuffle_partitions(spark))
-    return read_warc(files)
+    files = convert(pages_to_arc(pages, **cols), folder or posix_scratch(spark, "warc"), min_bytes)
+    return read_warc(files.repartition(shuffle_partitions(spark)))
 
 
 def page_report(pages: DataFrame, **kw) -> DataFrame:

@@ -1,3 +1,4 @@
+import gzip
 import random
 import re
 
@@ -117,3 +118,24 @@ def test_arc_and_warc_round_trip(spark):
     assert got == sorted([("1", 2000, "revisit", 9), ("2", 2000, "revisit", 9), ("9", 2000, "response", None), ("9", 2000, "response", None),
                           ("4", 0, "response", None), ("5", 0, "response", None), ("6", 5, "response", None), ("7", 5, "response", None), ("None", 2000, "revisit", 9)])
     assert warc.page_report(pages.limit(0)).count() == 0
+
+
+def test_64_bit_page_ids_and_real_arc_files(spark, tmp_path):
+    big, ids = "x" * 2000, [4611686018427400249, 4611686018427400247, -4611686018427400243, None]
+    rows = [(k, "u", big if k else "y" * 1500) for k in ids] + [(9007199254740993, "v", "y" * 1500), (None, "w", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = sorted((str(r.page_id), r.record_type, r.refers_to) for r in warc.page_report(pages).collect())
+    assert got == sorted([(str(ids[0]), "response", None), (str(ids[1]), "revisit", ids[0]), (str(ids[2]), "revisit", ids[0]), ("None", "revisit", 9007199254740993),
+                          ("9007199254740993", "response", None), ("None", "revisit", ids[0])])
+    # files without record keys: some gzip, a payload three records share, one of these without Content-Length
+    for i in range(3):
+        block = b"HTTP/1.0 200 OK\r\n" + (b"Content-Length: many\r\n" if i else b"") + b"\r\n" + big.encode()
+        image = warc.arc_image(f"{i}.arc", 1 + i % 2, [("http://a/", "2001", block), (f"http://{i}/", "2001", b"HTTP/1.0 200 OK\r\n\r\nown %d" % i)])
+        (tmp_path / f"{i}.arc").write_bytes(gzip.compress(image) if i == 2 else image)
+    keys = {r.key: r.payload_bytes for r in warc.read_arc(spark, str(tmp_path)).collect()}
+    files = warc.convert_arc(spark, str(tmp_path))
+    assert sum(r.n_records for r in files.collect()) == len(keys) == 6
+    back = warc.read_warc(files).collect()
+    assert {r.key: r.payload_bytes for r in back} == keys
+    kept = max(k for k, n in keys.items() if n == 2000)
+    assert sorted(str(r.refers_to) for r in back) == sorted(["None"] * 4 + [str(kept)] * 2)
