@@ -20,9 +20,17 @@ the group (a star, not all pairs).  Links found are united, and groups that
 still hold several components are compared with another leader, from their
 largest component, up to ``ROUNDS`` times while that closes groups.  Only then are the pairs between the
 components of a group looked at, by sketches, inside the task that holds the
-group; pairs that may be links are compared.  A group with more than
-``HOT_GROUP`` classes in several components is first divided by a second,
-independent set of signatures, and again if needed, which loses no link.
+group; pairs that may be links are compared.
+
+Hot groups.  Signatures in more than ``HOT_GROUP`` rows are counted before any
+task takes whole groups; their groups find leaders by aggregates, and no task
+holds them.  The classes of those that stay open (different documents with one
+template) get another, independent set of signatures over finer partitions,
+in an order that puts frequent signatures last, so that a signature of the
+template alone is used only by sets with little else.  This loses no link,
+since any one order of all signatures will do.  What is hot again is divided
+again; where that does not help, the pairs are listed by pairs of blocks of
+about half ``HOT_GROUP``.
 
 Comparison.  Sizes and parity sketches (one bit per hash range: whether the
 number of elements is odd) give a lower bound on the number of elements that
@@ -38,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quarry.llm.common import mix64, ship, shuffle_partitions
 from quarry.llm.components import connected_components, merged
@@ -52,6 +60,8 @@ HOT_GROUP = 4096
 BROADCAST_CLASSES = 500_000  # pairs of longs: 8 MB
 PAIR_BLOCK = 1 << 15  # pairs whose sketches are compared at a time
 MAX_LEVEL = 4  # independent signature sets for one group; then its pairs are listed
+FINER = 4  # times the partitions of level 0 that the other levels have
+FREQUENT = 1_000_000  # signatures whose counts are shipped, at most: 16 MB
 SEEN_SETS = 1_000_000  # set ids a task remembers, so that copies emit signatures once
 _U = np.uint64
 
@@ -107,35 +117,47 @@ def band(n: int) -> int:
     return (n - 1).bit_length()
 
 
-def partitions(b: int) -> int:
+def partitions(b: int, level: int = 0) -> int:
     """Partitions of the hash domain in a band, so that a set has clearly more
     than k partitions with elements."""
     top = 1 << b
-    return 8 * top if top <= 16 else top if top <= 128 else top // 2
+    return (8 * top if top <= 16 else top if top <= 128 else top // 2) * (FINER if level else 1)
 
 
-def signatures(s: np.ndarray, level: int = 0) -> np.ndarray:
-    """PartEnum signatures of a set; sets with Jaccard similarity of NUM/DEN or
-    more share at least one, at every level."""
+def banded(s: np.ndarray, level: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Per band in which a set takes part: all its signatures, its mark (none
+    if it has more than k signatures), and k."""
     n = len(s)
     if not n:
-        return np.empty(0, _U)
+        return
     if level:
         s = np.sort(mix64(s, 10 + level))
     k = differences(n, partner_max(n))
-    out = []
     for b in ([band(n)] if partner_max(n) <= 1 << band(n) else [band(n), band(n) + 1]):
-        m = partitions(b)
+        m = partitions(b, level)
         part = ((s >> _U(32)) * _U(m)) >> _U(32)  # ascending, since s is
         starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         count = np.diff(np.append(starts, n))
         content = np.add.reduceat(s, starts)
         sig = mix64(content ^ mix64(part[starts], 5) ^ _U(b + 64 * level), 6)
         sig = (_U(255) - np.minimum(count, 255).astype(_U)) << _U(56) | sig >> _U(8)  # the global order
-        if len(sig) <= k:  # the mark: similar sets may differ in every partition
-            out += [sig, mix64(np.array([b + 64 * level], _U), 7)]
-        else:
+        # the mark: similar sets may differ in every partition
+        yield sig, mix64(np.array([b + 64 * level][:len(sig) <= k], _U), 7), k
+
+
+def signatures(s: np.ndarray, level: int = 0, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """PartEnum signatures of a set; sets with Jaccard similarity of NUM/DEN or
+    more share at least one, at every level.  ``frequent``: signatures, sorted,
+    and their counts; these come last in the global order, by count."""
+    out = [np.empty(0, _U)]
+    for sig, mark, k in banded(s, level):
+        if len(mark):
+            out += [sig, mark]
+        elif frequent is None or not len(frequent[0]):
             out.append(np.partition(sig, k)[:k + 1])
+        else:
+            at = np.minimum(np.searchsorted(frequent[0], sig), len(frequent[0]) - 1)
+            out.append(sig[np.lexsort((sig, np.where(frequent[0][at] == sig, frequent[1][at], 0)))[:k + 1]])
     return np.concatenate(out)
 
 
@@ -237,10 +259,29 @@ def _grouped(groups: DataFrame) -> DataFrame:
     return groups.repartition(shuffle_partitions(groups.sparkSession), "sig").sortWithinPartitions("sig", "sid")
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, leader, sid, near) of the signatures in ``rows`` (sig, sid,
-    n_shingles) that several sets have.  The leader is the group's smallest
-    sid; near tells whether its size allows a link."""
+def _hot_signatures(rows: DataFrame) -> DataFrame | None:
+    """(sig): the signatures in more than ``HOT_GROUP`` of the rows, at most
+    one for so many rows, or None.  Hash buckets are counted first, so only
+    the rows of full buckets are counted by signature."""
+    n = max(1, 8 * rows.count() // HOT_GROUP)
+    bucket = F.pmod(F.xxhash64("sig"), F.lit(n))
+    full = materialize(rows.groupBy(bucket.alias("_b")).count().where(F.col("count") > HOT_GROUP).select("_b"), "jaccard-buckets")
+    if not full.limit(1).count():
+        return None
+    hot = materialize(rows.join(F.broadcast(full), bucket == F.col("_b"), "left_semi").groupBy("sig").count()
+                      .where(F.col("count") > HOT_GROUP).select("sig"), "jaccard-hot")
+    return hot if hot.limit(1).count() else None
+
+
+def _near(n: Column, m: Column) -> Column:
+    return DEN * F.least(n, m) >= NUM * F.greatest(n, m)
+
+
+def _shared(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """(sig, leader, sid, near, more, hot) of the signatures in ``rows`` (sig,
+    sid, n_shingles) that several sets have, and whether any is hot.  The
+    leader is the group's smallest sid; near tells whether its size allows a
+    link."""
     def groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, _, _ in _whole_groups(batches):
             g, d, n = (pdf[c].to_numpy(np.int64) for c in ("sig", "sid", "n_shingles"))
@@ -253,9 +294,19 @@ def _shared(rows: DataFrame) -> DataFrame:
             size = np.diff(np.append(start, len(g)))[np.cumsum(new) - 1]
             keep = (size > 2) | ((size == 2) & near)  # a group of two is one pair
             if keep.any():
-                yield pd.DataFrame({"sig": g[keep], "leader": d[first][keep], "sid": d[keep], "near": near[keep], "more": size[keep] > 2})
+                yield pd.DataFrame({"sig": g[keep], "leader": d[first][keep], "sid": d[keep], "near": near[keep], "more": size[keep] > 2, "hot": False})
 
-    return _grouped(rows).mapInPandas(groups, "sig long, leader long, sid long, near boolean, more boolean")
+    hot = _hot_signatures(rows)
+    cold = rows if hot is None else rows.join(F.broadcast(hot), "sig", "left_anti")
+    out = _grouped(cold).mapInPandas(groups, "sig long, leader long, sid long, near boolean, more boolean, hot boolean")
+    if hot is not None:
+        wide = materialize(rows.join(F.broadcast(hot), "sig", "left_semi").distinct(), "jaccard-wide")
+        led = wide.groupBy("sig").agg(F.min(F.struct("sid", "n_shingles")).alias("_l"))
+        out = out.unionAll(wide.join(F.broadcast(led), "sig").select(
+            "sig", F.col("_l.sid").alias("leader"), "sid",
+            (_near(F.col("n_shingles"), F.col("_l.n_shingles")) & (F.col("sid") != F.col("_l.sid"))).alias("near"),
+            F.lit(True).alias("more"), F.lit(True).alias("hot")))
+    return materialize(out, "jaccard-groups"), hot is not None
 
 
 def _class_sets(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
@@ -309,10 +360,10 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(pairs.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("ca", "cb"), "jaccard-links")
 
 
-def _open(groups: DataFrame, seed: int) -> DataFrame:
-    """(sig, sid, component, leader, home): the groups (sig, sid, component)
-    that hold several components, and a leader from the largest, with its
-    component; null where it need not be compared."""
+def _open(groups: DataFrame, seed: int, any_hot: bool) -> DataFrame:
+    """(sig, sid, component, leader, home, hot): the groups (sig, sid,
+    component, hot) that hold several components, and a leader from the
+    largest, with its component; null where it need not be compared."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
             sid, comp = pdf["sid"].to_numpy(np.int64), pdf["component"].to_numpy(np.int64)
@@ -328,18 +379,37 @@ def _open(groups: DataFrame, seed: int) -> DataFrame:
                 home[s:e] = values[counts.argmax()]
             if keep.any():
                 yield pd.DataFrame({"sig": pdf["sig"].to_numpy()[keep], "sid": sid[keep], "component": comp[keep],
-                                    "leader": pd.Series(leader[keep], dtype="Int64").mask(~led[keep]), "home": home[keep]})
-
-    return materialize(_grouped(groups).mapInPandas(emit, "sig long, sid long, component long, leader long, home long"), "jaccard-open")
+                                    "leader": pd.Series(leader[keep], dtype="Int64").mask(~led[keep]), "home": home[keep], "hot": False})
+
+    out = (_grouped(groups.where("not hot").select("sig", "sid", "component"))
+           .mapInPandas(emit, "sig long, sid long, component long, leader long, home long, hot boolean"))
+    if any_hot:
+        wide = groups.where("hot").select("sig", "sid", "component")
+        parts = (wide.groupBy("sig", "component")
+                 .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("r"), "sid")).alias("_l")))
+        best = (parts.groupBy("sig").agg(F.max(F.struct("n", "component", "_l")).alias("_h"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+                .where("_lo <> _hi").select("sig", F.col("_h.component").alias("home"), F.col("_h._l.sid").alias("leader")))
+        out = out.unionAll(wide.join(F.broadcast(best), "sig").select(
+            "sig", "sid", "component", F.when(F.col("component") != F.col("home"), F.col("leader")).alias("leader"), "home", F.lit(True).alias("hot")))
+    return materialize(out, "jaccard-open")
+
+
+def _blocks(hot: DataFrame) -> DataFrame:
+    """Hot groups (sig, sid, component) as groups of bounded size, one for each
+    two blocks, so that every two members of a group meet."""
+    sizes = hot.groupBy("sig").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) / max(1, HOT_GROUP // 2))).cast("int").alias("_n"))
+    own = F.pmod(F.xxhash64("sid"), F.col("_n")).cast("int")
+    return (hot.join(F.broadcast(sizes), "sig").withColumn("_own", own)
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).where("_own <> _other")
+            .select(F.xxhash64("sig", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("sig"), "sid", "component"))
 
 
 def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
-    """(sig, a, b, ca, cb): the pairs of an open group's components that may be links,
-    with their components, or, with b null, the members of a hot group (unless
-    ``listed``)."""
+    """(a, b, ca, cb): the pairs of an open group's components that may be
+    links, with their components; those of hot groups if ``listed``."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
-            sig, sid = pdf["sig"].to_numpy(np.int64), pdf["sid"].to_numpy(np.int64)
+            sid = pdf["sid"].to_numpy(np.int64)
             comp, n = pdf["component"].to_numpy(np.int64), pdf["n_shingles"].to_numpy(np.int64)
             sketches = [bytes(x) for x in pdf["sketch"]]
             left, right, held, seen = [], [], 0, set()
@@ -356,12 +426,9 @@ def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
                         fresh.append(i)
                 a, b = a[fresh], b[fresh]
                 if fresh:
-                    yield pd.DataFrame({"sig": sig[a], "a": sid[a], "b": pd.array(sid[b], "Int64"), "ca": comp[a], "cb": comp[b]})
+                    yield pd.DataFrame({"a": sid[a], "b": sid[b], "ca": comp[a], "cb": comp[b]})
 
             for s, e in zip(starts, ends):
-                if e - s > HOT_GROUP and not listed:
-                    yield pd.DataFrame({"sig": sig[s:e], "a": sid[s:e], "b": pd.array([None] * (e - s), "Int64"), "ca": comp[s:e], "cb": comp[s:e]})
-                    continue
                 for i, j in pairs_between(comp, s, e):
                     left.append(i)
                     right.append(j)
@@ -372,45 +439,61 @@ def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
             if held:
                 yield from checked()
 
-    members = opened.select("sig", "sid", "component").join(sets.select("sid", "n_shingles", "sketch"), "sid")
-    return materialize(_grouped(members).mapInPandas(emit, "sig long, a long, b long, ca long, cb long"), "jaccard-rest")
+    members = opened.where("not hot").select("sig", "sid", "component")
+    if listed:
+        members = members.unionAll(_blocks(opened.where("hot").select("sig", "sid", "component")))
+    members = members.join(sets.select("sid", "n_shingles", "sketch"), "sid")
+    return materialize(_grouped(members).mapInPandas(emit, "a long, b long, ca long, cb long"), "jaccard-rest")
 
 
 def _sub_signatures(hot: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """(sig, sid, n_shingles): members of hot groups under the signatures of a
-    level, kept apart by the group that they come from."""
+    """(sig, sid, n_shingles): the classes of hot groups (sid) under the
+    signatures of a level, frequent ones last."""
+    members = materialize(hot.join(sets.select("sid", "n_shingles", "elements"), "sid"), "jaccard-members")
+    total = members.agg(F.sum("n_shingles")).collect()[0][0] or 0  # two bands at most, each with so many signatures
+    often = max(1, HOT_GROUP // 16, 2 * total // FREQUENT)
+
+    def every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for e in pdf["elements"]:
+                for sig, _, _ in banded(np.frombuffer(e, _U), level):
+                    yield pd.DataFrame({"sig": sig.view(np.int64)})
+
+    counts = (members.select("elements").mapInPandas(every, "sig long").groupBy("sig").count()
+              .where(F.col("count") > often).toPandas())
+    sig, n = counts["sig"].to_numpy(np.int64).view(_U), counts["count"].to_numpy(np.int64)
+    frequent = hot.sparkSession.sparkContext.broadcast((sig[np.argsort(sig)], n[np.argsort(sig)]))
+
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for sig, sid, n, e in zip(pdf["sig"], pdf["sid"], pdf["n_shingles"], pdf["elements"]):
-                g = signatures(np.frombuffer(e, _U), level)
-                own = mix64(g ^ mix64(np.array([sig], np.int64).view(_U), 8), 9)
-                yield pd.DataFrame({"sig": own.view(np.int64), "sid": np.full(len(own), sid, np.int64), "n_shingles": np.full(len(own), n, np.int64)})
+            for sid, n, e in zip(pdf["sid"], pdf["n_shingles"], pdf["elements"]):
+                g = signatures(np.frombuffer(e, _U), level, frequent.value)
+                yield pd.DataFrame({"sig": g.view(np.int64), "sid": np.full(len(g), sid, np.int64), "n_shingles": np.full(len(g), n, np.int64)})
 
-    return (hot.join(sets, "sid").select("sig", "sid", "n_shingles", "elements")
-            .mapInPandas(emit, "sig long, sid long, n_shingles long"))
+    return materialize(members.mapInPandas(emit, "sig long, sid long, n_shingles long"), "jaccard-sub")
 
 
 def _with_components(groups: DataFrame, found: DataFrame, by: str) -> DataFrame:
-    """(sig, sid, component) of a group table, its column ``by`` looked up."""
+    """(sig, sid, component, hot) of a group table, its column ``by`` looked up."""
     return groups.join(found, groups[by] == found["node"], "left").select(
-        "sig", "sid", F.coalesce(found["component"], groups[by]).alias("component"))
+        "sig", "sid", F.coalesce(found["component"], groups[by]).alias("component"), "hot")
 
 
 def class_components(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
     """(node, component) of the classes that have a link."""
     rows = doc_sets.select(F.explode("sigs").alias("sig"), "sid", "n_shingles")
-    groups = materialize(_shared(rows), "jaccard-groups")
+    groups, any_hot = _shared(rows)
     sets = _class_sets(docs, doc_sets, groups.select("sid").unionAll(groups.select("leader")).distinct())
 
     def star(groups: DataFrame) -> DataFrame:
         pairs = groups.where("near").select(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b")).distinct()
         return connected_components(_links(_sketched(pairs, sets).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), sets), "ca", "cb")
 
-    found, level = star(groups), 0
+    found, level, members = star(groups), 0, None
     while True:
         groups, rows = _with_components(groups.where("more"), found, "sid"), None
         for r in range(ROUNDS + 1):
-            groups = _open(groups, r)
+            groups = _open(groups, r, any_hot)
             before, rows = rows, groups.count()
             if not rows:
                 return found
@@ -421,14 +504,15 @@ def class_components(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
             newer = connected_components(_links(_sketched(pairs, sets), sets), "ca", "cb")
             found = merged(found, newer)
             groups = _with_components(groups, newer, "component")
-        rest = _rest(groups, sets, level >= MAX_LEVEL)
-        pairs = rest.where("b is not null").dropDuplicates(["a", "b"]).select("a", "b", "ca", "cb")
+        hot = groups.where("hot").select("sid").distinct()
+        before, members = members, hot.count() if any_hot else 0
+        listed = members and (level >= MAX_LEVEL or (before is not None and members > STALLED * before))
+        pairs = _rest(groups, sets, listed).dropDuplicates(["a", "b"])
         found = merged(found, connected_components(_links(pairs, sets), "ca", "cb"))
-        hot = rest.where("b is null").select("sig", F.col("a").alias("sid"))
-        if not hot.limit(1).count():
+        if listed or not members:
             return found
         level += 1
-        groups = materialize(_shared(_sub_signatures(hot, sets, level)), "jaccard-groups")
+        groups, any_hot = _shared(_sub_signatures(hot, sets, level))
         found = connected_components(found.select("node", "component").unionAll(star(groups)), "node", "component")
 
 

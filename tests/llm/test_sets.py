@@ -139,3 +139,35 @@ def test_64_bit_page_ids_and_real_arc_files(spark, tmp_path):
     assert {r.key: r.payload_bytes for r in back} == keys
     kept = max(k for k, n in keys.items() if n == 2000)
     assert sorted(str(r.refers_to) for r in back) == sorted(["None"] * 4 + [str(kept)] * 2)
+
+
+def templates(rng, docs, shared, words):
+    """Different texts, ``shared`` of whose words are one template, and a near copy of every tenth."""
+    template, rows = [f"t{i}" for i in range(shared)], []
+    for d in range(docs):
+        own = [f"d{d}_{i}" for i in range(words - shared)]
+        rows.append((d, " ".join(template + own)))
+        if d % 10 == 0:
+            rows.append((1000 + d, " ".join(template + edited(rng, own, 1))))
+    return rows
+
+
+def test_hot_groups_are_divided_before_a_task_sees_them(spark, monkeypatch):
+    rng, hot, sizes, levels = random.Random(5), 4, [], []
+    rows = templates(rng, 40, 70, 120) + [(5000 + d, t.replace("t", "z")) for d, t in templates(rng, 40, 101, 120)]
+    grouped, sub = J._grouped, J._sub_signatures
+    monkeypatch.setattr(J, "HOT_GROUP", hot)
+    monkeypatch.setattr(J, "_grouped", lambda g: (sizes.append(max([r["count"] for r in g.groupBy("sig").count().collect()], default=0)), grouped(g))[1])
+    monkeypatch.setattr(J, "_sub_signatures", lambda *a: (levels.append(a[-1]), sub(*a))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(str(tuple(r)) for r in J.components(docs).collect()) == brute_components(rows)
+    assert levels and max(sizes) <= 4 * hot  # blocks are dealt by hash
+
+
+def test_template_signatures_leave_the_prefix():
+    import numpy as np
+    sets = [J.shingles(t) for _, t in templates(random.Random(2), 60, 184, 304)]
+    for level in (1, 2):
+        found, n = np.unique(np.concatenate([sig for s in sets for sig, _, _ in J.banded(s, level)]), return_counts=True)
+        _, held = np.unique(np.concatenate([J.signatures(s, level, (found[n > 4], n[n > 4])) for s in sets]), return_counts=True)
+        assert held.max() < len(sets) / 3
