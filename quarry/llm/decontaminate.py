@@ -5,9 +5,9 @@
    words of a benchmark item; a shorter item (but not an empty one) is one
    window of its own length.
 2. The n-grams (windows) are filed by the hash of their longest word, the one
-   least likely to be common, and this hash table is broadcast when its counted
-   number of windows is at most ``BROADCAST_WINDOWS``; beyond that the same
-   join shuffles on the hash.
+   least likely to be common, and this hash table is broadcast; beyond a
+   counted ``BROADCAST_WINDOWS`` windows it is cut into slices of about that
+   many, and the same scan runs once for each.
 3. Training texts are scanned map-side: every word is looked up; where it is
    the longest word of n-grams, the window of the text around it is compared
    word by word with each.  Words that miss and windows that differ go no
@@ -20,10 +20,13 @@ one result and rows that repeat an id with another text do not mix.
 
 from __future__ import annotations
 
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quarry.session import materialize
+
 #: What separates words (fixed by the contract).
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
@@ -59,14 +62,24 @@ def find_hits(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str =
     longest = F.array_max(F.transform("window", lambda w, i: F.struct(F.length(w).alias("n"), w.alias("w"), i.alias("i"))))
     keys = (windows.withColumn("_longest", longest)
             .select(F.xxhash64("_longest.w").alias("hash"), F.col("_longest.i").alias("offset"), "width", "window", "item_id"))
-    if windows.count() <= BROADCAST_WINDOWS:
-        keys = F.broadcast(keys)
+    n_slices = -(-windows.count() // BROADCAST_WINDOWS)
+    if n_slices > 1:
+        # by the whole window, since many windows may share a longest word
+        keys = materialize(keys.withColumn("_slice", F.pmod(F.xxhash64("window", "item_id"), F.lit(n_slices))), "benchmark-windows")
+        slices = [keys.where(F.col("_slice") == i).drop("_slice") for i in range(n_slices)]
+    else:
+        slices = [keys]
     first = F.col("at") - F.col("offset")
-    hits = (_keyed(docs, id_col, text_col)
-            .select("doc_id", "text_key", "_words", F.posexplode("_words").alias("at", "_word"))
-            .withColumn("hash", F.xxhash64("_word")).join(keys, "hash")
-            .where((first >= 0) & (F.slice("_words", F.greatest(first, F.lit(0)) + 1, F.col("width")) == F.col("window")))
-            .select("doc_id", "text_key", F.struct(first.alias("first"), (first + F.col("width")).alias("end")).alias("span"), "item_id"))
+    looked_up = (_keyed(docs, id_col, text_col)
+                 .select("doc_id", "text_key", "_words", F.posexplode("_words").alias("at", "_word"))
+                 .withColumn("hash", F.xxhash64("_word")))
+    found = [looked_up.join(F.broadcast(s), "hash")
+             .where((first >= 0) & (F.slice("_words", F.greatest(first, F.lit(0)) + 1, F.col("width")) == F.col("window")))
+             .select("doc_id", "text_key", F.struct(first.alias("first"), (first + F.col("width")).alias("end")).alias("span"), "item_id")
+             for s in slices]
+    if n_slices > 1:  # one at a time, so that one slice is held at a time
+        found = [materialize(f.distinct(), "benchmark-hits") for f in found]
+    hits = reduce(DataFrame.unionAll, found)
     return hits.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("span")).alias("spans"),
                                                   F.collect_set("item_id").alias("items"))
 

@@ -171,3 +171,27 @@ def test_template_signatures_leave_the_prefix():
         found, n = np.unique(np.concatenate([sig for s in sets for sig, _, _ in J.banded(s, level)]), return_counts=True)
         _, held = np.unique(np.concatenate([J.signatures(s, level, (found[n > 4], n[n > 4])) for s in sets]), return_counts=True)
         assert held.max() < len(sets) / 3
+
+
+def test_large_benchmarks_are_broadcast_in_slices(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: " ".join(f"w{rng.randrange(40)}" for _ in range(n))
+    items = [(i, text(14)) for i in range(20)] + [(None, text(3)), (20, "w1 w2 w1")]
+    rows = [(d, text(30) + " " + (items[d % 22][1] if d % 2 else "") + " " + text(5)) for d in range(40)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(str(tuple(r)) for r in decontaminate.report(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 30)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    written = []
+    if hasattr(decontaminate, "materialize"):
+        real = decontaminate.materialize
+        monkeypatch.setattr(decontaminate, "materialize", lambda df, name: (written.append(df._jdf.queryExecution().executedPlan().toString()), real(df, name))[1])
+    try:
+        report = decontaminate.report(docs, bench)
+        got = sorted(str(tuple(r)) for r in report.collect())
+        plans = [*written, decontaminate.find_hits(docs, bench)._jdf.queryExecution().executedPlan().toString()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == want and sum(", True, " in r or r.endswith("True)") for r in got) >= 20
+    assert len(written) > 3 and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
