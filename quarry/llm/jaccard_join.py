@@ -516,16 +516,13 @@ def class_components(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
         found = connected_components(found.select("node", "component").unionAll(star(groups)), "node", "component")
 
 
-def _placed(docs: DataFrame) -> DataFrame:
+def _tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, c): c is the label of the component, null for a text without words."""
     ship(docs.sparkSession)
     sets = materialize(document_sets(docs), "jaccard-docs")
     found = class_components(docs, sets)
-    tagged = (sets.select("doc_id", "text_key", "n_shingles", "sid").join(found, sets["sid"] == found["node"], "left")
-              .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "sid").alias("c")))
-    smallest = tagged.where("c is not null").groupBy(F.col("c").alias("_c")).agg(F.min("doc_id").alias("least"))
-    own = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return (tagged.join(smallest, F.col("c") == F.col("_c"), "left")
-            .select("doc_id", "text_key", "n_shingles", own.alias("component_id")))
+    return (sets.select("doc_id", "text_key", "n_shingles", "sid").join(found, sets["sid"] == found["node"], "left")
+            .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "sid").alias("c")))
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -536,15 +533,23 @@ def components(docs: DataFrame) -> DataFrame:
     are in one component; null ids take part, and a component of null ids only
     has a null id.  Other columns are ignored; an empty table gives an empty
     result."""
-    return _placed(docs).drop("text_key")
+    tagged = _tagged(docs)
+    smallest = tagged.where("c is not null").groupBy(F.col("c").alias("_c")).agg(F.min("doc_id").alias("least"))
+    own = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return (tagged.join(smallest, F.col("c") == F.col("_c"), "left")
+            .select("doc_id", "n_shingles", own.alias("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` (all its columns) with one document of each component, that of
-    the smallest id.  Of repeated rows (same id and text) one stays; texts
-    without words all stay; a document without an id goes if its component has
-    one with an id, or if it repeats another without an id."""
-    gone = (_placed(docs).where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    the smallest id, and of several texts with that id the one of the smallest
+    hash; one without an id only if no document of the component has an id.
+    Of repeated rows (same id and text) one stays; texts without words all
+    stay."""
+    tagged = _tagged(docs).where("c is not null")
+    first = tagged.groupBy(F.col("c").alias("_c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("_k"))
+    gone = (tagged.join(first, F.col("c") == F.col("_c"))
+            .where(~(F.col("doc_id").eqNullSafe(F.col("_k.doc_id")) & (F.col("text_key") == F.col("_k.text_key"))))
             .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_anti")

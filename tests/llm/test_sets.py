@@ -195,3 +195,11 @@ def test_large_benchmarks_are_broadcast_in_slices(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert got == want and sum(", True, " in r or r.endswith("True)") for r in got) >= 20
     assert len(written) > 3 and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in plans)
+
+
+def test_one_document_of_each_component_stays(spark):
+    text = " ".join(f"a{i}" for i in range(40))
+    rows = [(None, text), (None, text + " x"), (None, text + " x"), (7, text.replace("a", "b")), (7, text.replace("a", "b") + " x"), (9, text.replace("a", "b")),
+            (None, text.replace("a", "c")), (3, text.replace("a", "c") + " x"), (7, text.replace("a", "d")), (5, text.replace("a", "d") + " x"), (1, None), (2, " ")]
+    kept = [(r.doc_id, (r.text or "")[:1]) for r in J.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(None, "a"), (7, "b"), (3, "c"), (5, "d"), (1, ""), (2, " ")]))
