@@ -46,6 +46,13 @@ def id_bucket(col: str, modulus: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % modulus
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text expression, bit by bit."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {bits}), 4294967295)"
+
+
 def posix_scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder for binary archives under the shared checkpoint folder,
     as a path that every executor can open.

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import decontaminate, fingerprints, jaccard_join, language_id, mixing, quality, token_counts, token_ids, toxicity, warc
+from quarry.llm import (chat_format, decontaminate, fingerprints, jaccard_join, language_id, mixing, prefix_trie, quality, token_counts,
+                        token_ids, toxicity, turn_repair, warc)
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -58,6 +59,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.report(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -67,10 +80,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_token_ids, op3_language_id, op4_fingerprints, op5_quality, op6_mixing,
                             op7_toxicity, op8_warc, op9_jaccard_join, op10_benchmark_decontamination,
-                            pipeline)
+                            op11_prefix_trie, op12_turn_repair, op13_chat_format, pipeline)
 }
 ORACLE: dict[str, str] = {
     "op6_mixing": mixing.oracle_sql(),
     "op8_warc": warc.ORACLE_SQL,
     "op10_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
+    "op12_turn_repair": turn_repair.oracle_sql(),
+    "op13_chat_format": chat_format.oracle_sql(),
 }
