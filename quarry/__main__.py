@@ -2,6 +2,8 @@
 
     ingest   --source DIR --out DIR [--max-files N]   drain JSON-lines files into raw_data (+ quarantine),
                                                       then rebuild cleaned_data
+    ingest   --kafka SERVERS --source TOPICS --out DIR [--max-offsets N] [--starting-offsets WHERE] [--option K=V ...]
+                                                      the same from Kafka topics (its connector on the classpath)
     clean    --raw PATH --out DIR                     raw_data -> cleaned_data
     detect   --raw PATH --out DIR                     anomaly detection -> anomaly_data (+ anomaly_alerts)
     analyze  --cleaned PATH --out DIR                 business_insights
@@ -34,6 +36,10 @@ def main(argv=None) -> int:
         if name == "ingest":
             p.add_argument("--source", required=True)
             p.add_argument("--max-files", type=int, default=None)
+            p.add_argument("--kafka", default=None, help="bootstrap servers; --source then names the topics")
+            p.add_argument("--max-offsets", type=int, default=None, help="offsets a micro-batch takes from Kafka")
+            p.add_argument("--starting-offsets", default="earliest")
+            p.add_argument("--option", action="append", default=[], metavar="K=V", help="more options of the Kafka source")
         elif name == "analyze":
             p.add_argument("--cleaned", required=True)
         else:
@@ -46,7 +52,11 @@ def main(argv=None) -> int:
     cfg = J.JobConfig(contamination=a.contamination, alert_threshold=a.threshold)
     if a.cmd == "ingest":
         from quarry.streaming.ingest import ingest_then_clean
-        n = ingest_then_clean(spark, a.source, a.out, a.max_files).count()
+        kafka = {}
+        if a.kafka:
+            kafka = {"bootstrap_servers": a.kafka, "max_offsets_per_trigger": a.max_offsets, "starting_offsets": a.starting_offsets,
+                     **dict(o.split("=", 1) for o in a.option)}
+        n = ingest_then_clean(spark, a.source, a.out, a.max_files, **kafka).count()
         print(json.dumps({"cleaned_rows": n}))
     elif a.cmd == "clean":
         print(json.dumps({"cleaned_rows": J.clean_to_table(spark, TB.scan(spark, a.raw), a.out).count()}))

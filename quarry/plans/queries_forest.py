@@ -102,13 +102,14 @@ def q_append_table(spark, sf):
     return TB.scan(spark, target)
 
 
-@register("create_raw_table", with_raw("SELECT * FROM raw_data WHERE false"))
+@register("create_raw_table", with_raw("SELECT * FROM raw_data"))
 def q_create_raw_table(spark, sf):
+    """Create the landing table, fill it, create it again: all rows are there."""
     target = scratch_path(spark, "raw_data")
     TB.create_raw_table(spark, target)
-    TB.create_raw_table(spark, target)  # idempotent
-    # an empty landing table, typed like raw_data; the fixture shows it is compatible
-    return TB.scan(spark, target).unionByName(raw_data(spark, sf).where(F.lit(False)))
+    TB.append_raw(raw_data(spark, sf), target)
+    TB.create_raw_table(spark, target)
+    return TB.scan(spark, target)
 
 
 # --------------------------------------------------------------------- jobs

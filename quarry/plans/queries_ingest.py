@@ -16,7 +16,9 @@ from quarry.plans.oracle import CLEAN_SELECT, with_raw
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import events as EV
+from quarry.sources import tables as TB
 from quarry.sources.fixture import raw_data
+from quarry.sources.tablelog import TableLog
 from quarry.streaming import ingest as IN
 
 BAD_SQL = "(id % 211 = 7 OR (id % 25 <> 13 AND id % 89 = 5))"
@@ -33,9 +35,14 @@ def _good(spark, sf):
     return good
 
 
-@register("encode_events")
+_TYPED = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.RAW.fields)
+
+
+@register("encode_events", with_raw(f"SELECT {', '.join(S.RAW_COLS)} FROM raw_data"))
 def q_encode_events(spark, sf):
-    return EV.encode_events(raw_data(spark, sf))
+    """The events as JSON text, read with Spark's own reader."""
+    encoded = EV.encode_events(raw_data(spark, sf).select(*S.RAW_COLS))
+    return encoded.select(F.from_json("value", _TYPED).alias("e")).select("e.*")
 
 
 @register("decode_events", with_raw(GOOD_RAW))
@@ -77,14 +84,16 @@ def _feed_dir(spark, sf, files=None):
     return path
 
 
-@register("read_event_stream")
+@register("read_event_stream", with_raw(GOOD_RAW))
 def q_read_event_stream(spark, sf):
-    src = _feed_dir(spark, sf)
+    """The lines that the stream delivers, decoded."""
+    src = _feed_dir(spark, sf, files=3)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    q = (IN.read_event_stream(spark, "files", src).writeStream.format("parquet")
+    q = (IN.read_event_stream(spark, "files", src, max_files_per_trigger=1).writeStream.format("parquet")
          .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    good, _ = EV.quarantine_bad_rows(EV.decode_events(spark.read.parquet(out)))
+    return good.select(*FIELDS)
 
 
 def _ingest(spark, sf, files=None, max_files=None, runs=1):
@@ -98,20 +107,35 @@ def _ingest(spark, sf, files=None, max_files=None, runs=1):
 
 @register("append_raw", with_raw(GOOD_RAW))
 def q_append_raw(spark, sf):
-    raw_p, _ = _ingest(spark, sf, runs=2)
-    return IN.read_raw(spark, raw_p).select(*FIELDS)
+    """Decoded rows as two batches, each tried twice."""
+    target, good = scratch_path(spark, "raw_data"), _good(spark, sf)
+    for batch, rows in enumerate((good.where("id % 2 = 0"), good.where("id % 2 = 1"))):
+        for _ in range(2):
+            TB.append_raw(rows.drop("id", "value"), target, batch_id=batch)
+    return TB.scan(spark, target).select(*FIELDS)
 
 
-@register("micro_batch_commit")
+@register("micro_batch_commit", with_raw(f"SELECT 4 AS batches, 1 AS folders, count(*) AS rows, count(*) AS ids, "
+                                         f"CAST(sum(quantity) AS BIGINT) AS quantity FROM raw_data WHERE NOT {BAD_SQL}"))
 def q_micro_batch_commit(spark, sf):
-    raw_p, _ = _ingest(spark, sf, files=4, max_files=1)
-    return spark.read.parquet(raw_p).groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
-
-
-@register("surrogate_id")
+    """Four micro-batches, one of them replayed, compacted into one folder."""
+    src, base = _feed_dir(spark, sf, files=4), scratch_path(spark, "ingest")
+    files = sorted(r.f for r in spark.read.text(src).select(F.input_file_name().alias("f")).distinct().collect())
+    for batch in (0, 1, 2, 2, 3):
+        IN.write_batch(spark.read.text(files[batch]), batch, base + "/raw", base + "/bad")
+    log = TableLog(spark, base + "/raw")
+    log.compact(fan_in=2)
+    folders = len(log.state()["parts"])
+    return log.scan().agg(F.count_distinct("batch_id").cast("int").alias("batches"), F.lit(folders).alias("folders"),
+                          F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.sum("quantity").alias("quantity"))
+
+
+@register("surrogate_id", with_raw("SELECT count(*) AS rows, count(*) AS ids, CAST(0 AS BIGINT) AS nulls FROM raw_data"))
 def q_surrogate_id(spark, sf):
-    raw_p, _ = _ingest(spark, sf, files=3, max_files=1)
-    return spark.read.parquet(raw_p).select("id", "batch_id")
+    """The ids of all ingested rows, good and rejected."""
+    raw_p, bad_p = _ingest(spark, sf, files=3, max_files=1)
+    ids = TB.scan(spark, raw_p).select("id").unionAll(TB.scan(spark, bad_p).select("id"))
+    return ids.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count_if(F.col("id").isNull()).alias("nulls"))
 
 
 @register("ingest_then_clean", with_raw(

@@ -1,42 +1,52 @@
 """Structured Streaming ingest: event stream -> ``raw_data`` (+ quarantine).
 
-    readStream (Kafka topic, or a folder of JSON-lines files offline)
+    readStream (Kafka topics, a folder of JSON-lines files, or any other stream
+    with a text ``value``)
       -> decode_events (same projection as batch)
       -> foreachBatch: good rows -> raw table, bad rows -> quarantine table
 
-Exactly-once: ``foreachBatch`` may replay a micro-batch after a failure, so
-each batch is written with dynamic partition overwrite into its own
-``batch_id=<n>`` partition; a replay rewrites that partition instead of
-appending duplicates.  Offsets are committed through the checkpoint folder,
-so a restart resumes where it stopped (the reference re-read the whole topic
-on every restart).  The surrogate ``id`` is derived from the source position
-(Kafka partition/offset) or from the batch id and row position, so it is
-stable under replay.
+Exactly-once: ``foreachBatch`` may replay a micro-batch after a failure.  Both
+tables' logs name the batches that they cover, in the same version that adds
+their rows, so a replay adds nothing; a batch that broke off before that keeps
+the ids that were reserved for it.  Batches are known by the id that the
+checkpoint gives its query, so several streams can feed one table.  Offsets are
+committed through the checkpoint folder, so a restart resumes where it stopped
+(the reference re-read the whole topic on every restart).  Small batches are
+compacted as they come (``TableLog.compact``): the number of folders grows with
+the logarithm of the number of batches.
 """
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry import schemas as S
+from quarry.functions.ids import assign_ids
 from quarry.sources import events as EV
+from quarry.sources import tables as TB
+from quarry.sources.tablelog import FAN_IN, KEEP_SECONDS, Files, TableLog
 
-# Surrogate ids for sources without offsets: the batch id in the high bits and
-# the row's dense position in the batch below, whatever the number of
-# partitions.  2^40 rows a batch and 2^23 batches; a batch id beyond that raises.
-BATCH_SHIFT = 40
-MAX_BATCH_ID = 1 << (63 - BATCH_SHIFT)
+#: What the landing table holds: the raw columns, and where a row came from.
+LANDED = T.StructType(S.RAW.fields + TB.SOURCE.fields)
+REJECTED = T.StructType([T.StructField("id", T.LongType()), T.StructField("bad_reason", T.StringType()),
+                         T.StructField("value", T.StringType())] + TB.SOURCE.fields)
 
 
 def read_event_stream(spark: SparkSession, source: str = "files", path: str | None = None,
                       topic: str | None = None, bootstrap_servers: str | None = None,
                       max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
                       starting_offsets: str = "earliest", **options) -> DataFrame:
-    """Streaming DataFrame with a text ``value`` column (plus ``partition``
-    and ``offset`` for Kafka).  Kafka needs its connector jar on the
-    classpath; the file source is the offline stand-in."""
+    """Streaming DataFrame with a text ``value`` column, plus ``topic``,
+    ``partition`` and ``offset`` for Kafka (``topic`` may name several,
+    separated by commas).  Kafka needs its connector jar on the classpath; the
+    file source is the offline stand-in."""
     if source == "kafka":
         if not topic:
             raise ValueError("the kafka source needs a topic")
@@ -46,7 +56,7 @@ def read_event_stream(spark: SparkSession, source: str = "files", path: str | No
         if max_offsets_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
         df = r.options(**options).load()
-        return df.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+        return source_columns(df)
     if source == "files":
         r = spark.readStream.format("text")
         if max_files_per_trigger:
@@ -55,84 +65,78 @@ def read_event_stream(spark: SparkSession, source: str = "files", path: str | No
     raise ValueError(f"unknown source {source!r}")
 
 
-def surrogate_id(df: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Add a unique bigint ``id``: from (partition, offset) when the source
-    has them, else from the batch id and the row's position in the batch
-    (batch mode: Spark's monotonically increasing id)."""
-    if "partition" in df.columns and "offset" in df.columns:
-        sid = F.shiftleft(F.col("partition").cast("long"), 40) + F.col("offset").cast("long")
-    elif batch_id is None:
-        sid = F.monotonically_increasing_id()
-    else:
-        if batch_id >= MAX_BATCH_ID:
-            raise ValueError(f"batch id {batch_id} exceeds the surrogate id layout")
-        return _dense_ids(df, batch_id)
-    return df.withColumn("id", sid)
-
-
-def _dense_ids(df: DataFrame, batch_id: int) -> DataFrame:
-    """Rows numbered through the batch's partitions in order: a partition's
-    first number is the prefix sum of the sizes before it (one row per
-    partition on the driver).  A replayed batch has the same partitions, so
-    the same ids."""
-    pid = F.spark_partition_id()
-    sizes = df.select(pid.alias("_pid")).groupBy("_pid").count().collect()
-    start, rows = batch_id << BATCH_SHIFT, []
-    for r in sorted(sizes):
-        rows.append((r["_pid"], start))
-        start += r["count"]
-    starts = df.sparkSession.createDataFrame(rows, "_pid int, _start long")
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    placed = df.select("*", pid.alias("_pid"), position.alias("_pos")).join(F.broadcast(starts), "_pid")
-    return placed.withColumn("id", F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
-
-
-def write_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str) -> None:
-    """One micro-batch: decode, split, write both sides into partition
-    ``batch_id`` (idempotent under replay)."""
-    decoded = EV.decode_events(surrogate_id(batch, batch_id)).withColumn("batch_id", F.lit(batch_id))
-    decoded = decoded.persist()
+def source_columns(df: DataFrame) -> DataFrame:
+    """The columns of a stream that the job uses: ``value`` as text, and those
+    of topic, partition and offset that there are."""
+    return df.select(F.col("value").cast("string").alias("value"), *[c for c in ("topic", "partition", "offset") if c in df.columns])
+
+
+def surrogate_id(df: DataFrame, allocate: Callable[[int], int] | None = None) -> DataFrame:
+    """Add a unique bigint ``id`` (see ``functions.ids``); ``allocate(n)`` gives
+    the first of n fresh ids, by default 0: ids unique within the frame."""
+    return assign_ids(df, allocate or (lambda n: 0))
+
+
+def write_batch(batch: DataFrame, batch_id: int, raw_path: str, quarantine_path: str, writer: str = "ingest",
+                fan_in: int = FAN_IN, keep_seconds: float = KEEP_SECONDS) -> bool:
+    """One micro-batch: decode, split, add both sides to their tables.  False,
+    and no change, if the raw table covers the batch already."""
+    spark = batch.sparkSession
+    raw, rejected = TableLog(spark, raw_path), TableLog(spark, quarantine_path)
+    if raw.covers(writer, batch_id):
+        return False
+    numbered = surrogate_id(source_columns(batch), lambda n: raw.reserve(n, writer, batch_id)[0])
+    decoded = EV.decode_events(numbered).withColumn("batch_id", F.lit(batch_id)).persist()
     try:
-        _write_sides(decoded, raw_path, quarantine_path)
+        good, bad = EV.quarantine_bad_rows(decoded)
+        rejected.append(TB.typed(bad, REJECTED), writer, batch_id, keep_seconds)
+        raw.append(TB.typed(good, LANDED), writer, batch_id, keep_seconds)  # last: the batch is done with this version
     finally:
         decoded.unpersist()
+    for log in (raw, rejected):
+        log.compact(fan_in, keep_seconds)
+    return True
 
 
-def _write_sides(decoded: DataFrame, raw_path: str, quarantine_path: str) -> None:
-    good, bad = EV.quarantine_bad_rows(decoded)
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW.fields] + [F.col("batch_id")]
-    (good.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(raw_path))
-    (bad.select("id", "bad_reason", "value", "batch_id").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path))
+def _query_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that a checkpoint gives its query, the same after every restart."""
+    return json.loads(Files(spark, checkpoint_path).read(f"{checkpoint_path}/metadata"))["id"]
 
 
 def start_ingest(stream: DataFrame, raw_path: str, quarantine_path: str, checkpoint_path: str,
                  available_now: bool = True, processing_time: str | None = None,
                  query_name: str | None = None) -> StreamingQuery:
-    """Start the ingest query.  ``available_now`` drains what is there and
-    stops; otherwise it triggers every ``processing_time``."""
-    w = (stream.writeStream.option("checkpointLocation", checkpoint_path)
-         .foreachBatch(lambda df, bid: write_batch(df, bid, raw_path, quarantine_path)))
+    """Start the ingest query over any stream with a ``value`` column.
+    ``available_now`` drains what is there and stops; otherwise it triggers
+    every ``processing_time``."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, raw_path, quarantine_path, _query_id(batch.sparkSession, checkpoint_path))
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(land)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
     return w.start()
 
 
-def ingest_available(spark: SparkSession, source_path: str, raw_path: str, quarantine_path: str,
-                     checkpoint_path: str, max_files_per_trigger: int | None = None) -> None:
-    """Drain a folder of JSON-lines files into the raw table and wait."""
-    stream = read_event_stream(spark, "files", source_path, max_files_per_trigger=max_files_per_trigger)
+def ingest_stream(stream: DataFrame, raw_path: str, quarantine_path: str, checkpoint_path: str) -> None:
+    """Drain a stream into the raw table and wait; a failed query raises."""
     q = start_ingest(stream, raw_path, quarantine_path, checkpoint_path, available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
+def ingest_available(spark: SparkSession, source_path: str, raw_path: str, quarantine_path: str,
+                     checkpoint_path: str, max_files_per_trigger: int | None = None) -> None:
+    """Drain a folder of JSON-lines files into the raw table and wait."""
+    stream = read_event_stream(spark, "files", source_path, max_files_per_trigger=max_files_per_trigger)
+    ingest_stream(stream, raw_path, quarantine_path, checkpoint_path)
+
+
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    """The ingested landing table without its ``batch_id`` partition column."""
-    return spark.read.parquet(raw_path).select(*S.RAW_COLS)
+    """The ingested landing table without the columns that tell its source."""
+    return TB.scan(spark, raw_path).select(*S.RAW_COLS)
 
 
 def write_feed_files(feed: DataFrame, path: str, files: int | None = None) -> None:
@@ -142,15 +146,22 @@ def write_feed_files(feed: DataFrame, path: str, files: int | None = None) -> No
     df.select("value").write.mode("overwrite").text(path)
 
 
-def ingest_then_clean(spark: SparkSession, source_path: str, out_dir: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """After the ingest drains, rebuild ``cleaned_data`` and return a scan of
-    it (the reference reported its row count)."""
-    import os
+def ingest_then_clean(spark: SparkSession, source: str | DataFrame, out_dir: str,
+                      max_files_per_trigger: int | None = None, **kafka) -> DataFrame:
+    """After the ingest drains, rebuild ``cleaned_data`` and return a scan of it
+    (the reference reported its row count).
 
+    ``source`` is a folder of JSON-lines files, any streaming frame with a
+    ``value`` column, or, with ``bootstrap_servers`` (and other options of
+    ``read_event_stream``), the Kafka topics to read."""
     from quarry.plans.jobs import clean_to_table
 
+    if isinstance(source, DataFrame):
+        stream = source
+    elif kafka:
+        stream = read_event_stream(spark, "kafka", topic=source, **kafka)
+    else:
+        stream = read_event_stream(spark, "files", source, max_files_per_trigger=max_files_per_trigger)
     raw_path = os.path.join(out_dir, "raw_data")
-    ingest_available(spark, source_path, raw_path, os.path.join(out_dir, "quarantine"),
-                     os.path.join(out_dir, "_checkpoints", "ingest"), max_files_per_trigger)
+    ingest_stream(stream, raw_path, os.path.join(out_dir, "quarantine"), os.path.join(out_dir, "_checkpoints", "ingest"))
     return clean_to_table(spark, read_raw(spark, raw_path), out_dir)

@@ -28,7 +28,7 @@ def test_detect_and_ingest(spark, capsys):
     assert main(["detect", "--raw", raw_p, "--out", out]) == 0
     det = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert det["total_rows"] == raw.count() and det["anomalies"] > 0
-    assert spark.read.parquet(out + "/anomaly_data").count() == det["total_rows"]
+    assert TB.scan(spark, out + "/anomaly_data").count() == det["total_rows"]
     src = scratch_path(spark, "cli-events")
     EV.write_events(raw.drop("id"), src)
     out2 = scratch_path(spark, "cli-ingest")

@@ -6,6 +6,7 @@ from quarry.operators import features as FE
 from quarry.operators import iforest as IF
 from quarry.plans import jobs as J
 from quarry.session import scratch_path
+from quarry.sources import tables as TB
 from quarry.sources.fixture import raw_data
 
 from conftest import SF_SMALL
@@ -15,7 +16,7 @@ def test_job_matches_operators(spark):
     raw = raw_data(spark, SF_SMALL)
     out = scratch_path(spark, "job-test")
     det = J.run_anomaly_detection(spark, raw, out)
-    written = spark.read.parquet(J.table_path(out, "anomaly_data"))
+    written = TB.scan(spark, J.table_path(out, "anomaly_data"))
     feats, n = FE.build_features_counted(raw)
     lab, _, thr = IF.fit_predict(feats, n_rows=n)
     expect = A.select_anomaly_output(A.assign_reason(lab))
@@ -33,7 +34,7 @@ def test_views_on_stored_anomaly_table(spark):
     raw = raw_data(spark, SF_SMALL)
     out = scratch_path(spark, "job-views")
     J.run_anomaly_detection(spark, raw, out)
-    stored = A.from_anomaly_table(spark.read.parquet(J.table_path(out, "anomaly_data")))
+    stored = A.from_anomaly_table(TB.scan(spark, J.table_path(out, "anomaly_data")))
     overview = {(r.section, r.key): r.n for r in V.anomaly_overview(stored).collect()}
     assert overview[("anomaly_label", "Normal")] + overview[("anomaly_label", "Anomaly")] == raw.count()
     by_city = CH.anomalies_by_city(stored).collect()
@@ -48,7 +49,7 @@ def test_job_appends_alert_above_threshold(spark):
     for _ in range(2):  # each run appends one alert row
         det = J.run_anomaly_detection(spark, raw, out, cfg)
     assert det["alert_raised"] is True
-    alerts = spark.read.parquet(J.table_path(out, "anomaly_alerts")).collect()
+    alerts = TB.scan(spark, J.table_path(out, "anomaly_alerts")).collect()
     assert len(alerts) == 2
     a = alerts[0]
     assert a.threshold == 5.0 and a.total_rows == det["total_rows"] and a.anomaly_count == det["anomalies"]

@@ -41,8 +41,9 @@ def test_every_tree_has_its_own_sample(spark):
 
 
 def test_surrogate_ids_with_many_partitions(spark):
-    df = spark.range(0, 6000, 1, 5000)
-    first = [r.id for r in surrogate_id(df.select(F.col("id").alias("value")), 3).collect()]
-    again = [r.id for r in surrogate_id(df.select(F.col("id").alias("value")), 3).collect()]
-    other = {r.id for r in surrogate_id(df.select(F.col("id").alias("value")), 4).collect()}
-    assert len(set(first)) == 6000 and sorted(first) == sorted(again) and not other & set(first)
+    df = spark.range(0, 6000, 1, 5000).select(F.col("id").alias("value"))
+    first = [r.id for r in surrogate_id(df).collect()]
+    again = [r.id for r in surrogate_id(df).collect()]
+    other = [r.id for r in surrogate_id(df, lambda n: (1 << 62) + n).collect()]
+    assert sorted(first) == sorted(again) == list(range(6000))
+    assert sorted(other) == [(1 << 62) + 6000 + i for i in range(6000)]

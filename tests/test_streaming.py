@@ -1,11 +1,16 @@
 """Event decoding golden lines, quarantine, and streaming ingest replay."""
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from quarry.__main__ import main
+from quarry.operators import clean as CL
 from quarry.session import scratch_path
 from quarry.sources import events as EV
+from quarry.sources import tables as TB
 from quarry.sources.fixture import raw_data
+from quarry.sources.tablelog import TableLog
 from quarry.streaming import ingest as IN
 
 from conftest import SF_SMALL
@@ -58,25 +63,61 @@ def test_streaming_replay_and_batches(spark):
     base = scratch_path(spark, "ingest")
     raw_p, bad_p, ck = (base + "/" + x for x in ("raw", "bad", "ck"))
     IN.ingest_available(spark, src, raw_p, bad_p, ck, max_files_per_trigger=1)
-    first = spark.read.parquet(raw_p)
+    first = TB.scan(spark, raw_p)
     n1 = first.count()
     assert first.select("batch_id").distinct().count() == 3
     assert first.select("id").distinct().count() == n1
     # same checkpoint again: nothing new, nothing duplicated
     IN.ingest_available(spark, src, raw_p, bad_p, ck, max_files_per_trigger=1)
-    assert spark.read.parquet(raw_p).count() == n1
-    # a replayed micro-batch rewrites only its own partition: writing the same
-    # batch twice under one batch id adds its rows once
+    assert TB.scan(spark, raw_p).count() == n1
+    # a replayed micro-batch adds its rows once
     one_file = spark.read.text(src).select(F.input_file_name().alias("f")).first().f
     extra = spark.read.text(one_file)
-    IN.write_batch(extra, 99, raw_p, bad_p)
-    n2 = spark.read.parquet(raw_p).count()
-    IN.write_batch(extra, 99, raw_p, bad_p)
-    assert spark.read.parquet(raw_p).count() == n2 > n1
-    assert spark.read.parquet(raw_p).where("batch_id < 99").count() == n1
-    q = spark.read.parquet(bad_p)
+    assert IN.write_batch(extra, 99, raw_p, bad_p) is True
+    n2 = TB.scan(spark, raw_p).count()
+    assert IN.write_batch(extra, 99, raw_p, bad_p) is False
+    assert TB.scan(spark, raw_p).count() == n2 > n1
+    assert TB.scan(spark, raw_p).where("batch_id < 99").count() == n1
+    q = TB.scan(spark, bad_p)
     assert q.where(F.col("bad_reason").isNull()).count() == 0
     assert n1 + q.where("batch_id < 99").count() == raw_data(spark, SF_SMALL).count()
+    every = TB.scan(spark, raw_p).select("id").unionAll(q.select("id"))
+    assert every.distinct().count() == every.count()
+
+
+def test_a_new_checkpoint_is_another_writer(spark):
+    """Two queries count their batches from 0; neither hides the other's."""
+    src, base = scratch_path(spark, "feed"), scratch_path(spark, "ingest")
+    IN.write_feed_files(EV.event_feed(raw_data(spark, SF_SMALL)), src)
+    n = 0
+    for ck in ("/ck1", "/ck2"):
+        IN.ingest_available(spark, src, base + "/raw", base + "/bad", base + ck)
+        rows = TB.scan(spark, base + "/raw")
+        assert rows.count() == rows.select("id").distinct().count() > n
+        n = rows.count()
+    assert rows.groupBy("order_id", "batch_id").count().where("count % 2 = 1").count() == 0
+
+
+def test_a_batch_that_broke_off_gets_its_ids_again(spark, monkeypatch):
+    base = scratch_path(spark, "broken")
+    batch = EV.event_feed(raw_data(spark, SF_SMALL)).select("value")
+    whole = TableLog.append
+
+    def fails_for_raw(self, *args, **kw):
+        if self.table.endswith("/raw"):
+            raise OSError("lost")
+        return whole(self, *args, **kw)
+
+    monkeypatch.setattr(TableLog, "append", fails_for_raw)
+    with pytest.raises(OSError):
+        IN.write_batch(batch, 0, base + "/raw", base + "/bad")
+    monkeypatch.setattr(TableLog, "append", whole)
+    bad = sorted(r.id for r in TB.scan(spark, base + "/bad").collect())
+    assert IN.write_batch(batch, 0, base + "/raw", base + "/bad")
+    assert sorted(r.id for r in TB.scan(spark, base + "/bad").collect()) == bad
+    good = {r.id for r in TB.scan(spark, base + "/raw").collect()}
+    assert len(good) + len(bad) == batch.count() and not good & set(bad)
+    assert TableLog(spark, base + "/raw").state()["pending"] == {}
 
 
 def test_write_events_then_ingest(spark):
@@ -90,14 +131,56 @@ def test_write_events_then_ingest(spark):
     assert got.exceptAll(raw.select(*cols)).count() == 0 and raw.select(*cols).exceptAll(got).count() == 0
 
 
-def test_kafka_shaped_batch_ids(spark):
-    """Rows carrying (partition, offset) get ids from their source position,
-    so a replayed batch gets the same ids."""
-    lines = EV.encode_events(raw_data(spark, SF_SMALL).drop("id")).limit(50)
-    batch = lines.select("value", (F.monotonically_increasing_id() % 3).cast("int").alias("partition"),
-                         F.monotonically_increasing_id().alias("offset"))
+def kafka_frame(spark):
+    """Rows of two topics in the columns of Kafka's source, offsets beyond 2^40."""
+    lines = EV.encode_events(raw_data(spark, SF_SMALL).drop("id"))
+    n = F.monotonically_increasing_id()
+    return lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                        F.concat(F.lit("t"), (n % 2).cast("string")).alias("topic"), (n % 3).cast("int").alias("partition"),
+                        (n + (1 << 41)).alias("offset"), F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"))
+
+
+def test_kafka_shaped_ids(spark):
+    """Ids follow the source position, whatever the partitioning; two topics
+    with the same partitions and offsets do not meet; no batch id is too large."""
+    frame = IN.source_columns(kafka_frame(spark))
+    both = frame.unionAll(frame.withColumn("topic", F.concat("topic", F.lit("x"))))
+    first = {(r.topic, r.partition, r.offset): r.id for r in IN.surrogate_id(both).collect()}
+    again = {(r.topic, r.partition, r.offset): r.id for r in IN.surrogate_id(both.repartition(7)).collect()}
+    assert first == again and len(set(first.values())) == both.count() == len(first)
     base = scratch_path(spark, "kafka-shaped")
-    IN.write_batch(batch, 7, base + "/raw", base + "/bad")
-    got = spark.read.parquet(base + "/raw")
-    expect = batch.select((F.shiftleft(F.col("partition").cast("long"), 40) + F.col("offset")).alias("id"))
-    assert got.select("id").exceptAll(expect).count() == 0 and got.count() == 50
+    for batch_id in ((1 << 23) + 5, (1 << 23) + 6):
+        part = "offset % 2 = 0" if batch_id % 2 else "offset % 2 = 1"
+        assert IN.write_batch(frame.where(part), batch_id, base + "/raw", base + "/bad")
+    rows = TB.scan(spark, base + "/raw")
+    assert rows.count() == frame.count() == rows.select("id").distinct().count()
+    assert rows.select("topic", "partition", "offset").exceptAll(frame.select("topic", "partition", "offset")).count() == 0
+
+
+def test_kafka_shaped_stream_through_the_job(spark):
+    """A stream with the columns of Kafka's source, landed and cleaned."""
+    src, out = scratch_path(spark, "kafka-files"), scratch_path(spark, "kafka-out")
+    frame = kafka_frame(spark)
+    frame.repartition(3).write.parquet(src)
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    cleaned = IN.ingest_then_clean(spark, stream, out)
+    raw = raw_data(spark, SF_SMALL)
+    expected = CL.clean_events(raw)
+    assert cleaned.exceptAll(expected).count() == 0 and expected.exceptAll(cleaned).count() == 0
+    landed = TB.scan(spark, out + "/raw_data")
+    assert {r.topic for r in landed.select("topic").distinct().collect()} == {"t0", "t1"}
+    assert landed.select("id").distinct().count() == raw.count()
+
+
+def test_kafka_options_reach_the_reader(spark, monkeypatch):
+    seen = {}
+
+    def reader(spark, source, **options):
+        seen.update(source=source, **options)
+        raise KeyError("no broker here")
+
+    monkeypatch.setattr(IN, "read_event_stream", reader)
+    with pytest.raises(KeyError):
+        main(["ingest", "--kafka", "host:1", "--source", "a,b", "--out", "/tmp/none", "--max-offsets", "7", "--option", "failOnDataLoss=false"])
+    assert seen == {"source": "kafka", "topic": "a,b", "bootstrap_servers": "host:1", "max_offsets_per_trigger": 7,
+                    "starting_offsets": "earliest", "failOnDataLoss": "false"}
