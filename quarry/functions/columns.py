@@ -78,6 +78,8 @@ def compute_revenue(price="price", quantity="quantity") -> Column:
 
 
 # ---------------------------------------------------------- timestamp rules
+ISO_HOUR = r"^\d{4}-\d{2}-\d{2}T\d{2}$"
+ISO_MINUTE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}$"
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 DMY_SHAPE = r"^\d{2}-\d{2}-\d{4} \d{2}:\d{2}$"
 
@@ -93,13 +95,17 @@ def _ntz(text: Column, shape: str, y, mo, d, h, mi, sec=None) -> Column:
 
 def parse_event_timestamp(c="timestamp") -> Column:
     """Two accepted text formats, in order: anything containing ``T`` is read
-    as ``yyyy-MM-ddTHH:mm:ss`` from its first 19 characters; text shaped
+    as ``yyyy-MM-ddTHH:mm:ss`` from its first 19 characters, missing seconds or
+    minutes being 0; text shaped
     ``dd-mm-yyyy hh:mi...`` as ``dd-MM-yyyy HH:mm`` from its first 16.  Blank,
     ``NaT`` and everything else is null.  Epoch-0 and future times survive.
     The result is a TIMESTAMP_NTZ built from the digits, so the session time
     zone (and its DST gaps) never shifts a value."""
     col = _c(c)
-    iso = _ntz(F.substring(col, 1, 19), ISO_SHAPE, (1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
+    text = F.substring(col, 1, 19)
+    text = (F.when(text.rlike(ISO_HOUR), F.concat(text, F.lit(":00:00"))).when(text.rlike(ISO_MINUTE), F.concat(text, F.lit(":00")))
+            .otherwise(text))
+    iso = _ntz(text, ISO_SHAPE, (1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))
     dmy = _ntz(F.substring(col, 1, 16), DMY_SHAPE, (7, 4), (4, 2), (1, 2), (12, 2), (15, 2))
     return (F.when(col.isNull() | (F.trim(col) == "") | (col == "NaT"), F.lit(None).cast("timestamp_ntz"))
             .when(col.like("%T%"), iso)

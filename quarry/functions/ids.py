@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OFFSET_COLUMNS = ("partition", "offset")
@@ -47,13 +47,23 @@ def _by_offset(df: DataFrame, allocate: Callable[[int], int]) -> DataFrame:
 
 
 def _by_position(df: DataFrame, allocate: Callable[[int], int]) -> DataFrame:
-    pid = F.spark_partition_id()
-    sizes = sorted(df.select(pid.alias("_pid")).groupBy("_pid").count().collect())
-    start, rows = allocate(sum(r["count"] for r in sizes)), []
-    for r in sizes:
+    placed = df.select("*", F.spark_partition_id().alias("_pid"), position().alias("_pos"))
+    sizes = df.select(F.spark_partition_id().alias("_pid")).groupBy("_pid").count()
+    return with_starts(placed, sizes, allocate).withColumn("id", F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
+
+
+def position() -> Column:
+    """A row's position in its Spark partition."""
+    return F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+
+
+def with_starts(placed: DataFrame, sizes: DataFrame, allocate: Callable[[int], int] = lambda n: 0) -> DataFrame:
+    """Add ``_start``: the number of the first row of a row's partition
+    (``_pid``), from ``sizes`` (_pid, count).  The starts are a small table, one
+    row per partition, that is joined; a plan does not grow with it."""
+    rows, each = [], sorted(sizes.select("_pid", "count").collect())
+    start = allocate(sum(r["count"] for r in each))
+    for r in each:
         rows.append((r["_pid"], start))
         start += r["count"]
-    starts = df.sparkSession.createDataFrame(rows, "_pid int, _start long")
-    position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    placed = df.select("*", pid.alias("_pid"), position.alias("_pos")).join(F.broadcast(starts), "_pid")
-    return placed.withColumn("id", F.col("_start") + F.col("_pos")).drop("_pid", "_pos", "_start")
+    return placed.join(F.broadcast(placed.sparkSession.createDataFrame(rows, "_pid int, _start long")), "_pid")

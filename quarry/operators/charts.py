@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry import schemas as S
-from quarry.functions.sampling import smallest_by_hash
+from quarry.functions.sampling import smallest_by_hash, smallest_by_stratum
 from quarry.operators.quality import group_counts
 
 LABELS = [S.LABEL_NORMAL, S.LABEL_ANOMALY]
@@ -82,19 +82,12 @@ def sample_rows(df: DataFrame, n: int, seed: int = S.SEED, id_col: str = "id",
 
 def stratified_sample(labelled: DataFrame, n_per_label: int = 5000, seed: int = S.SEED,
                       id_col: str = "id", labels=LABELS) -> DataFrame:
-    """Up to ``n_per_label`` rows per label, each a bounded top-n by hash.
-    Label sizes come from one small aggregate."""
+    """Up to ``n_per_label`` rows per label, the smallest by hash, from one scan
+    for all labels.  Label sizes come from one small aggregate."""
     sizes = {r["anomaly_label"]: r["n"] for r in
              labelled.groupBy("anomaly_label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = [sample_rows(labelled.where(F.col("anomaly_label") == lab), n_per_label, seed, id_col,
-                         n_rows=sizes.get(lab, 0))
-             for lab in labels if sizes.get(lab, 0) > 0]
-    if not parts:
-        return labelled.limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    wanted = {lab: sizes[lab] for lab in labels if lab in sizes}
+    return smallest_by_stratum(labelled, F.col("anomaly_label"), wanted, n_per_label, seed, id_col)
 
 
 def price_revenue_scatter(labelled: DataFrame, sample: int | None = None, seed: int = S.SEED,

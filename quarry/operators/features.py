@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions import columns as C
+from quarry.functions.ids import position, with_starts
 from quarry.session import materialize
 
 ENCODED = [("category_clean", "category_encoded"), ("city_clean", "city_encoded"),
@@ -59,21 +60,14 @@ def assign_codes(dictionary: DataFrame) -> DataFrame:
     distributed (no task holds a whole column's values).
 
     A range-partitioned sort puts every partition's rows in global order;
-    the partition sizes (one small aggregate, one row per partition) give each
-    partition's starting rank; subtracting each column's first rank restarts
+    prefix sums of the partition sizes (one row per partition), joined, give
+    each partition's starting rank; subtracting each column's first rank restarts
     the count per column.
     """
     ordered = dictionary.orderBy("column", "value")
-    pid = F.spark_partition_id()
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    ranked = materialize(ordered.select("*", pid.alias("_pid"), pos.alias("_pos")), "dictionary")
-    sizes = sorted((r["_pid"], r["c"]) for r in ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("c")).collect())
-    start, kv = 0, []
-    for p, c in sizes:
-        kv += [F.lit(p), F.lit(start)]
-        start += c
-    offsets = F.create_map(*kv) if kv else F.create_map().cast("map<int,bigint>")
-    glob = ranked.select("*", (F.element_at(offsets, F.col("_pid")) + F.col("_pos")).alias("_g"))
+    ranked = materialize(ordered.select("*", F.spark_partition_id().alias("_pid"), position().alias("_pos")), "dictionary")
+    placed = with_starts(ranked, ranked.groupBy("_pid").count())
+    glob = placed.select(*dictionary.columns, (F.col("_start") + F.col("_pos")).alias("_g"))
     first = glob.groupBy("column").agg(F.min("_g").alias("_first"))   # one row per encoded column
     return (glob.join(F.broadcast(first), "column")
             .select(*[c for c in dictionary.columns], (F.col("_g") - F.col("_first")).cast("int").alias("code")))

@@ -2,12 +2,10 @@
 
 1. Sample.  Every tree needs psi = min(max_samples, N) rows.  A pool of the
    m = min(N, n_trees * psi) rows with the smallest ``xxhash64(id, seed)`` is
-   taken by a hash-threshold filter plus top-m (functions.sampling): the merge
-   sees about 4m rows and the pool never exceeds n_trees * psi rows, whatever
-   N is.  Pool rank r goes to
-   every tree t with ``(r - t*psi) mod m < psi``: disjoint blocks when N is
-   large, overlapping windows of a random order when it is small.  Only the
-   pool is replicated, never the input.
+   taken by a hash threshold (functions.sampling): the pool never exceeds
+   n_trees * psi rows, whatever N is, and a large one is cut without any task
+   merging it.  Every tree draws the psi pool rows with the smallest hashes of
+   (id, tree).  Only the pool is replicated, never the input.
 2. Train.  ``groupBy("tree").applyInPandas``: one task per tree, rows sorted
    by id (arrival order is not deterministic), RNG seeded by (seed, tree);
    random non-constant feature, uniform cut in (min, max), height limit
@@ -34,7 +32,7 @@ from pyspark.sql.functions import pandas_udf
 from quarry import schemas as S
 from quarry.session import materialize
 from quarry.functions.quantile import exact_percentile
-from quarry.functions.sampling import smallest_by_hash
+from quarry.functions.sampling import MERGED_ROWS, smallest_by_hash
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left_child int, right_child int, "
                "size int, depth int")
@@ -55,7 +53,7 @@ def average_path_length(n):
 def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",
                      n_trees: int = S.N_TREES, max_samples: int = S.MAX_SAMPLES, seed: int = S.SEED,
                      n_rows: int | None = None, oversample: float = 4.0,
-                     verify: bool = True) -> tuple[DataFrame, int]:
+                     verify: bool = True, merged_rows: int = MERGED_ROWS) -> tuple[DataFrame, int]:
     """``(tree, id, features...)`` training rows, and psi."""
     n = features.count() if n_rows is None else n_rows
     if n == 0:
@@ -64,7 +62,7 @@ def sample_for_trees(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: s
     m = min(n, n_trees * psi)
     cols = [F.col(id_col).alias("id")] + [F.col(c).cast("double").alias(c) for c in feature_cols]
     pool = smallest_by_hash(features.select(*cols), m, seed, "id", n_rows=n, keep_hash="_h",
-                            oversample=oversample, verify=verify)
+                            oversample=oversample, verify=verify, merged_rows=merged_rows)
     # each tree takes the psi pool rows with the smallest (id, tree) hashes: an
     # independent sample without replacement.  A hash threshold leaves about
     # oversample * psi candidates per tree before the ranking within the tree.
@@ -201,14 +199,15 @@ def _train_partitions(df: DataFrame, n_trees: int) -> int:
 
 def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",
                            n_trees: int = S.N_TREES, max_samples: int = S.MAX_SAMPLES,
-                           seed: int = S.SEED, n_rows: int | None = None) -> IsolationForestModel:
+                           seed: int = S.SEED, n_rows: int | None = None,
+                           merged_rows: int = MERGED_ROWS) -> IsolationForestModel:
     """Train and collect the (bounded) node table.  The sample pool is not
     counted separately: each tree's root size is in the node table, so a pool
     the hash filter left short (practically impossible) is detected there and
     the training repeats without the filter."""
     for oversample in (4.0, float("inf")):
         train, psi = sample_for_trees(features, feature_cols, id_col, n_trees, max_samples, seed, n_rows,
-                                      oversample=oversample, verify=False)
+                                      oversample=oversample, verify=False, merged_rows=merged_rows)
         fit = _fit_tree_fn(tuple(feature_cols), psi, seed)
         # the training rows are few (<= n_trees * psi), so adaptive execution
         # would coalesce them into one task and fit every tree serially; an

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions.grouping import set_key, set_name
+from quarry.functions.repeats import maybe_repeated
 
 
 def _cnt() -> Column:
@@ -27,8 +28,12 @@ def _key_order(keys) -> list[Column]:
 
 def group_counts(df: DataFrame, keys, name: str = "count", min_count: int | None = None,
                  limit: int | None = None, descending: bool = True) -> DataFrame:
-    """GROUP BY keys [HAVING count > min_count] ORDER BY count, keys [LIMIT]."""
+    """GROUP BY keys [HAVING count > min_count] ORDER BY count, keys [LIMIT].
+    With ``min_count`` rows whose key no other row has are filtered out before
+    the shuffle (functions.repeats), which reads the input once more."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if min_count:
+        df = maybe_repeated(df.select(*keys), keys)
     g = df.groupBy(*keys).agg(_cnt().alias(name))
     if min_count is not None:
         g = g.where(F.col(name) > min_count)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from quarry import schemas as S
 from quarry.functions.grouping import set_key, set_name
-from quarry.operators import kpi as K
 
 SALES_DIMS = ["category", "hour", "city", "payment_method", "event_type"]
 
@@ -61,6 +60,9 @@ def alert_history(alerts: DataFrame) -> DataFrame:
     return alerts.orderBy(F.desc("alert_time"), F.desc("anomaly_rate"))
 
 
-def kpi_summary(cleaned: DataFrame, total_orders_mode: str = "purchase") -> DataFrame:
-    """The KPI cards: the business-insights table."""
-    return K.business_insights(cleaned, total_orders_mode)
+def kpi_summary(insights: DataFrame) -> DataFrame:
+    """The KPI cards from the stored ``business_insights`` table: one row per
+    metric, in the order of the report; a metric that is not there has no value."""
+    order = F.array(*[F.struct(F.lit(i).alias("card"), F.lit(m).alias("metric")) for i, m in enumerate(S.INSIGHT_METRICS)])
+    cards = insights.sparkSession.range(1).select(F.inline(order))
+    return cards.join(insights.select("metric", "value"), "metric", "left").orderBy("card").select("card", "metric", "value")

@@ -33,7 +33,7 @@ def city_sql(c: str = "city") -> str:
 
 def ts_sql(c: str = "timestamp") -> str:
     return (f"CASE WHEN {c} IS NULL OR trim({c}) = '' OR {c} = 'NaT' THEN NULL "
-            f"WHEN {c} LIKE '%T%' THEN try_strptime(substr({c}, 1, 19), '%Y-%m-%dT%H:%M:%S') "
+            f"WHEN {c} LIKE '%T%' THEN try_strptime(substr({c}, 1, 19), ['%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M', '%Y-%m-%dT%H']) "
             f"WHEN {c} LIKE '__-__-____ __:__%' THEN try_strptime(substr({c}, 1, 16), '%d-%m-%Y %H:%M') "
             f"ELSE NULL END")
 

@@ -266,10 +266,20 @@ def q_clean_payment_dist(spark, sf):
     return Q.clean_payment_dist(_cleaned(spark, sf))
 
 
-@register("clean_true_duplicates", with_clean(
-    _top_sql(["order_id", "product_id", "price", "quantity", "event_timestamp"], "count", "cleaned_data")))
+#: Events that came again with another city: cleaning keeps both rows, since they differ.
+_REDELIVERED = ("twice AS (SELECT * FROM raw_data UNION ALL SELECT id + 5000000000, order_id, user_id, product_id, product_name, category, "
+                "price, quantity, event_type, timestamp, payment_method, CASE WHEN city = 'Kolkata' THEN 'Delhi' ELSE 'Kolkata' END "
+                "FROM raw_data WHERE id % 10 < 3)")
+
+
+@register("clean_true_duplicates", with_raw(
+    _top_sql(["order_id", "product_id", "price", "quantity", "event_timestamp"], "count", "cleaned_data"),
+    _REDELIVERED + f", cleaned_data AS ({CLEAN_SELECT.replace('FROM raw_data', 'FROM twice')})"))
 def q_clean_true_duplicates(spark, sf):
-    return Q.clean_true_duplicates(_cleaned(spark, sf))
+    raw = raw_data(spark, sf)
+    other = F.when(F.col("city") == "Kolkata", "Delhi").otherwise("Kolkata")
+    again = raw.where("id % 10 < 3").withColumn("id", F.col("id") + 5000000000).withColumn("city", other)
+    return Q.clean_true_duplicates(CL.clean_events(raw.unionByName(again)))
 
 
 @register("clean_event_type_dist", with_clean(

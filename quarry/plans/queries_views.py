@@ -13,7 +13,8 @@ from quarry.operators import features as FE
 from quarry.operators import iforest as IF
 from quarry.operators import views as V
 from quarry.plans.oracle import with_clean, with_raw
-from quarry.plans.queries_anomaly import FEATURE_CTES, REASON_CTE, RULE_LABEL_CTE
+from quarry.plans import jobs as J
+from quarry.plans.queries_anomaly import FEATURE_CTES, REASON_CTE, RULE_LABEL_CTE, SUMMARY_SQL
 from quarry.plans.queries_batch import _INSIGHTS
 from quarry.plans.registry import register
 from quarry.session import scratch_path
@@ -153,15 +154,28 @@ def q_anomaly_overview(spark, sf):
     return V.anomaly_overview(A.assign_reason(_forest(spark, sf)))
 
 
-@register("alert_history")
+_ALERTS = " UNION ALL ".join(
+    f"SELECT round(anomaly_rate, 2) AS anomaly_rate, CAST({t} AS DOUBLE) AS threshold, total_rows, anomaly_rows AS anomaly_count, "
+    f"'High anomaly rate: ' || printf('%.1f', anomaly_rate) || '%' AS message FROM ({SUMMARY_SQL}) WHERE anomaly_rate > {t}"
+    for t in ("15.0", "20.0", "99.0"))
+
+
+@register("alert_history", _lab_sql(_ALERTS))
 def q_alert_history(spark, sf):
+    """All stored alerts but for the time that they were raised."""
     target = scratch_path(spark, "anomaly_alerts")
     summary = A.anomaly_summary(_rule(spark, sf))
-    for thr in (S.ALERT_THRESHOLD, 20.0):
+    for thr in (S.ALERT_THRESHOLD, 20.0, 99.0):
         TB.append_table(A.anomaly_rate_alert(summary, thr), target)
-    return V.alert_history(TB.scan(spark, target))
+    return V.alert_history(TB.scan(spark, target)).drop("alert_time")
 
 
-@register("kpi_summary", with_clean(_INSIGHTS))
+@register("kpi_summary", with_clean(
+    "SELECT CASE metric " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(
+        ["Top Category", "Peak Hour", "Conversion Rate", "Top City", "Total Orders", "Total Revenue"]))
+    + f" END AS card, metric, value FROM ({_INSIGHTS})"))
 def q_kpi_summary(spark, sf):
-    return V.kpi_summary(CL.clean_events(raw_data(spark, sf)))
+    """The cards read the table that the analysis job stored."""
+    out = scratch_path(spark, "job")
+    J.run_analysis(spark, CL.clean_events(raw_data(spark, sf)), out)
+    return V.kpi_summary(TB.scan(spark, J.table_path(out, "business_insights")))

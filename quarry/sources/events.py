@@ -18,7 +18,7 @@ from quarry.functions import columns as C
 
 CORRUPT = "_corrupt_record"
 _DECODE_SCHEMA = T.StructType(S.EVENT_JSON.fields + [T.StructField(CORRUPT, T.StringType())])
-INT_TEXT = r"^\s*[+-]?\d+\s*$"
+INT_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"  # 12.0 is the integer 12 to a database
 # landing-table text widths (the reference's VARCHAR sizes)
 TEXT_WIDTH = {"user_id": 50, "product_name": 100, "category": 50, "event_type": 50, "timestamp": 50,
               "payment_method": 50, "city": 50}
@@ -31,14 +31,14 @@ def encode_events(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def _int_field(text: Column) -> Column:
-    return F.when(text.rlike(INT_TEXT), F.trim(text).try_cast("int"))
+    return F.when(text.rlike(INT_TEXT), F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("int"))
 
 
 def decode_events(df: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text -> the 11 landing columns + ``bad_reason`` (null = good).
 
     ``bad_reason`` is set for: a line that is not a JSON object; an integer
-    field whose text is not an integer in range; a text longer than its
+    field whose text is not an integer (``12`` or ``12.0``) in range; a text longer than its
     landing-table column.  An unparseable price is *not* bad: it becomes null.
     """
     v = F.col(value_col).cast("string")

@@ -42,7 +42,8 @@ RAW_FIXTURE_CTES = """b AS (
     CASE WHEN id % 33 = 1 THEN '1970-01-01T00:00:00'
          WHEN id % 33 = 2 THEN concat(substr(iso, 9, 2), '-', substr(iso, 6, 2), '-', substr(iso, 1, 4), ' ', substr(iso, 12, 5))
          WHEN id % 33 = 3 THEN concat('2031', substr(iso, 5)) WHEN id % 50 = 13 THEN 'NaT'
-         WHEN id % 200 = 17 THEN '' WHEN id % 200 = 117 THEN NULL ELSE iso END AS timestamp,
+         WHEN id % 200 = 17 THEN '' WHEN id % 200 = 117 THEN NULL
+         WHEN id % 200 = 57 THEN substr(iso, 1, 16) ELSE iso END AS timestamp,
     CASE WHEN id % 12 = 2 THEN NULL WHEN uid % 3 = 0 THEN 'UPI' WHEN uid % 3 = 1 THEN ' Card' ELSE 'cod' END AS payment_method,
     CASE WHEN id % 100 = 60 THEN 'DELHI' WHEN id % 100 = 62 THEN 'mumbai' WHEN id % 100 = 64 THEN 'Dilli' WHEN id % 100 = 65 THEN 'Bombay'
          WHEN id % 100 = 66 THEN 'Calcutta' WHEN id % 100 = 67 THEN 'BLR' WHEN id % 100 = 68 THEN '???' WHEN id % 100 = 70 THEN NULL

@@ -1,6 +1,8 @@
 """The batch job's shortcuts (one aggregate for threshold + revenue cut,
 label counts observed during the write) give the same result as the
 operator-by-operator path."""
+import pytest
+
 from quarry.operators import anomaly as A
 from quarry.operators import features as FE
 from quarry.operators import iforest as IF
@@ -65,3 +67,40 @@ def test_job_drops_scored_scratch(spark):
     J.run_anomaly_detection(spark, raw_data(spark, SF_SMALL), scratch_path(spark, "job-scratch"))
     after = {f for f in os.listdir(base) if f.startswith("scored-")}
     assert after - before == set()
+
+
+@pytest.mark.parametrize("change", [None, "input", "table"])
+def test_a_failed_job_goes_on_where_it_failed(spark, monkeypatch, change):
+    """Nothing is scored again, and no alert raised twice, unless the input or
+    a table that a step wrote has changed."""
+    raw, out = raw_data(spark, SF_SMALL), scratch_path(spark, "job-resumed")
+    cfg = J.JobConfig(alert_threshold=5.0)
+    scored, train = [], IF.train_isolation_forest
+    monkeypatch.setattr(IF, "train_isolation_forest", lambda *a, **k: (scored.append(1), train(*a, **k))[1])
+    analysis = J.run_analysis
+    monkeypatch.setattr(J, "run_analysis", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        J.run_batch_job(spark, raw, out, cfg)
+    monkeypatch.setattr(J, "run_analysis", analysis)
+    assert len(scored) == 1
+    if change == "input":
+        raw = raw.where("id % 2 = 0")
+    if change == "table":
+        TB.replace_table(TB.scan(spark, out + "/anomaly_data").limit(5), out + "/anomaly_data")
+    report = J.run_batch_job(spark, raw, out, cfg).first()
+    assert len(scored) == (1 if change is None else 2)
+    assert report.total_rows == raw.count() == TB.scan(spark, out + "/anomaly_data").count()
+    assert report.cleaned_rows == TB.scan(spark, out + "/cleaned_data").count() and report.insights == 6
+    alerts = TB.scan(spark, out + "/anomaly_alerts").count()
+    assert alerts == (2 if change == "input" else 1)
+    J.run_batch_job(spark, raw, out, cfg)  # a finished job starts anew
+    assert len(scored) == (2 if change is None else 3)
+    assert TB.scan(spark, out + "/anomaly_alerts").count() == alerts + 1
+
+
+def test_fingerprints_do_not_depend_on_running_numbers(spark):
+    cfg = J.JobConfig()
+    one = J.input_fingerprint(raw_data(spark, SF_SMALL), cfg)
+    assert one == J.input_fingerprint(raw_data(spark, SF_SMALL), cfg)
+    assert one != J.input_fingerprint(raw_data(spark, SF_SMALL).where("price > 1"), cfg)
+    assert one != J.input_fingerprint(raw_data(spark, SF_SMALL), J.JobConfig(seed=1))

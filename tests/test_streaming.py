@@ -45,6 +45,14 @@ def test_golden_lines(spark):
     assert "bad_reason" not in good.columns and "_anomaly" not in good.columns
 
 
+def test_integral_decimals_are_integers(spark):
+    lines = [f'{{"order_id":{v},"product_id":3.0,"quantity":"2.0"}}' for v in ("12.0", "1e3", "12.5", '"1e3"', "3000000000.0", "-7.00")]
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, value string")
+    got = [(r.order_id, r.product_id, r.quantity, r.bad_reason) for r in EV.decode_events(df).orderBy("id").collect()]
+    bad = (None, 3, 2, "bad order_id")
+    assert got[:2] == [(12, 3, 2, None), (1000, 3, 2, None)] and got[5] == (-7, 3, 2, None) and got[2:5] == [bad, bad, bad]
+
+
 def test_encode_decode_round_trip(spark):
     raw = raw_data(spark, SF_SMALL)
     enc = EV.encode_events(raw.drop("id"))
