@@ -25,12 +25,6 @@ def with_rule_label(features: DataFrame) -> DataFrame:
         "anomaly_score", F.when(F.col("anomaly_label") == S.LABEL_ANOMALY, -1).otherwise(1))
 
 
-def label_from_prediction(df: DataFrame, pred: str = "anomaly_score") -> DataFrame:
-    """+1 -> Normal, -1 -> Anomaly."""
-    return df.withColumn("anomaly_label", F.when(F.col(pred) == -1, F.lit(S.LABEL_ANOMALY))
-                         .when(F.col(pred) == 1, F.lit(S.LABEL_NORMAL)))
-
-
 def reason_expr(revenue_cut: Column) -> Column:
     """Sequential overwrites where the last match wins, written as one CASE
     in reverse order (first true wins)."""

@@ -190,11 +190,7 @@ class IsolationForestModel:
 
 
 def _train_partitions(df: DataFrame, n_trees: int) -> int:
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # remote session
-        cores = n_trees
-    return max(1, min(n_trees, cores))
+    return max(1, min(n_trees, df.sparkSession.sparkContext.defaultParallelism))
 
 
 def train_isolation_forest(features: DataFrame, feature_cols=S.FEATURE_COLS, id_col: str = "id",

@@ -10,7 +10,7 @@ from quarry import schemas as S
 from quarry.operators import anomaly as A
 from quarry.operators import corruption as X
 from quarry.operators import features as FE
-from quarry.plans.oracle import _in, ts_sql, with_raw
+from quarry.plans.oracle import EVENT_TYPES, ts_sql, with_raw
 from quarry.plans.registry import register
 from quarry.sources.fixture import raw_data
 
@@ -38,17 +38,17 @@ RULE_LABEL_CTE = """labelled AS (
 
 REASON_CTE = f"""reasoned AS (
   SELECT *, CASE WHEN anomaly_label <> 'Anomaly' THEN 'Normal'
-    WHEN payment_clean = 'Unknown' THEN '{S.R_MISSING_PAYMENT}'
-    WHEN event_type_clean NOT IN {_in(S.VALID_EVENT_TYPES)} THEN '{S.R_INVALID_EVENT}'
-    WHEN city_clean NOT IN {_in(S.RAW_VALID_CITIES)} THEN '{S.R_UNKNOWN_CITY}'
-    WHEN quantity_clean > 3 THEN '{S.R_QTY_OUTLIER}'
-    WHEN quantity_clean = 0 THEN '{S.R_ZERO_QTY}'
-    WHEN price_clean > 80000 THEN '{S.R_PRICE_OUTLIER}'
-    WHEN price_clean = 0 THEN '{S.R_ZERO_PRICE}'
-    WHEN price_clean < 0 THEN '{S.R_NEG_PRICE}'
+    WHEN payment_clean = 'Unknown' THEN 'Missing Payment Method'
+    WHEN event_type_clean NOT IN {EVENT_TYPES} THEN 'Invalid Event Type (Schema Drift)'
+    WHEN city_clean NOT IN ('Delhi', 'Mumbai', 'Kolkata', 'Bangalore') THEN 'Unknown City (Corrupt/Missing)'
+    WHEN quantity_clean > 3 THEN 'Quantity Outlier (Data Entry Error)'
+    WHEN quantity_clean = 0 THEN 'Zero Quantity (Bot Traffic)'
+    WHEN price_clean > 80000 THEN 'Price Outlier (Currency Mismatch)'
+    WHEN price_clean = 0 THEN 'Zero Price'
+    WHEN price_clean < 0 THEN 'Negative Price'
     WHEN revenue_clean > (SELECT avg(revenue_clean) + 2.0 * stddev_samp(revenue_clean) FROM labelled)
-      THEN '{S.R_HIGH_REVENUE}'
-    ELSE '{S.R_ML_PATTERN}' END AS anomaly_reason
+      THEN 'Unusually High Revenue'
+    ELSE 'ML Pattern Anomaly' END AS anomaly_reason
   FROM labelled
 )"""
 
@@ -175,8 +175,8 @@ def _flag_sql(k: str) -> str:
         "missing_payment": "payment_method IS NULL", "missing_order_id": "order_id IS NULL",
         "missing_product_id": "product_id IS NULL", "missing_product_name": "product_name IS NULL",
         "missing_category": "category IS NULL", "missing_quantity": "quantity IS NULL",
-        "noncanonical_event_type": f"event_type IS NULL OR event_type NOT IN {_in(S.VALID_EVENT_TYPES)}",
-        "noncanonical_city": f"city IS NULL OR city NOT IN {_in(S.RAW_VALID_CITIES)}",
+        "noncanonical_event_type": f"event_type IS NULL OR event_type NOT IN {EVENT_TYPES}",
+        "noncanonical_city": f"city IS NULL OR city NOT IN ('Delhi', 'Mumbai', 'Kolkata', 'Bangalore')",
         "timestamp_missing": "timestamp IS NULL OR trim(timestamp) = '' OR timestamp = 'NaT'",
         "timestamp_epoch": "starts_with(timestamp, '1970-01-01')",
         "timestamp_day_first": "timestamp LIKE '__-__-____ __:__%'",

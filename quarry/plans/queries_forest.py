@@ -1,8 +1,10 @@
 """Isolation-forest and job queries.
 
-The model is not SQL-expressible, so these are rows-only checks; their
-invariants (rate <= contamination + ties, determinism, planted outliers) are
-in tests/test_iforest.py.  Sinks write into a fresh folder under the shared
+The model is not SQL-expressible, so its own rows are checked by number only.
+``*_invariants`` queries run the same operators and compare with SQL what must
+hold of any forest: root sizes and leaf sums, one score for equal features,
+labels on the right side of the threshold, every raw row in the stored table.
+More of them (determinism, planted outliers) are in tests/test_iforest.py.  Sinks write into a fresh folder under the shared
 checkpoint folder and return the read-back, which for cleaning and KPIs is
 compared with SQL.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry import schemas as S
 from quarry.operators import anomaly as A
 from quarry.operators import clean as CL
 from quarry.operators import features as FE
@@ -42,6 +45,49 @@ def q_score_isolation_forest(spark, sf):
     return IF.train_isolation_forest(feats, n_rows=n).score(feats).select("id", "isolation_score")
 
 
+@register("train_isolation_forest_invariants", with_raw(
+    "SELECT 100 AS trees, CAST(least(256, count(*)) AS INTEGER) AS least_root, CAST(least(256, count(*)) AS INTEGER) AS largest_root, "
+    "CAST(0 AS BIGINT) AS wrong_leaf_sums, CAST(0 AS BIGINT) AS wrong_shapes FROM raw_data"))
+def q_train_isolation_forest_invariants(spark, sf):
+    """A tree's root has psi rows, its leaves together as many, and every inner
+    node two children."""
+    feats, n = FE.build_features_counted(raw_data(spark, sf))
+    nodes = IF.train_isolation_forest(feats, n_rows=n).nodes
+    leaf = F.col("left_child") < 0
+    trees = nodes.groupBy("tree").agg(F.max(F.when(F.col("node") == 0, F.col("size"))).alias("root"),
+                                      F.sum(F.when(leaf, F.col("size"))).alias("leaves"),
+                                      F.count_if(leaf).alias("n_leaves"), F.count_if(~leaf).alias("n_inner"))
+    return trees.agg(F.count(F.lit(1)).cast("int").alias("trees"), F.min("root").alias("least_root"), F.max("root").alias("largest_root"),
+                     F.count_if(F.col("leaves") != F.col("root")).alias("wrong_leaf_sums"),
+                     F.count_if(F.col("n_leaves") != F.col("n_inner") + 1).alias("wrong_shapes"))
+
+
+@register("score_isolation_forest_invariants", with_raw(
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS unequal FROM raw_data"))
+def q_score_isolation_forest_invariants(spark, sf):
+    """Every row has a score from -1 to 0, and rows of equal features the same."""
+    feats, n = FE.build_features_counted(raw_data(spark, sf))
+    scored = IF.train_isolation_forest(feats, n_rows=n).score(feats)
+    score = F.col("isolation_score")
+    same = scored.groupBy(*S.FEATURE_COLS).agg(F.count(F.lit(1)).alias("n"), F.min(score).alias("a"), F.max(score).alias("b"))
+    return same.agg(F.sum("n").alias("rows"), F.count_if((F.col("a") < -1) | (F.col("b") >= 0) | F.col("a").isNull()).alias("out_of_range"),
+                    F.count_if(F.col("a") != F.col("b")).alias("unequal"))
+
+
+@register("label_anomalies_invariants", with_raw(
+    "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS mislabelled, false AS too_many, false AS too_few FROM raw_data"))
+def q_label_anomalies_invariants(spark, sf):
+    """Anomalies are the rows below the threshold: no more than the contamination,
+    and with the rows just on it no fewer."""
+    feats, n = FE.build_features_counted(raw_data(spark, sf))
+    labelled, _, threshold = IF.fit_predict(feats, n_rows=n)
+    below, rows = F.col("isolation_score") < threshold, F.count(F.lit(1))
+    is_anomaly = F.col("anomaly_label") == S.LABEL_ANOMALY
+    return labelled.agg(rows.alias("rows"), F.count_if((is_anomaly != below) | (is_anomaly != (F.col("anomaly_score") == -1))).alias("mislabelled"),
+                        (F.count_if(is_anomaly) > S.CONTAMINATION * rows + 1).alias("too_many"),
+                        (F.count_if(F.col("isolation_score") <= threshold) < S.CONTAMINATION * (rows - 1)).alias("too_few"))
+
+
 @register("label_anomalies")
 def q_label_anomalies(spark, sf):
     return _labelled(spark, sf).select("id", "isolation_score", "anomaly_score", "anomaly_label")
@@ -59,7 +105,7 @@ def q_rate_drift_note(spark, sf):
 
 @register("anomaly_rate_alert")
 def q_anomaly_rate_alert(spark, sf):
-    return A.anomaly_rate_alert(_labelled(spark, sf))
+    return A.anomaly_rate_alert(_labelled(spark, sf), threshold=S.CONTAMINATION * 50)  # half the expected rate: an alert
 
 
 @register("assign_reason")
@@ -120,6 +166,16 @@ def q_run_anomaly_detection(spark, sf):
     return TB.scan(spark, J.table_path(out, "anomaly_data"))
 
 
+@register("run_anomaly_detection_rows", with_raw(
+    "SELECT order_id, user_id, product_id, product_name, price AS price_raw, quantity AS quantity_raw, timestamp FROM raw_data"))
+def q_run_anomaly_detection_rows(spark, sf):
+    """Every raw row is in the stored anomaly table, once."""
+    out = scratch_path(spark, "job")
+    J.run_anomaly_detection(spark, raw_data(spark, sf), out)
+    return (TB.scan(spark, J.table_path(out, "anomaly_data"))
+            .select("order_id", "user_id", "product_id", "product_name", "price_raw", "quantity_raw", "timestamp"))
+
+
 @register("run_analysis", with_clean(_INSIGHTS))
 def q_run_analysis(spark, sf):
     out = scratch_path(spark, "job")
@@ -130,3 +186,12 @@ def q_run_analysis(spark, sf):
 @register("run_batch_job")
 def q_run_batch_job(spark, sf):
     return J.run_batch_job(spark, raw_data(spark, sf), scratch_path(spark, "job"))
+
+
+@register("run_batch_job_report", with_clean(
+    "SELECT (SELECT count(*) FROM raw_data) AS total_rows, (SELECT count(*) FROM raw_data) AS labelled_rows, "
+    "CAST(6 AS BIGINT) AS insights, (SELECT count(*) FROM cleaned_data) AS cleaned_rows"))
+def q_run_batch_job_report(spark, sf):
+    """What the run report must say of any forest."""
+    report = J.run_batch_job(spark, raw_data(spark, sf), scratch_path(spark, "job"))
+    return report.select("total_rows", (F.col("anomalies") + F.col("normal_rows")).alias("labelled_rows"), "insights", "cleaned_rows")

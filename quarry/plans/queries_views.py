@@ -5,6 +5,8 @@ and sampled variants are rows-only."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quarry import schemas as S
 from quarry.operators import anomaly as A
 from quarry.operators import charts as CH
@@ -91,12 +93,29 @@ def q_price_revenue_scatter_rule(spark, sf):
 
 @register("sample_rows")
 def q_sample_rows(spark, sf):
-    return CH.sample_rows(_rule(spark, sf), 20000)
+    return CH.sample_rows(_rule(spark, sf), 1000)
 
 
 @register("stratified_sample")
 def q_stratified_sample(spark, sf):
-    return CH.stratified_sample(_rule(spark, sf), 5000)
+    return CH.stratified_sample(_rule(spark, sf), 500)
+
+
+@register("sample_rows_invariants", with_raw(
+    "SELECT least(1000, count(*)) AS rows, least(1000, count(*)) AS ids, least(1000, count(*)) AS known FROM raw_data"))
+def q_sample_rows_invariants(spark, sf):
+    """So many rows, none twice, all from the table."""
+    rows = _rule(spark, sf)
+    sample = CH.sample_rows(rows, 1000).select("id")
+    known = sample.join(rows.select("id"), "id", "left_semi").agg(F.count(F.lit(1))).scalar()
+    return sample.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")).select("rows", "ids", known.alias("known"))
+
+
+@register("stratified_sample_sizes", _lab_sql(
+    "SELECT anomaly_label, least(500, count(*)) AS rows, least(500, count(*)) AS ids FROM labelled GROUP BY anomaly_label"))
+def q_stratified_sample_sizes(spark, sf):
+    return (CH.stratified_sample(_rule(spark, sf), 500).groupBy("anomaly_label")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids")))
 
 
 @register("price_revenue_scatter_sample")

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Conf applied to sessions we build ourselves (tests, bench, CLI).  A session
@@ -78,13 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is; a cluster session without it is an error.  Only a local-mode
     session without it (tests) gets a folder under /tmp.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # remote session: no context handle, use the conf
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        if not d:
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-        return d
+    sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
@@ -103,20 +98,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "quarry-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a frame over at least ``min_partitions`` (default: the
-    cluster's default parallelism) when its input produced fewer splits, so
-    an expensive stage is not serialised on a few cores.  A no-op whenever
-    the input is already split finer, which is always the case at scale."""
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. remote sessions): leave as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def materialize(df, name: str):
     """Write ``df`` once as a parquet table under the shared checkpoint folder
     and return a scan of it: cuts the lineage (a lost executor costs a re-read,
@@ -129,12 +110,12 @@ def materialize(df, name: str):
 
 
 def drop_scratch(spark: SparkSession, path: str) -> bool:
-    """Best-effort removal of a scratch table written by ``materialize``
-    (through the cluster's Hadoop file system; skipped where unavailable)."""
+    """Remove a scratch table written by ``materialize``; False if it could not
+    be removed, which costs space and nothing else."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.delete(hpath, True))
-    except Exception:
-        return False
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True))
+    except Py4JJavaError as e:
+        if "IOException" in str(e.java_exception.getClass()):
+            return False
+        raise
