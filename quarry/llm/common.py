@@ -6,12 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import drop_scratch, ensure_checkpoint_dir
 
 
 _shipped: set[str] = set()
@@ -70,6 +72,59 @@ def posix_scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """At most so many rows in an Arrow batch of the jobs run inside: a batch of
+    texts or sets is held by the executor and by its Python worker at once."""
+    before = spark.conf.get(ARROW_ROWS)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote, after their last reader."""
+    for t in tables:
+        path = getattr(t, "_quarry_scratch", None)
+        if path is not None:
+            drop_scratch(t.sparkSession, path)
+
+
+#: Rows of a few numbers that are sent to every executor at most: some 16 MB.
+SENT_ROWS = 500_000
+#: Keys that are counted as hot at most; the others hold less than this share of the rows.
+HOT_KEYS = 10_000
+
+
+def bounded(df: DataFrame, limit: int = SENT_ROWS) -> bool:
+    """Whether a frame has no more rows than ``limit``."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def sent(df: DataFrame) -> DataFrame:
+    """A frame of a few numbers a row, marked for broadcast if it is small
+    enough; else the join shuffles it."""
+    return F.broadcast(df) if bounded(df) else df
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join with a table that has one row per key.  A large one is shuffled,
+    but for the rows of hot keys: no more than ``HOT_KEYS`` keys can hold more
+    than that share of ``left`` each, and these are broadcast.  Both frames are
+    read more than once: pass written tables."""
+    if bounded(right):
+        return left.join(F.broadcast(right), key, "left")
+    often = left.groupBy(key).count().where(F.col("count") > left.count() / HOT_KEYS).select(key)
+    hot = left.join(F.broadcast(often), key, "left_semi").join(F.broadcast(right.join(F.broadcast(often), key, "left_semi")), key, "left")
+    return hot.unionByName(left.join(F.broadcast(often), key, "left_anti").join(right, key, "left"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -40,15 +40,18 @@ decides the others.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from quarry.llm.common import mix64, ship, shuffle_partitions
+from quarry.llm.common import arrow_rows, bounded, discard, join_unique, mix64, sent, ship, shuffle_partitions
 from quarry.llm.components import connected_components, merged
 from quarry.session import materialize
 
@@ -62,7 +65,11 @@ PAIR_BLOCK = 1 << 15  # pairs whose sketches are compared at a time
 MAX_LEVEL = 4  # independent signature sets for one group; then its pairs are listed
 FINER = 4  # times the partitions of level 0 that the other levels have
 FREQUENT = 1_000_000  # signatures whose counts are shipped, at most: 16 MB
-SEEN_SETS = 1_000_000  # set ids a task remembers, so that copies emit signatures once
+SEEN_SETS = 100_000  # set ids a task remembers, so that copies emit signatures once
+FIRST_GROUPS = 8  # of a set's groups that go with its rows, so that a pair is returned by one of its groups
+SLICE_CHARS = 1 << 20  # of texts whose sets and signatures a task holds at a time
+TEXT_ROWS = 500  # texts or sets in one batch between an executor and its Python worker
+COARSE = 4  # times fewer ranges that a sketch has in the first comparison within groups
 _U = np.uint64
 
 
@@ -210,6 +217,22 @@ def pairs_between(component: np.ndarray, start: int, end: int) -> Iterator[tuple
 
 # --- Spark ---------------------------------------------------------------------
 
+def text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of about ``SLICE_CHARS`` of text."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + SLICE_CHARS, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def document_sets(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_shingles, sid, sigs); sid is null for an empty set.  A task gives the signatures of a set that it meets again once."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,18 +246,21 @@ def document_sets(docs: DataFrame) -> DataFrame:
             seen.add(sid)
             return signatures(s)
 
-        for batch in batches:
-            got = [shingles(t) for t in batch.column("text").to_pylist()]
-            sids = [set_id(s) if len(s) else None for s in got]
-            sigs = [signed(s, sid) for s, sid in zip(got, sids)]
+        for batch in text_slices(batches):
+            size, sids, sigs = [], [], []
+            for t in batch.column("text").to_pylist():
+                s = shingles(t)
+                size.append(len(s))
+                sids.append(set_id(s) if len(s) else None)
+                sigs.append(signed(s, sids[-1]))
             ends = np.cumsum([0, *map(len, sigs)], dtype=np.int32)
             values = np.concatenate([np.empty(0, _U), *sigs]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(map(len, got), pa.int64()), pa.array(sids, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(size, pa.int64()), pa.array(sids, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
                 ["doc_id", "text_key", "n_shingles", "sid", "sigs"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
             .mapInArrow(sets, "doc_id long, text_key long, n_shingles long, sid long, sigs array<long>"))
 
 
@@ -268,8 +294,9 @@ def _hot_signatures(rows: DataFrame) -> DataFrame | None:
     full = materialize(rows.groupBy(bucket.alias("_b")).count().where(F.col("count") > HOT_GROUP).select("_b"), "jaccard-buckets")
     if not full.limit(1).count():
         return None
-    hot = materialize(rows.join(F.broadcast(full), bucket == F.col("_b"), "left_semi").groupBy("sig").count()
+    hot = materialize(rows.join(sent(full), bucket == F.col("_b"), "left_semi").groupBy("sig").count()
                       .where(F.col("count") > HOT_GROUP).select("sig"), "jaccard-hot")
+    discard(full)
     return hot if hot.limit(1).count() else None
 
 
@@ -297,42 +324,74 @@ def _shared(rows: DataFrame) -> tuple[DataFrame, bool]:
                 yield pd.DataFrame({"sig": g[keep], "leader": d[first][keep], "sid": d[keep], "near": near[keep], "more": size[keep] > 2, "hot": False})
 
     hot = _hot_signatures(rows)
-    cold = rows if hot is None else rows.join(F.broadcast(hot), "sig", "left_anti")
+    cold = rows if hot is None else rows.join(sent(hot), "sig", "left_anti")
     out = _grouped(cold).mapInPandas(groups, "sig long, leader long, sid long, near boolean, more boolean, hot boolean")
     if hot is not None:
-        wide = materialize(rows.join(F.broadcast(hot), "sig", "left_semi").distinct(), "jaccard-wide")
+        wide = materialize(rows.join(sent(hot), "sig", "left_semi").distinct(), "jaccard-wide")
         led = wide.groupBy("sig").agg(F.min(F.struct("sid", "n_shingles")).alias("_l"))
-        out = out.unionAll(wide.join(F.broadcast(led), "sig").select(
+        out = out.unionAll(wide.join(sent(led), "sig").select(
             "sig", F.col("_l.sid").alias("leader"), "sid",
             (_near(F.col("n_shingles"), F.col("_l.n_shingles")) & (F.col("sid") != F.col("_l.sid"))).alias("near"),
             F.lit(True).alias("more"), F.lit(True).alias("hot")))
-    return materialize(out, "jaccard-groups"), hot is not None
-
-
-def _class_sets(docs: DataFrame, doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
-    """(sid, n_shingles, sketch, elements) of the wanted classes, from one
-    document of each."""
-    chosen = materialize(doc_sets.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("_doc")).join(sids, "sid", "left_semi"),
-                         "jaccard-chosen")
-    if chosen.count() <= BROADCAST_CLASSES:  # else the texts are shuffled
-        chosen = F.broadcast(chosen)
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            got = [(sid, shingles(t)) for sid, t in zip(pdf["sid"], pdf["text"])]
-            got = [(sid, s) for sid, s in got if len(s) and set_id(s) == sid]  # an id may have several texts
-            yield pd.DataFrame({"sid": [sid for sid, _ in got], "n_shingles": [len(s) for _, s in got],
-                                "sketch": [parity_sketch(s) for _, s in got], "elements": [s.tobytes() for _, s in got]})
-
-    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("_doc")))
-             .select("sid", "text").mapInPandas(sets, "sid long, n_shingles long, sketch binary, elements binary"))
-    if doc_sets.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated ids give a set again
-        found = found.dropDuplicates(["sid"])
-    return materialize(found, "jaccard-sets")
-
-
-def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b, ...) whose sizes and sketches allow a link."""
+    groups = materialize(out, "jaccard-groups")
+    if hot is not None:
+        discard(hot, wide)
+    return groups, hot is not None
+
+
+def _classes(doc_sets: DataFrame, sids: DataFrame) -> DataFrame:
+    """(sid, doc, key): the wanted classes, and id and text hash of one document of each."""
+    first = F.min(F.struct("doc_id", "text_key"))
+    return materialize(doc_sets.where("sid is not null").groupBy("sid").agg(first.alias("d")).join(sids, "sid", "left_semi")
+                       .select("sid", F.col("d.doc_id").alias("doc"), F.col("d.text_key").alias("key")), "jaccard-classes")
+
+
+def _made(docs: DataFrame, classes: DataFrame, name: str, schema: str, make: Callable[[int, np.ndarray], tuple]) -> DataFrame:
+    """A table of ``make(sid, set)`` of the classes, from their documents' texts.
+    Rows with one id and equal texts give a class once a row, so such repeats
+    are dropped where there are any."""
+    columns = [c.split()[0] for c in schema.split(", ")]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            got = [make(sid, s) for sid, s in zip(batch.column("sid").to_pylist(), map(shingles, batch.column("text").to_pylist()))]
+            yield pa.RecordBatch.from_pylist([dict(zip(columns, r)) for r in got], schema=arrow)
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    few = bounded(classes, BROADCAST_CLASSES)
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), _text_key().alias("_key"), "text")
+    # the text hash first: ids may be missing or shared
+    found = texts.join(F.broadcast(classes) if few else classes, (F.col("_key") == F.col("key")) & F.col("_doc").eqNullSafe(F.col("doc")))
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        made = materialize(found.select("sid", "text").mapInArrow(rows, schema), name)
+    if made.count() == classes.count():
+        return made
+    once = materialize(made.dropDuplicates(["sid"]), name)
+    discard(made)
+    return once
+
+
+def _sketches(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sid, n_shingles, sketch) of the classes."""
+    return _made(docs, classes, "jaccard-sketches", "sid long, n_shingles long, sketch binary", lambda sid, s: (sid, len(s), parity_sketch(s)))
+
+
+def _elements(docs: DataFrame, classes: DataFrame, sids: DataFrame, name: str) -> DataFrame:
+    """(sid, n_shingles, elements) of those of the classes that ``sids`` has."""
+    wanted = materialize(classes.join(sids, "sid", "left_semi"), "jaccard-wanted")
+    made = _made(docs, wanted, name, "sid long, n_shingles long, elements binary", lambda sid, s: (sid, len(s), s.tobytes()))
+    discard(wanted)
+    return made
+
+
+def _sketched(pairs: DataFrame, sets: DataFrame, coarse: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b, ...) whose sizes and sketches allow a link.  With
+    ``coarse`` the smaller sketches are compared first, and the full ones are
+    shuffled only for the sets of the pairs that are left."""
+    if coarse is not None:
+        pairs = materialize(_sketched(pairs, coarse), "jaccard-candidates")
+        ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+        sets = sets.join(sent(ends), "sid", "left_semi")
     a = sets.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
     b = sets.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
 
@@ -343,13 +402,12 @@ def _sketched(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(may("na", "ka", "nb", "kb")).drop("na", "ka", "nb", "kb")
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(ca, cb): the components of the pairs (a, b, ca, cb) that are links, by
-    exact intersection.  Only the sets of these pairs are shuffled."""
+    exact intersection.  Only the sets of these pairs are made and shuffled."""
     pairs = materialize(pairs, "jaccard-pairs")
-    if 2 * pairs.count() <= BROADCAST_CLASSES:  # else all sets are shuffled
-        ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-        sets = sets.join(F.broadcast(ends), "sid", "left_semi")
+    sids = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+    sets = _elements(docs, classes, sids, "jaccard-elements")
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -357,7 +415,10 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     a = sets.select(F.col("sid").alias("a"), F.col("elements").alias("ea"))
     b = sets.select(F.col("sid").alias("b"), F.col("elements").alias("eb"))
-    return materialize(pairs.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("ca", "cb"), "jaccard-links")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        links = materialize(pairs.join(a, "a").join(b, "b").where(linked("ea", "eb")).select("ca", "cb"), "jaccard-links")
+    discard(pairs, sets)
+    return links
 
 
 def _open(groups: DataFrame, seed: int, any_hot: bool) -> DataFrame:
@@ -389,7 +450,7 @@ def _open(groups: DataFrame, seed: int, any_hot: bool) -> DataFrame:
                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(seed)).alias("r"), "sid")).alias("_l")))
         best = (parts.groupBy("sig").agg(F.max(F.struct("n", "component", "_l")).alias("_h"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
                 .where("_lo <> _hi").select("sig", F.col("_h.component").alias("home"), F.col("_h._l.sid").alias("leader")))
-        out = out.unionAll(wide.join(F.broadcast(best), "sig").select(
+        out = out.unionAll(wide.join(sent(best), "sig").select(
             "sig", "sid", "component", F.when(F.col("component") != F.col("home"), F.col("leader")).alias("leader"), "home", F.lit(True).alias("hot")))
     return materialize(out, "jaccard-open")
 
@@ -399,33 +460,44 @@ def _blocks(hot: DataFrame) -> DataFrame:
     two blocks, so that every two members of a group meet."""
     sizes = hot.groupBy("sig").agg(F.greatest(F.lit(2), F.ceil(F.count(F.lit(1)) / max(1, HOT_GROUP // 2))).cast("int").alias("_n"))
     own = F.pmod(F.xxhash64("sid"), F.col("_n")).cast("int")
-    return (hot.join(F.broadcast(sizes), "sig").withColumn("_own", own)
+    return (hot.join(sent(sizes), "sig").withColumn("_own", own)
             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).where("_own <> _other")
             .select(F.xxhash64("sig", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("sig"), "sid", "component"))
 
 
-def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
+def met_before(group: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows a and b, which share their group, also share a lesser one
+    among the least groups (``first``, padded) of both.  A pair's least group
+    returns it, so no pair is lost; pairs of many groups seldom come again."""
+    out = np.zeros(len(a), bool)
+    for c in range(0, len(a), PAIR_BLOCK):
+        x, y = first[a[c:c + PAIR_BLOCK]], first[b[c:c + PAIR_BLOCK]]
+        lesser = x < group[a[c:c + PAIR_BLOCK], None]
+        out[c:c + PAIR_BLOCK] = ((x[:, :, None] == y[:, None, :]).any(axis=2) & lesser).any(axis=1)
+    return out
+
+
+def _rest(opened: DataFrame, sets: DataFrame, coarse: DataFrame, listed: bool) -> DataFrame:
     """(a, b, ca, cb): the pairs of an open group's components that may be
     links, with their components; those of hot groups if ``listed``."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
-            sid = pdf["sid"].to_numpy(np.int64)
+            sid, sig = pdf["sid"].to_numpy(np.int64), pdf["sig"].to_numpy(np.int64)
             comp, n = pdf["component"].to_numpy(np.int64), pdf["n_shingles"].to_numpy(np.int64)
             sketches = [bytes(x) for x in pdf["sketch"]]
-            left, right, held, seen = [], [], 0, set()
+            first = np.full((len(pdf), FIRST_GROUPS), np.iinfo(np.int64).max)
+            for i, groups in enumerate(pdf["first"]):
+                first[i, :len(groups)] = groups
+            left, right, held = [], [], 0
 
             def checked() -> Iterator[pd.DataFrame]:
                 a, b = np.concatenate(left), np.concatenate(right)
                 ok = pairs_that_may_be_similar(n, sketches, a, b)
                 a, b = a[ok], b[ok]
-                a, b = np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a)
-                fresh = []
-                for i, pair in enumerate(zip(sid[a].tolist(), sid[b].tolist())):
-                    if pair not in seen:
-                        seen.add(pair)
-                        fresh.append(i)
+                fresh = ~met_before(sig, first, a, b)
                 a, b = a[fresh], b[fresh]
-                if fresh:
+                a, b = np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a)
+                if len(a):
                     yield pd.DataFrame({"a": sid[a], "b": sid[b], "ca": comp[a], "cb": comp[b]})
 
             for s, e in zip(starts, ends):
@@ -442,14 +514,25 @@ def _rest(opened: DataFrame, sets: DataFrame, listed: bool) -> DataFrame:
     members = opened.where("not hot").select("sig", "sid", "component")
     if listed:
         members = members.unionAll(_blocks(opened.where("hot").select("sig", "sid", "component")))
-    members = members.join(sets.select("sid", "n_shingles", "sketch"), "sid")
-    return materialize(_grouped(members).mapInPandas(emit, "a long, b long, ca long, cb long"), "jaccard-rest")
+    first = members.groupBy("sid").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRST_GROUPS).alias("first"))
+    members = members.join(coarse.join(first, "sid"), "sid")
+    found = materialize(_grouped(members).mapInPandas(emit, "a long, b long, ca long, cb long"), "jaccard-rest")
+    return _sketched(found.dropDuplicates(["a", "b"]), sets, coarse)
 
 
-def _sub_signatures(hot: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+def _coarse(sets: DataFrame) -> DataFrame:
+    """The sets with smaller sketches: they go with every row of a group."""
+    @F.pandas_udf("binary")
+    def smaller(sketches: pd.Series) -> pd.Series:
+        return pd.Series([folded(x, max(8, len(x) // COARSE)).tobytes() for x in sketches], dtype=object)
+
+    return materialize(sets.select("sid", "n_shingles", smaller("sketch").alias("sketch")), "jaccard-coarse")
+
+
+def _sub_signatures(hot: DataFrame, docs: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     """(sig, sid, n_shingles): the classes of hot groups (sid) under the
     signatures of a level, frequent ones last."""
-    members = materialize(hot.join(sets.select("sid", "n_shingles", "elements"), "sid"), "jaccard-members")
+    members = _elements(docs, classes, hot, "jaccard-members")
     total = members.agg(F.sum("n_shingles")).collect()[0][0] or 0  # two bands at most, each with so many signatures
     often = max(1, HOT_GROUP // 16, 2 * total // FREQUENT)
 
@@ -470,7 +553,10 @@ def _sub_signatures(hot: DataFrame, sets: DataFrame, level: int) -> DataFrame:
                 g = signatures(np.frombuffer(e, _U), level, frequent.value)
                 yield pd.DataFrame({"sig": g.view(np.int64), "sid": np.full(len(g), sid, np.int64), "n_shingles": np.full(len(g), n, np.int64)})
 
-    return materialize(members.mapInPandas(emit, "sig long, sid long, n_shingles long"), "jaccard-sub")
+    with arrow_rows(hot.sparkSession, TEXT_ROWS):
+        sub = materialize(members.mapInPandas(emit, "sig long, sid long, n_shingles long"), "jaccard-sub")
+    discard(members)
+    return sub
 
 
 def _with_components(groups: DataFrame, found: DataFrame, by: str) -> DataFrame:
@@ -479,50 +565,76 @@ def _with_components(groups: DataFrame, found: DataFrame, by: str) -> DataFrame:
         "sig", "sid", F.coalesce(found["component"], groups[by]).alias("component"), "hot")
 
 
-def class_components(docs: DataFrame, doc_sets: DataFrame) -> DataFrame:
-    """(node, component) of the classes that have a link."""
-    rows = doc_sets.select(F.explode("sigs").alias("sig"), "sid", "n_shingles")
-    groups, any_hot = _shared(rows)
-    sets = _class_sets(docs, doc_sets, groups.select("sid").unionAll(groups.select("leader")).distinct())
+def class_components(docs: DataFrame, doc_sets: DataFrame, tagged: DataFrame) -> DataFrame:
+    """(node, component) of the classes that have a link.  ``doc_sets``, that is
+    ``tagged`` with signatures, is removed when the groups are known, and so are
+    the tables made on the way after their last reader."""
+    groups, any_hot = _shared(doc_sets.select(F.explode("sigs").alias("sig"), "sid", "n_shingles"))
+    discard(doc_sets)
+    classes = _classes(tagged, groups.select("sid").unionAll(groups.select("leader")).distinct())
+    sets = _sketches(docs, classes)
+    coarse = _coarse(sets)
 
     def star(groups: DataFrame) -> DataFrame:
         pairs = groups.where("near").select(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b")).distinct()
-        return connected_components(_links(_sketched(pairs, sets).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), sets), "ca", "cb")
+        links = _links(_sketched(pairs, sets, coarse).select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")), docs, classes)
+        return connected_components(links, "ca", "cb")
 
-    found, level, members = star(groups), 0, None
+    def joined(pairs: DataFrame) -> DataFrame:
+        return connected_components(_links(pairs, docs, classes), "ca", "cb")
+
+    found, level, members, shared = star(groups), 0, None, groups
     while True:
-        groups, rows = _with_components(groups.where("more"), found, "sid"), None
+        groups, rows = _with_components(shared.where("more"), found, "sid"), None
         for r in range(ROUNDS + 1):
-            groups = _open(groups, r, any_hot)
+            earlier, groups = groups, _open(groups, r, any_hot)
+            discard(shared, earlier)
             before, rows = rows, groups.count()
             if not rows:
+                discard(groups, classes, sets, coarse)
                 return found
             if r == ROUNDS or (before and rows > STALLED * before):
                 break
             pairs = (groups.where("leader is not null").groupBy(F.least("leader", "sid").alias("a"), F.greatest("leader", "sid").alias("b"))
                      .agg(F.min(F.least("component", "home")).alias("ca"), F.max(F.greatest("component", "home")).alias("cb")))
-            newer = connected_components(_links(_sketched(pairs, sets), sets), "ca", "cb")
+            newer = joined(_sketched(pairs, sets, coarse))
             found = merged(found, newer)
-            groups = _with_components(groups, newer, "component")
-        hot = groups.where("hot").select("sid").distinct()
+            shared, groups = groups, _with_components(groups, newer, "component")
+        hot = materialize(groups.where("hot").select("sid").distinct(), "jaccard-hot-classes")
         before, members = members, hot.count() if any_hot else 0
         listed = members and (level >= MAX_LEVEL or (before is not None and members > STALLED * before))
-        pairs = _rest(groups, sets, listed).dropDuplicates(["a", "b"])
-        found = merged(found, connected_components(_links(pairs, sets), "ca", "cb"))
+        found = merged(found, joined(_rest(groups, sets, coarse, listed)))
+        discard(groups)
         if listed or not members:
+            discard(hot, classes, sets, coarse)
             return found
         level += 1
-        groups, any_hot = _shared(_sub_signatures(hot, sets, level))
-        found = connected_components(found.select("node", "component").unionAll(star(groups)), "node", "component")
+        sub = _sub_signatures(hot, docs, classes, level)
+        shared, any_hot = _shared(sub)
+        discard(hot, sub)
+        found = connected_components(found.select("node", "component").unionAll(star(shared)), "node", "component")
 
 
-def _tagged(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, n_shingles, c): c is the label of the component, null for a text without words."""
+def _tagged(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text_key, n_shingles, sid) of every row, and (sid, c): the label
+    of each class's component."""
     ship(docs.sparkSession)
-    sets = materialize(document_sets(docs), "jaccard-docs")
-    found = class_components(docs, sets)
-    return (sets.select("doc_id", "text_key", "n_shingles", "sid").join(found, sets["sid"] == found["node"], "left")
-            .select("doc_id", "text_key", "n_shingles", F.coalesce("component", "sid").alias("c")))
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        sets = materialize(document_sets(docs), "jaccard-docs")
+    tagged = materialize(sets.drop("sigs"), "jaccard-tagged")
+    return tagged, class_components(docs, sets, tagged)
+
+
+def _labels(tagged: DataFrame, found: DataFrame, least: Column) -> DataFrame:
+    """(sid, least): ``least`` over all rows of each class's component.  Rows are
+    united by class first, so neither copies nor components are a hot key."""
+    own = tagged.where("sid is not null").groupBy("sid").agg(least.alias("least"))
+    labelled = own.join(found, own["sid"] == found["node"], "left").select("sid", "least", F.coalesce("component", "sid").alias("c"))
+    labelled = materialize(labelled, "jaccard-labels")
+    smallest = labelled.groupBy(F.col("c").alias("_c")).agg(F.min("least").alias("smallest"))
+    out = materialize(labelled.join(smallest, F.col("c") == F.col("_c")).select("sid", F.col("smallest").alias("least")), "jaccard-least")
+    discard(labelled)
+    return out
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -533,11 +645,9 @@ def components(docs: DataFrame) -> DataFrame:
     are in one component; null ids take part, and a component of null ids only
     has a null id.  Other columns are ignored; an empty table gives an empty
     result."""
-    tagged = _tagged(docs)
-    smallest = tagged.where("c is not null").groupBy(F.col("c").alias("_c")).agg(F.min("doc_id").alias("least"))
-    own = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return (tagged.join(smallest, F.col("c") == F.col("_c"), "left")
-            .select("doc_id", "n_shingles", own.alias("component_id")))
+    tagged, found = _tagged(docs)
+    every = join_unique(tagged, _labels(tagged, found, F.min("doc_id")), "sid")
+    return every.select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -545,16 +655,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     the smallest id, and of several texts with that id the one of the smallest
     hash; one without an id only if no document of the component has an id.
     Of repeated rows (same id and text) one stays; texts without words all
-    stay."""
-    tagged = _tagged(docs).where("c is not null")
-    first = tagged.groupBy(F.col("c").alias("_c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("_k"))
-    gone = (tagged.join(first, F.col("c") == F.col("_c"))
-            .where(~(F.col("doc_id").eqNullSafe(F.col("_k.doc_id")) & (F.col("text_key") == F.col("_k.text_key"))))
-            .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct())
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left_anti")
-    often = materialize(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id")), "jaccard-repeated")
-    if not often.limit(1).count():
-        return left
-    on = F.col("doc_id").eqNullSafe(F.col("_id"))
-    return left.join(often, on, "left_anti").unionAll(left.join(often, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+    stay.  An empty table gives an empty one, and other columns, whatever their
+    names, come back as they were."""
+    tagged, found = _tagged(docs)
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    every = join_unique(tagged, _labels(tagged, found, F.min(name)), "sid").where("sid is not null")
+    stays = materialize(every.where(F.col("least") == name).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")), "jaccard-stays")
+    gone = every.where(F.col("least") != name).select("doc_id", "text_key").distinct()
+    columns = docs.columns
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns]).alias("d"), docs["doc_id"].cast("long").alias("k_id"),
+                       F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("k_text"))
+    same = F.col("k_id").eqNullSafe(F.col("doc_id")) & (F.col("k_text") == F.col("text_key"))
+    left = rows.join(sent(materialize(gone, "jaccard-gone")), same, "left_anti")
+    repeated = materialize(stays.where("n > 1").select("doc_id", "text_key"), "jaccard-repeated")
+    if not repeated.limit(1).count():
+        return left.select("d.*")
+    repeated = sent(repeated)
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["k_id", "k_text"])
+    return left.join(repeated, same, "left_anti").unionAll(once).select("d.*")
