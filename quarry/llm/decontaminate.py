@@ -96,7 +96,9 @@ def report(docs: DataFrame, items: DataFrame, width: int = 10, **cols) -> DataFr
     """One row per input row: id, ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``n_items``, ``items_sha256`` (of the found ids,
     sorted as strings and joined by commas; of the empty string without any)
-    and ``contaminated``.  Null texts have no words."""
+    and ``contaminated``.  Null texts have no words.  Repeated rows are reported
+    as often as they are there; other columns are ignored; without documents
+    the result is empty, without items nothing is contaminated."""
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")
     base = _keyed(docs, id_col, text_col).select("doc_id", "text_key", F.size("_words").cast("long").alias("n_words"))
     hits = find_hits(docs, items, width, **cols).select(
@@ -115,23 +117,26 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10, remove: st
 
     ``remove="documents"`` drops rows with any hit; ``remove="spans"`` keeps
     all rows and cuts the covered words, with the separators after them, out of
-    the text.  Clean rows are kept unchanged, null texts included."""
+    the text.  Clean rows are kept unchanged, null texts included; repeated
+    rows are treated alike; empty tables of documents or items are fine; other
+    columns, whatever their names, come back as they were."""
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")
-    hits = find_hits(docs, items, width, **cols).select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    on = F.col(id_col).eqNullSafe(F.col("_hit_id")) & (key == F.col("_hit_key"))
+    hits = find_hits(docs, items, width, **cols).select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "spans")
+    names = docs.columns  # kept apart in a struct: they may be called as the columns here are
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"), F.col(id_col).alias("own_id"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("own_key"))
+    on = F.col("own_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("hit_key"))
     if remove == "documents":
-        return docs.join(hits.drop("_hit_spans"), on, "left_anti")
+        return rows.join(hits.drop("spans"), on, "left_anti").select("row.*")
     if remove != "spans":
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
     # a piece is a word with the separators after it; the first also has those before it
-    pieces = F.split(F.col(text_col), f"(?<={SEPARATORS})(?!{SEPARATORS})")
+    text = F.col("row").getField(text_col)
+    pieces = F.split(text, f"(?<={SEPARATORS})(?!{SEPARATORS})")
     lead = (F.regexp_replace(F.element_at(pieces, 1), SEPARATORS, "") == "").cast("int")  # separators alone come first
-    kept = F.filter(pieces, lambda p, i: ~F.exists("_hit_spans", lambda s: (i - lead >= s["first"]) & (i - lead < s["end"])))
-    cut = F.array_join(kept, "")
-    joined = docs.join(hits, on, "left")
-    return joined.select(*[F.when(F.col("_hit_spans").isNotNull(), cut).otherwise(docs[c]).alias(c) if c == text_col else docs[c]
-                           for c in docs.columns])
+    kept = F.filter(pieces, lambda p, i: ~F.exists("spans", lambda s: (i - lead >= s["first"]) & (i - lead < s["end"])))
+    cut = F.when(F.col("spans").isNotNull(), F.array_join(kept, "")).otherwise(text)
+    return rows.join(hits, on, "left").select(*[(cut if c == text_col else F.col("row").getField(c)).alias(c) for c in names])
 
 
 ORACLE_SQL = r"""

@@ -42,13 +42,13 @@ def topic(text: Column) -> Column:
             .when(F.contains(t, F.lit("!!")), "shout").otherwise("prose"))
 
 
-def with_cells(docs: DataFrame, topic_col: Column | None = None, tokens: Column | None = None,
-               source_col: str = "source", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """``docs`` and the columns ``_source``, ``_lang``, ``_topic`` (null is a
+def cells_of(docs: DataFrame, columns: list, topic_col: Column | None = None, tokens: Column | None = None,
+             source_col: str = "source", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``columns`` of ``docs`` and ``_source``, ``_lang``, ``_topic`` (null is a
     value of its own) and ``_tokens``."""
     own = [F.col(source_col), F.col(lang_col), topic(F.col(text_col)) if topic_col is None else topic_col]
     n = n_words(F.col(text_col)) if tokens is None else F.coalesce(tokens, F.lit(0)).cast("long")
-    return docs.select("*", *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"_{d}") for d, c in zip(DIMS, own)],
+    return docs.select(*columns, *[F.coalesce(c.cast("string"), F.lit(NONE)).alias(f"_{d}") for d, c in zip(DIMS, own)],
                        n.alias("_tokens"))
 
 
@@ -95,13 +95,15 @@ def draw(id_col: Column, seed: int = 7) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def weigh(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None,
-          rounds: int = ROUNDS, seed: int = 7, id_col: str = "doc_id", **kw) -> DataFrame:
-    """``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_prob``
-    and ``_keep``.  Empty and null texts have no tokens; a cell without any
-    does not bear on the mix and keeps its documents (probability 1).  An
-    empty table gives an empty result."""
-    placed = with_cells(docs, **kw)
+CELL_COLUMNS = ("_source", "_lang", "_topic", "_tokens", "_prob", "_keep")
+
+
+def _weighed(docs: DataFrame, carried: list[str], targets: dict[str, DataFrame] | None = None, powers: dict[str, float] | None = None,
+             rounds: int = ROUNDS, seed: int = 7, id_col: str = "doc_id", **kw) -> DataFrame:
+    """``CELL_COLUMNS`` and the struct ``_row`` of the carried columns, which
+    therefore may have any names."""
+    row = F.struct(*[docs[f"`{c}`"] for c in carried])
+    placed = cells_of(docs, [row.alias("_row"), draw(F.col(id_col), seed).alias("_draw")], **kw)
     cells = materialize(placed.groupBy(*[f"_{d}" for d in DIMS]).agg(F.sum("_tokens").alias("_tokens")), "mixing-cells")
     n_cells = cells.count()
     probs = materialize(probabilities(rake(cells, targets or tempered_targets(cells, powers), rounds, n_cells)), "mixing-probs")
@@ -109,20 +111,30 @@ def weigh(docs: DataFrame, targets: dict[str, DataFrame] | None = None, powers:
         probs = F.broadcast(probs)
     on = [F.col(f"_{d}") == F.col(f"_c_{d}") for d in DIMS]
     return (placed.join(probs, on, "left").withColumn("_prob", F.coalesce("_prob", F.lit(1.0)))
-            .withColumn("_keep", draw(F.col(id_col), seed) < F.col("_prob")).drop(*[f"_c_{d}" for d in DIMS]))
+            .select("_row", *CELL_COLUMNS[:-1], (F.col("_draw") < F.col("_prob")).alias("_keep")))
+
+
+def weigh(docs: DataFrame, **kw) -> DataFrame:
+    """``docs`` with ``_source``, ``_lang``, ``_topic``, ``_tokens``, ``_prob``
+    and ``_keep``, which take the place of columns of these names.  Empty and
+    null texts have no tokens; a cell without any does not bear on the mix and
+    keeps its documents (probability 1).  Repeated rows are kept or dropped
+    together; an empty table gives an empty result."""
+    return _weighed(docs, [c for c in docs.columns if c not in CELL_COLUMNS], **kw).select("_row.*", *CELL_COLUMNS)
 
 
 def report(docs: DataFrame, **kw) -> DataFrame:
     """One row per document: its cell, tokens, probability and whether the
-    sample keeps it."""
-    return weigh(docs, **kw).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
-                                    F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
-                                    F.round("_prob", 6).alias("prob"), F.col("_keep").alias("kept"))
+    sample keeps it (see ``weigh``); other columns are ignored."""
+    return _weighed(docs, ["doc_id"], **kw).select(
+        "_row.doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"), F.round("_prob", 6).alias("prob"), F.col("_keep").alias("kept"))
 
 
 def sample(docs: DataFrame, **kw) -> DataFrame:
-    """The documents (all their columns) that the calibrated sample keeps."""
-    return weigh(docs, **kw).where("_keep").select(*docs.columns)
+    """The documents (all their columns, whatever their names) that the
+    calibrated sample keeps (see ``weigh``)."""
+    return _weighed(docs, docs.columns, **kw).where("_keep").select("_row.*")
 
 
 def oracle_sql(rounds: int = ROUNDS, powers: dict[str, float] | None = None, seed: int = 7) -> str:
