@@ -18,10 +18,13 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark import TaskContext
@@ -38,10 +41,13 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 KEY_HEADER = "X-Record-Key"
+PAGES_ORIGIN = "quarry-pages"  # origin code of the ARC files that pages are exported to; only these have key headers
 SIZE_HEADER = "X-Payload-Bytes"  # WARC header of a revisit: the size of the payload that it leaves out
 
 REVISIT_BYTES = 1000  # smaller payloads are always stored
 ARC_RECORDS = 64  # records in one exported ARC image
+LINE_BYTES = 1 << 16  # of a header line
+HELD_BYTES = 4 << 20  # of records that parsing returns at a time
 ROTATE_BYTES = 1 << 30  # size at which a writing task begins another file
 BROADCAST_GROUPS = 200_000  # payload groups of about 60 bytes
 _HIGH, _NULL = 1 << 64, 1 << 67
@@ -78,10 +84,10 @@ def record_key(rid: str) -> int | None:
 
 # --- ARC ----------------------------------------------------------------------
 
-def arc_image(name: str, version: int, records: list[tuple[str, str, bytes]]) -> bytes:
+def arc_image(name: str, version: int, records: list[tuple[str, str, bytes]], origin: str = "quarry") -> bytes:
     """One ARC file of (url, date, network document) records."""
     definition = " ".join(ARC_FIELDS[version])
-    about = f"{version} 0 quarry\n{definition}\n\n".encode()
+    about = f"{version} 0 {origin}\n{definition}\n\n".encode()
 
     def line(url: str, date: str, mime: str, size: int, code: str) -> bytes:
         extra = [] if version == 1 else [code, "-", "-", "0", name]
@@ -93,34 +99,71 @@ def arc_image(name: str, version: int, records: list[tuple[str, str, bytes]]) ->
     return b"".join(parts)
 
 
-def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records of one ARC image.  The version block sets the fields; a header
-    line is read from its right end, because old crawlers left blanks in URLs.
-    A line that is no header is skipped; a record that is cut off by the end of
-    the file is returned with what is there and ``truncated`` set."""
-    fields, version, at = ARC_FIELDS[1], 1, 0
-    while at < len(data):
-        end = data.find(b"\n", at)
-        end = len(data) if end < 0 else end
-        start, header = at, data[at:end].decode("utf-8", "replace").rstrip("\r")
-        at = end + 1
+class _Source:
+    """A stream that ends where its compressed data break off or go wrong."""
+
+    def __init__(self, stream: BinaryIO):
+        self.stream, self.at = stream, 0
+
+    def _take(self, read, n: int) -> bytes:
+        try:
+            got = read(n)
+        except (EOFError, OSError, zlib.error):
+            return b""
+        self.at += len(got)
+        return got
+
+    def line(self) -> bytes:
+        return self._take(self.stream.readline, LINE_BYTES)
+
+    def block(self, size: int) -> bytes:
+        parts, left = [], size
+        while left and (got := self._take(self.stream.read, min(left, 1 << 20))):
+            parts.append(got)
+            left -= len(got)
+        return b"".join(parts)
+
+
+def open_arc(data: bytes) -> BinaryIO:
+    """The content of an ARC file, unpacked while it is read if it is gzip."""
+    return gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+
+
+def parse_arc(data: bytes | BinaryIO) -> Iterator[dict]:
+    """Records of one ARC file, read as a stream: one record is held at a time.
+
+    The version block sets version, origin and fields; a header line is read
+    from its right end, because old crawlers left blanks in URLs.  A line that
+    is no header is skipped, and so is a declared length that is not made of
+    the digits 0 to 9.  A version line that begins with no digits, or another
+    version than 1 and 2, leaves version 1.  Where the file ends, or its
+    compressed data go wrong, within a record, the record is returned with what
+    is there and ``truncated`` set, and nothing after it."""
+    source = _Source(io.BytesIO(data) if isinstance(data, bytes) else data)
+    fields, version, origin = ARC_FIELDS[1], 1, ""
+    while True:
+        start = source.at
+        line = source.line()
+        if not line:
+            return
+        header = line.decode("utf-8", "replace").rstrip("\r\n")
         parts = header.split(" ")
-        if len(parts) < 5 or not parts[-1].isdigit():
+        if len(parts) < 5 or not re.fullmatch("[0-9]{1,18}", parts[-1]):
             continue
         size = int(parts[-1])
-        block = data[at:at + size]
-        at += size
+        block = source.block(size)
         if header.startswith("filedesc://"):
-            lines = block.decode("utf-8", "replace").split("\n")
-            if lines[0][:1].isdigit():
-                version = int(lines[0].split(" ")[0])
+            lines = [x.rstrip("\r") for x in block.decode("utf-8", "replace").split("\n")]
+            told = re.match("([0-9]+)", lines[0])
+            version = int(told[1]) if told and told[1] in ("1", "2") else 1
+            origin = (lines[0].split(" ") + ["", ""])[2]
             if len(lines) > 1 and lines[1].startswith("URL "):
                 fields = lines[1].split(" ")
             continue
         tail = parts[len(parts) - len(fields) + 1:] if len(parts) >= len(fields) else parts[1:]
         names = fields[1:] if len(parts) >= len(fields) else ARC_FIELDS[1][1:]
         named = dict(zip(names, tail))
-        yield {"offset": start, "version": version, "url": " ".join(parts[:len(parts) - len(tail)]),
+        yield {"offset": start, "version": version, "origin": origin, "url": " ".join(parts[:len(parts) - len(tail)]),
                "ip": named.get("IP-address", "0.0.0.0"), "date": named.get("Archive-date", ""),
                "mime": named.get("Content-type", "unknown"), "block": block, "truncated": len(block) < size}
 
@@ -144,7 +187,7 @@ def _http_value(head: bytes, name: str) -> str | None:
 
 def warc_date(arc_date: str) -> str:
     """YYYYMMDDhhmmss (or a leading part of it) as a WARC date."""
-    digits = "".join(c for c in arc_date if c.isdigit())[:14]
+    digits = "".join(re.findall("[0-9]", arc_date))[:14]
     d = digits + "19700101000000"[len(digits):]
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
@@ -153,41 +196,46 @@ def warc_type(url: str, block: bytes) -> str:
     return "response" if block.startswith(b"HTTP/") or url.startswith("dns:") else "resource"
 
 
+def _key(name: str, record: dict, head: bytes) -> int | None:
+    """The record's key: that of its key header in files that pages were
+    exported to, else a hash of file name and offset.  Other pages may well
+    have sent such a header themselves."""
+    if record["origin"] == PAGES_ORIGIN and (own := _http_value(head, KEY_HEADER)) is not None:
+        return None if own == "null" else int(own)
+    return int.from_bytes(hashlib.sha1(f"{name} {record['offset']}".encode()).digest()[:8], "big", signed=True)
+
+
 def arc_records(images: DataFrame, with_block: bool = True) -> DataFrame:
-    """Records of ARC images (``arc_name``, ``data``).  ``key`` is the record
-    key header if there is one, else a hash of image name and offset."""
+    """Records of ARC files (``arc_name``, ``data``, plain or gzip), unpacked
+    and parsed as streams and returned a few megabytes at a time.  ``key`` is
+    the exported page's, else a hash of file name and offset.  For malformed
+    files see ``parse_arc``; a null file has no records."""
     ship(images.sparkSession)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for name, data in zip(pdf["arc_name"], pdf["data"]):
-                rows = []
-                for r in parse_arc(bytes(data)):
+                rows, held = [], 0
+                for r in parse_arc(open_arc(bytes(data))) if data is not None else ():
                     head, payload = _split_http(r["block"])
-                    own = _http_value(head, KEY_HEADER)
-                    if own is None:
-                        own = int.from_bytes(hashlib.sha1(f"{name} {r['offset']}".encode()).digest()[:8], "big", signed=True)
-                    row = (None if own == "null" else int(own), r["url"], warc_date(r["date"]), warc_type(r["url"], r["block"]),
+                    row = (_key(name, r, head), r["url"], warc_date(r["date"]), warc_type(r["url"], r["block"]),
                            hashlib.sha1(payload).hexdigest(), len(payload))
                     rows.append(row + ((r["ip"], r["truncated"], r["block"]) if with_block else ()))
+                    held += 200 + (len(r["block"]) if with_block else 0)
+                    if held >= HELD_BYTES:
+                        yield _frame(rows, columns, ("key",))
+                        rows, held = [], 0
                 yield _frame(rows, columns, ("key",))
 
     schema = "key long, url string, date string, type string, digest string, payload_bytes long"
     schema += ", ip string, truncated boolean, block binary" if with_block else ""
     columns = [c.strip().split(" ")[0] for c in schema.split(",")]
-    return images.mapInPandas(parse, schema)
+    return images.select("arc_name", "data").mapInPandas(parse, schema)
 
 
 def arc_images(spark: SparkSession, path: str) -> DataFrame:
-    """The ARC files (plain or gzip) at ``path``: ``arc_name``, ``data``."""
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("arc_name"), F.col("content").alias("data"))
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["data"] = [gzip.decompress(d) if bytes(d[:2]) == b"\x1f\x8b" else d for d in pdf["data"]]
-            yield pdf
-
-    return files.mapInPandas(unpack, "arc_name string, data binary")
+    """The ARC files (plain or gzip) at ``path`` as they are: ``arc_name``, ``data``."""
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("arc_name"), F.col("content").alias("data"))
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -214,7 +262,7 @@ def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                             f"{KEY_HEADER}: {'null' if key is None else key}\r\n\r\n").encode()
                     records.append((url, "20040101000000", head + bytes(html)))
                 name, n = f"pages-{part:05d}-{n:05d}.arc", n + 1
-                yield pd.DataFrame({"arc_name": [name], "data": [arc_image(name, 1 + n % 2, records)]})
+                yield pd.DataFrame({"arc_name": [name], "data": [arc_image(name, 1 + n % 2, records, PAGES_ORIGIN)]})
 
     return src.mapInPandas(export, "arc_name string, data binary")
 
@@ -367,13 +415,16 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_bytes: int =
 
     Null html is an empty payload; a null page id is kept (and never a revisit
     target); repeated page ids each get a record; an empty table gives no
-    record.  Jobs: those of ``convert``, and the read."""
+    record; other columns are ignored.  Jobs: those of ``convert``, and the
+    read."""
     spark = pages.sparkSession
     files = convert(pages_to_arc(pages, **cols), folder or posix_scratch(spark, "warc"), min_bytes)
     return read_warc(files.repartition(shuffle_partitions(spark)))
 
 
 def page_report(pages: DataFrame, **kw) -> DataFrame:
+    """One row per page, from the archives read back (see ``archive_pages``):
+    size and SHA-1 of the payload, and which page's record a revisit names."""
     return archive_pages(pages, **kw).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest",
                                              F.col("type").alias("record_type"), "refers_to")
 
