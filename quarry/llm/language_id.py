@@ -4,13 +4,13 @@ A text's letters, lower-cased and with every other character as a word break,
 give counts of hashed character n-grams (1 to 4 characters).  Counts become
 TF-IDF vectors (1 + log tf, smoothed idf) of length 1.  Each language has a few
 clustered centroids (spherical k-means); the language of the nearest centroid
-by cosine is predicted, and a text that is too far from all of them is
-rejected.
+by cosine is predicted, and a text that is farther from it than the language's
+own training texts are (all but ``REJECTED`` of them) is marked as rejected.
 
 Learned from training rows only.  Document frequencies for the idf are added up
 over all training texts (one fixed-size array per task, merged in a tree); the
-clustering uses a bounded sample (``SAMPLE_ROWS`` texts per language, taken by
-a hash of the id).
+clustering uses a bounded sample (``SAMPLE_ROWS`` texts per language, and
+``SAMPLE_TOTAL`` of all, taken by a hash of id and text).
 """
 
 from __future__ import annotations
@@ -28,7 +28,10 @@ BINS = 1 << 13
 GRAMS = (1, 2, 3, 4)
 CENTROIDS = 3
 SAMPLE_ROWS = 400  # texts per language for the clustering (expected number)
-MAX_LANGUAGES = 1_000
+SAMPLE_TOTAL = 100_000  # texts of all languages together (expected number, but 8 of each at least)
+MODEL_BYTES = 1 << 30  # of the centroids that are broadcast
+REJECTED = 0.005  # share of a language's sampled texts that lie beyond its distance
+SLACK = 1.1  # and so much farther is allowed
 FAN_IN = 64
 UNDETERMINED = "und"
 PIECE = 1 << 16  # characters hashed at a time
@@ -70,6 +73,7 @@ class LanguageModel:
     idf: np.ndarray
     centroids: np.ndarray  # (n, BINS), length 1
     owner: np.ndarray  # language of each centroid
+    reach: np.ndarray  # per language: the least cosine that is not rejected
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         bins, counts = gram_bins(text)
@@ -77,20 +81,28 @@ class LanguageModel:
         norm = np.sqrt((v * v).sum())
         return (bins, v / norm) if norm > 0 else (bins[:0], v[:0])
 
-    def predict(self, text: str | None, min_cosine: float = 0.0) -> tuple[str, float]:
-        """Language and score; ``und`` and 0 where no cosine is above
+    def predict(self, text: str | None, min_cosine: float = 0.0) -> tuple[str, float, float, bool]:
+        """Language, score, distance (1 - cosine) of the nearest centroid, and
+        whether that is too far.  ``und`` and 0 where no cosine is above
         ``min_cosine``.  The score is the best cosine's share among each
         language's best, sharpened by a softmax."""
         bins, v = self.vector(text)
         if not len(bins) or not len(self.owner):
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 1.0, True
         cosines = self.centroids[:, bins] @ v
         best = np.full(len(self.languages), -1.0)
         np.maximum.at(best, self.owner, cosines)
         i = int(best.argmax())
+        far = float(1.0 - best[i])
         if best[i] <= min_cosine:
-            return UNDETERMINED, 0.0
-        return self.languages[i], float(1.0 / np.exp(20.0 * (best - best[i])).sum())
+            return UNDETERMINED, 0.0, far, True
+        return self.languages[i], float(1.0 / np.exp(20.0 * (best - best[i])).sum()), far, bool(best[i] < self.reach[i])
+
+
+def least_cosine(cosines: np.ndarray) -> float:
+    """The cosine below which a text is rejected: ``SLACK`` times the distance
+    beyond which the ``REJECTED`` share of the texts lie."""
+    return float(1.0 - SLACK * np.quantile(1.0 - cosines, 1.0 - REJECTED)) - 1e-9 if len(cosines) else 0.0
 
 
 def _document_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,15 +152,17 @@ def train(docs: DataFrame, training=None, rows: int = SAMPLE_ROWS, centroids: in
     ship(docs.sparkSession)
     training = F.coalesce(id_bucket("doc_id", 3) != 1, F.lit(False)) if training is None else training
     known = docs.where(training & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    # as many centroids a language as the model may hold, but for the first choice at most
+    centroids = min(centroids, MODEL_BYTES // (8 * BINS) // max(1, len(totals)))
+    if totals and not centroids:
+        raise ValueError(f"centroids of {len(totals)} languages are more than {MODEL_BYTES} bytes")
+    rows = min(rows, max(8, SAMPLE_TOTAL // max(1, len(totals))))
     df, n = document_frequencies(known)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
-    u = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    part = F.lit(0.0)
-    for lang, count in totals.items():
-        part = F.when(F.col("lang") == lang, min(1.0, rows / count)).otherwise(part)
+    u = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    parts = docs.sparkSession.createDataFrame([(lang, min(1.0, rows / count)) for lang, count in totals.items()], "_lang string, _part double")
+    chosen = (known.join(F.broadcast(parts), F.col("lang") == F.col("_lang")).where(u < F.col("_part")).select("doc_id", "text", "lang"))
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -156,10 +170,10 @@ def train(docs: DataFrame, training=None, rows: int = SAMPLE_ROWS, centroids: in
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang": pdf["lang"], "bins": [b.astype("<i4").tobytes() for b, _ in got],
                                 "counts": [c.astype("<i4").tobytes() for _, c in got]})
 
-    sample = (known.where(u < part).mapInPandas(vectors, "doc_id long, lang string, bins binary, counts binary")
-              .toPandas().sort_values(["lang", "doc_id", "bins", "counts"]))
+    sample = (chosen.mapInPandas(vectors, "doc_id long, lang string, bins binary, counts binary")
+              .dropDuplicates().toPandas().sort_values(["lang", "doc_id", "bins", "counts"]))
     languages = sorted(totals)
-    model = LanguageModel(languages, idf, np.empty((0, BINS)), np.empty(0, int))
+    model = LanguageModel(languages, idf, np.empty((0, BINS)), np.empty(0, int), np.zeros(len(languages)))
     found, owner = [], []
     for i, lang in enumerate(languages):
         x = []
@@ -171,6 +185,7 @@ def train(docs: DataFrame, training=None, rows: int = SAMPLE_ROWS, centroids: in
                 x.append(v / np.linalg.norm(v))
         if x:
             c = cluster(np.stack(x), centroids, seed=i)
+            model.reach[i] = least_cosine((np.stack(x) @ c.T).max(axis=1))
             found.append(c)
             owner += [i] * len(c)
     if found:
@@ -179,20 +194,22 @@ def train(docs: DataFrame, training=None, rows: int = SAMPLE_ROWS, centroids: in
 
 
 def report(docs: DataFrame, min_cosine: float = 0.0) -> DataFrame:
-    """One row per document: ``held_out``, ``lang_pred`` and ``score``.
+    """One row per document: ``held_out``, ``lang_pred``, ``score``, ``distance``
+    (1 - cosine of the nearest centroid) and ``rejected`` (too far from it, for
+    what its language's training texts are).
 
-    A null text or one without letters is ``und`` with score 0, as is one that
-    no centroid reaches (cosine at most ``min_cosine``; 0 rejects letterless
-    texts only).  Repeated rows are predicted as they are, a null id is not
+    A null text or one without letters is ``und`` with score 0, distance 1 and
+    rejected, as is one that no centroid reaches (cosine at most
+    ``min_cosine``).  Repeated rows are predicted as they are, a null id is not
     held out and not learned from, empty tables give an empty result."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(train(docs))  # BINS floats per centroid: 64 KB
+    model = spark.sparkContext.broadcast(train(docs))  # MODEL_BYTES at most
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, distance double, rejected boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = model.value
         for texts in batches:
-            yield pd.DataFrame([m.predict(t, min_cosine) for t in texts], columns=["lang_pred", "score"])
+            yield pd.DataFrame([m.predict(t, min_cosine) for t in texts], columns=["lang_pred", "score", "distance", "rejected"])
 
     got = docs.select("doc_id", F.coalesce(id_bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out"), predict("text").alias("_p"))
-    return got.select("doc_id", "held_out", "_p.lang_pred", "_p.score")
+    return got.select("doc_id", "held_out", "_p.lang_pred", "_p.score", "_p.distance", "_p.rejected")

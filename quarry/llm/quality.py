@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.common import id_bucket, ship
+from quarry.llm.common import discard, id_bucket, ship
 from quarry.llm.logistic import fit_logistic
 from quarry.llm.toxicity import labelled_sample
 
@@ -113,6 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, training=None, rows: int = SAMPLE_
     training = id_bucket("doc_id", 3) != 1 if training is None else training
     sample, totals = labelled_sample(docs, labels, "quality", rows, training)
     got = sample.select("doc_id", "y", "text").mapInPandas(_features, "doc_id long, y int, x array<double>").toPandas()
+    discard(sample)
     if not {0, 1} <= set(got["y"]):
         return None
     got = got.assign(k=[tuple(v) for v in got["x"]]).sort_values(["doc_id", "k"], kind="stable")  # any partitioning, same model

@@ -50,9 +50,11 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
     """Encode all documents into ``out_dir`` (on a shared mount) and return the
     folder and its manifest (shard, n_docs, n_ids, base).
 
-    Rows are ordered by id, then text; null ids come first; null text is
-    empty text, which still gets its end id.  Repeated rows are all written.
-    Only the shard totals (one row per shard) reach the driver.
+    Rows are ordered by id, then a hash of the text, then text, and cut into
+    shards by id and hash, so rows without an id, or of one id, fill more than
+    one shard.  Null ids come first; null text is empty text, which still gets
+    its end id.  Repeated rows are all written; other columns are ignored.  Only
+    the shard totals (one row per shard) reach the driver.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -90,8 +92,9 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
 
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    totals = (src.repartitionByRange(shards or shuffle_partitions(spark), "doc_id")
-              .sortWithinPartitions("doc_id", "text")
+    totals = (src.withColumn("text_key", F.xxhash64("text"))
+              .repartitionByRange(shards or shuffle_partitions(spark), "doc_id", "text_key")
+              .sortWithinPartitions("doc_id", "text_key", "text").select("doc_id", "text")
               .mapInPandas(write, "shard int, n_docs long, n_ids long").collect())
     base, rows = 0, []
     for r in sorted(totals, key=lambda r: r["shard"]):

@@ -37,13 +37,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.common import id_bucket, ship
+from quarry.llm.common import discard, id_bucket, ship
 from quarry.llm.logistic import fit_logistic
+from quarry.session import materialize
 
 SAMPLE_ROWS = 6_000  # labelled rows per class for lexicon and calibration (expected number)
 MIN_DF = 3  # a stem must be in so many toxic texts of the sample
 MIN_RATIO = 8.0  # a stem must be so much commoner in toxic texts
-MAX_STEMS = 5_000  # the lexicon that is shipped to the workers
+LEXICON_BYTES = 64 << 20  # of the lexicon that is shipped to the workers, at 64 bytes and its letters a stem
 STEM_CHARS = range(4, 9)
 NEGATION_REACH = 3
 
@@ -142,7 +143,7 @@ def base_lexicon() -> dict[str, tuple[str, float]]:
 class WordClasses(dict):
     """word -> (class, weight) or None for other words; the strongest stem counts."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __init__(self, lexicon: dict[str, tuple[str, float]]):
         super().__init__()
@@ -227,32 +228,49 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _llr(a: float, n_a: float, b: float, n_b: float) -> float:
-    """Twice the log likelihood ratio of rates a/n_a and b/n_b against one rate."""
-    def part(k, n, p):
-        return (k * math.log(p) if k else 0.0) + ((n - k) * math.log(1 - p) if n > k else 0.0)
-
-    p = (a + b) / (n_a + n_b)
-    return 2 * (part(a, n_a, a / n_a) + part(b, n_b, b / n_b) - part(a, n_a, p) - part(b, n_b, p)) if 0 < p < 1 else 0.0
-
-
-def _stem_counts(wanted: frozenset | None):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stem_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(y, stem, n): in how many texts of a class a stem is, added up by batch."""
+    for pdf in batches:
         df: Counter = Counter()
-        for pdf in batches:
-            for text in pdf["text"]:
-                found = {s for w in set(_TOKEN.findall(text.lower())) for s in stems(w)}
-                df.update(found if wanted is None else found & wanted)
+        for y, text in zip(pdf["y"], pdf["text"]):
+            df.update((y, s) for s in {s for w in set(_TOKEN.findall(text.lower())) for s in stems(w)})
         if df:
-            yield pd.DataFrame({"stem": list(df), "n": list(df.values())})
-
-    return count
+            yield pd.DataFrame({"y": [y for y, _ in df], "stem": [s for _, s in df], "n": list(df.values())})
+
+
+def learned_stems(sample: DataFrame, n1: int, n0: int, max_bytes: int = LEXICON_BYTES) -> dict[str, float]:
+    """Stems that stand out in the toxic texts of a sample (y, text), and their
+    weights: tested by Spark, so that the driver gets only those that pass, in
+    the order of the test as many as ``max_bytes`` hold."""
+    a, b = (F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).cast("double") for y in (1, 0))
+    counts = materialize(sample.select("y", "text").mapInPandas(_stem_counts, "y int, stem string, n long").groupBy("stem")
+                         .agg(a.alias("a"), b.alias("b")).where(F.col("a") >= MIN_DF), "toxicity-stems")
+    least = 2 * math.log(max(2, counts.count())) + 2  # chi-square level for one chance finding among all candidates
+
+    def part(k, n, p):  # of a log likelihood; 0 log 0 is 0
+        return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(n > k, (n - k) * F.log(1 - p)).otherwise(0.0)
+
+    a, b, p = F.col("a"), F.col("b"), (F.col("a") + F.col("b")) / (n1 + n0)
+    llr = 2 * (part(a, F.lit(n1), a / n1) + part(b, F.lit(n0), b / n0) - part(a, F.lit(n1), p) - part(b, F.lit(n0), p))
+    weight = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
+    found = (counts.where(a / n1 > MIN_RATIO * b / n0).select("stem", llr.alias("llr"), weight.alias("weight")).where(F.col("llr") >= least)
+             .orderBy(F.desc("llr"), F.desc("stem")).limit(max(1, max_bytes // 64)).collect())
+    discard(counts)
+    out, left = {}, max_bytes
+    for r in found:
+        left -= 64 + len(r["stem"].encode())
+        if left < 0:
+            break
+        out[r["stem"]] = r["weight"]
+    return out
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, training) -> tuple[DataFrame, dict]:
     """Texts of about ``rows`` labelled training rows of each class, chosen by a
     hash of the id, and the classes' full numbers.  An id that is labelled more
-    than once counts as 1 if any of its labels is."""
+    than once counts as 1 if any of its labels is.  Equal texts of one id count
+    once, and of an id with many texts a hash of the text chooses, so the sample
+    is bounded whatever ids repeat.  It is written once, for several readers."""
     known = (labels.where(training & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("y")))
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
@@ -260,9 +278,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, t
     part = F.lit(0.0)
     for y, n in totals.items():
         part = F.when(F.col("y") == y, min(1.0, rows / n)).otherwise(part)
-    chosen = known.where(u < part)  # about 2 * rows ids at any size
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-            .join(F.broadcast(chosen), "doc_id"), totals)
+    chosen = materialize(known.where(u < part), "labelled-ids")  # about 2 * rows ids at any size
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    most = max((r["count"] for r in texts.select("doc_id", "y").groupBy("y").count().collect()), default=0)
+    if most > 2 * rows:
+        texts = texts.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(13)), F.lit(1 << 30)) < int(rows / most * (1 << 30)))
+    sample = materialize(texts.dropDuplicates(["doc_id", "text"]), "labelled")
+    discard(chosen)
+    return sample, totals
 
 
 def train(docs: DataFrame, labels: DataFrame, training=None, rows: int = SAMPLE_ROWS) -> ToxicityModel:
@@ -275,24 +298,10 @@ def train(docs: DataFrame, labels: DataFrame, training=None, rows: int = SAMPLE_
     default = ToxicityModel(lexicon, np.zeros(N_FEATURES), np.ones(N_FEATURES), np.array([2.0, 0.5, 0.5, 0.0, -0.2, -2.5]))
     if not totals.get(0) or not totals.get(1):
         return default
-    toxic, clean = sample.where("y = 1"), sample.where("y = 0")
-    n1, n0 = toxic.count(), clean.count()
-    if not n1 or not n0:
+    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    if not sizes.get(1) or not sizes.get(0):
         return default
-    counted = (toxic.select("text").mapInPandas(_stem_counts(None), "stem string, n long").groupBy("stem")
-               .agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_DF).orderBy(F.desc("n"), "stem").limit(20 * MAX_STEMS))
-    in_toxic = {r["stem"]: r["n"] for r in counted.collect()}
-    wanted = frozenset(in_toxic) | frozenset(lexicon)
-    in_clean = {r["stem"]: r["n"] for r in clean.select("text").mapInPandas(_stem_counts(wanted), "stem string, n long")
-                .groupBy("stem").agg(F.sum("n").alias("n")).collect()}
-    # chi-square level for one chance finding among all candidates
-    least = 2 * math.log(max(2, len(in_toxic))) + 2
-    scored = []
-    for s, a in in_toxic.items():
-        b = in_clean.get(s, 0)
-        if a / n1 > MIN_RATIO * b / n0 and (llr := _llr(a, n1, b, n0)) >= least:
-            scored.append((llr, s, math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))))
-    for _, s, w in sorted(scored, reverse=True)[:MAX_STEMS]:
+    for s, w in learned_stems(sample, sizes[1], sizes[0]).items():
         if lexicon.get(s, ("I",))[0] in "IT":
             lexicon[s] = (lexicon.get(s, ("I",))[0], w)
     key = tuple(sorted(lexicon.items()))
@@ -303,6 +312,7 @@ def train(docs: DataFrame, labels: DataFrame, training=None, rows: int = SAMPLE_
             yield pd.DataFrame({"y": pdf["y"], "x": [g.features(t) for t in pdf["text"]]})
 
     rows_x = sample.select("y", "text").mapInPandas(features, "y int, x array<double>").toPandas()
+    discard(sample)
     x, y = np.stack(rows_x["x"].to_numpy()), rows_x["y"].to_numpy(float)
     # each class weighs as much as in all labelled training rows
     weight = np.where(y == 1, totals[1] / max(1, (y == 1).sum()), totals[0] / max(1, (y == 0).sum()))
@@ -324,6 +334,7 @@ def score_column(model: ToxicityModel, text):
         for texts in batches:
             x = np.array([g.features(t) for t in texts], float).reshape(-1, N_FEATURES)
             yield pd.Series(model.probability(x))
+        g.classes.clear()  # workers live on, with other work to do
 
     return toxicity(F.coalesce(text, F.lit("")))
 
