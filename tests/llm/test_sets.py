@@ -54,6 +54,10 @@ def test_join_against_brute_force(spark, odd_docs, no_docs):
     assert sorted(str(tuple(r)) for r in J.components(docs).collect()) == brute_components(rows)
     kept = J.keep_one(docs)
     assert kept.columns == docs.columns
+    odd = J.keep_one(odd_docs).collect()
+    assert odd[0].asDict().keys() == odd_docs.first().asDict().keys()
+    # of the near copies 5 (twice), 6 and 9 only 5 stays, once; texts without words all stay
+    assert sorted(str(r.doc_id) for r in odd) == sorted(["1", "2", "3", "4", "5", "6", "None", "None", "7", "8"])
     assert J.components(no_docs).count() == 0
 
 
@@ -120,6 +124,52 @@ def test_arc_and_warc_round_trip(spark):
     assert warc.page_report(pages.limit(0)).count() == 0
 
 
+def test_malformed_arc_files(spark, tmp_path):
+    """Odd version lines and lengths, foreign key headers, broken gzip."""
+    record = b"http://a/ 0.0.0.0 20010101000000 text/html %s\n%s\n"
+
+    def arc(about, *records):
+        about = about + b"\nURL IP-address Archive-date Content-type Archive-length\n"
+        return b"filedesc://x 0.0.0.0 19960101000000 text/plain %d\n%s\n" % (len(about), about) + b"".join(records)
+
+    for line, version in ((b"1.0 0 IA", 1), (b"2 0 IA", 2), (b"1 0 IA\r", 1), (b"x", 1), (b"", 1), (b"7 0 IA", 1)):
+        (r,) = warc.parse_arc(arc(line, record % (b"2", b"hi")))
+        assert r["version"] == version and r["block"] == b"hi"
+    two = "²".encode()
+    assert [r["block"] for r in warc.parse_arc(arc(b"1 0 IA", record % (two, b"no"), record % (b"9" * 30, b"no"), record % (b"3", b"yes")))] == [b"yes"]
+    foreign = [b"HTTP/1.0 200 OK\r\nX-Record-Key: %s\r\n\r\nown" % v for v in (b"abc", b"7", b"null", b"\xff")]
+    images = {f"f{i}.arc": arc(b"1 0 IA", record % (b"%d" % len(b), b)) for i, b in enumerate(foreign)}
+    whole = arc(b"1 0 IA", *[record % (b"4000", random.Random(i).randbytes(4000)) for i in range(60)])
+    packed = gzip.compress(whole)
+    images |= {"cut.arc.gz": packed[:len(packed) // 2], "bad.arc.gz": packed[:60_000] + b"\0" * 50 + packed[60_050:],
+               "members.arc.gz": gzip.compress(whole[:90_000]) + gzip.compress(whole[90_000:]) + b"trailing"}
+    for name, data in images.items():
+        (tmp_path / name).write_bytes(data)
+    found = warc.read_arc(spark, str(tmp_path)).collect()
+    assert len({r.key for r in found}) == len(found) and not {r.key for r in found} & {7, None}
+    assert sum(bytes(r.block) in foreign for r in found) == 4
+    sizes = [r.payload_bytes for r in found if bytes(r.block) not in foreign]
+    assert 60 + 2 * 10 < len(sizes) < 180 and sizes.count(4000) >= len(sizes) - 2
+    assert sum(r.truncated for r in found) <= 2
+    back = warc.read_warc(warc.convert_arc(spark, str(tmp_path))).collect()
+    assert sorted(r.key for r in back) == sorted(r.key for r in found)
+
+
+def test_large_arc_files_are_returned_in_parts(spark, monkeypatch):
+    block = b"HTTP/1.0 200 OK\r\n\r\n" + b"x" * 900_000
+    image = warc.arc_image("big.arc", 1, [(f"http://{i}/", "2001", block) for i in range(12)])
+    batches = []
+    frame = warc._frame
+    monkeypatch.setattr(warc, "_frame", lambda rows, *a: (batches.append(len(rows)), frame(rows, *a))[1])
+    images = spark.createDataFrame([("big.arc", bytearray(gzip.compress(image))), ("none.arc", None)], "arc_name string, data binary")
+    assert warc.arc_records(images).count() == 12
+    held = []
+    parts = iter(warc.parse_arc(warc.open_arc(gzip.compress(image))))
+    for r in parts:
+        held.append(len(r["block"]))
+    assert held == [len(block)] * 12
+
+
 def test_64_bit_page_ids_and_real_arc_files(spark, tmp_path):
     big, ids = "x" * 2000, [4611686018427400249, 4611686018427400247, -4611686018427400243, None]
     rows = [(k, "u", big if k else "y" * 1500) for k in ids] + [(9007199254740993, "v", "y" * 1500), (None, "w", big)]
@@ -203,3 +253,66 @@ def test_one_document_of_each_component_stays(spark):
             (None, text.replace("a", "c")), (3, text.replace("a", "c") + " x"), (7, text.replace("a", "d")), (5, text.replace("a", "d") + " x"), (1, None), (2, " ")]
     kept = [(r.doc_id, (r.text or "")[:1]) for r in J.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(map(str, kept)) == sorted(map(str, [(None, "a"), (7, "b"), (3, "c"), (5, "d"), (1, ""), (2, " ")]))
+
+
+def test_clashing_names_come_back_as_they_were(spark, odd_docs, no_docs):
+    bench = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven"), (None, None)], "item_id long, text string")
+    rows = {(r.doc_id, r.text): r for r in odd_docs.collect()}
+    for result in (decontaminate.decontaminate(odd_docs, bench), decontaminate.decontaminate(odd_docs, bench, remove="spans"),
+                   mixing.sample(odd_docs), J.keep_one(odd_docs)):
+        assert result.columns == odd_docs.columns and result.dtypes == odd_docs.dtypes
+        for r in result.collect():
+            if (r.doc_id, r.text) in rows:
+                assert r == rows[r.doc_id, r.text]
+    assert decontaminate.decontaminate(odd_docs, bench, remove="spans").count() == odd_docs.count()
+    assert decontaminate.decontaminate(odd_docs, bench.limit(0)).count() == odd_docs.count()
+    weighed = mixing.weigh(odd_docs)
+    assert weighed.count() == odd_docs.count() and weighed.columns[-6:] == list(mixing.CELL_COLUMNS)
+    assert set(weighed.columns) == set(odd_docs.columns) | set(mixing.CELL_COLUMNS)
+    for result in (decontaminate.decontaminate(no_docs, bench), mixing.sample(no_docs), J.keep_one(no_docs)):
+        assert result.columns == odd_docs.columns and result.count() == 0
+
+
+def test_documents_without_ids_are_read_once_each(spark, monkeypatch):
+    """Their classes are found by text: no row meets more than one of them."""
+    rng, made, write = random.Random(11), [], J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, name: (t := write(df, name), made.append((name, t.count())) if name == "jaccard-sketches" else None)[0])
+    texts = []
+    for _ in range(150):
+        base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+        texts += [" ".join(base), " ".join(edited(rng, base, 1))]
+    with_ids = J.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    without = J.components(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    assert len(with_ids) == len(without) == 300
+    assert len(made) == 2 and made[0] == made[1]
+
+
+def test_a_pair_is_returned_by_its_least_group():
+    import numpy as np
+    rng, groups = random.Random(12), {}
+    for _ in range(300):
+        groups[rng.randrange(-(10**6), 10**6)] = sorted(rng.sample(range(40), rng.randrange(2, 6)))
+    first = {m: sorted(g for g, ms in groups.items() if m in ms)[:J.FIRST_GROUPS] for m in range(40)}
+    seen, least = {}, {}
+    for g, members in groups.items():
+        pad = np.array([first[m] + [np.iinfo(np.int64).max] * (J.FIRST_GROUPS - len(first[m])) for m in members])
+        for i in range(len(members)):
+            for j in range(i + 1, len(members)):
+                pair = (members[i], members[j])
+                least[pair] = min(g, least.get(pair, g))
+                if not J.met_before(np.full(len(members), g), pad, np.array([i]), np.array([j]))[0]:
+                    seen.setdefault(pair, []).append(g)
+    assert all(least[p] in seen[p] for p in least)
+    assert all(seen[p] == [least[p]] for p in least if set(first[p[0]]) & set(first[p[1]]))
+
+
+def test_joins_with_hot_keys_on_every_path(spark, monkeypatch):
+    from quarry.llm import common
+    from pyspark.sql import functions as F
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).unionAll(spark.sql("select 7L k, 14L v"))
+    want = sorted(map(str, left.join(right, "k", "left").collect()))
+    for limit, keys in ((10**6, 10_000), (10, 10_000), (10, 2)):
+        monkeypatch.setattr(common.bounded, "__defaults__", (limit,))
+        monkeypatch.setattr(common, "HOT_KEYS", keys)
+        assert sorted(map(str, common.join_unique(left, right, "k").collect())) == want

@@ -29,13 +29,14 @@ def test_counts_of_odd_documents(odd_docs, no_docs):
 
 def test_archive_round_trip(odd_docs, no_docs):
     got = {(r.doc_id, r.ids_crc32): r for r in token_ids.token_ids(odd_docs, PATH, shards=3).collect()}
-    rows = sorted(odd_docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
+    hashes = {(r.doc_id, r.text): r.h for r in odd_docs.selectExpr("doc_id", "text", "xxhash64(coalesce(text, '')) h").collect()}
+    rows = sorted(odd_docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, hashes[r.doc_id, r.text]))
     start = 0
     for r in rows:
         own = [*ids(r.text), 0]
         g = got[r.doc_id, zlib.crc32(np.array(own, "<u4").tobytes())]
         assert g.n_tokens == len(own)
-        if rows.count(r) == 1 and (r.doc_id is not None):
+        if rows.count(r) == 1:
             assert g.start == start
         start += len(own)
     assert token_ids.token_ids(no_docs, PATH).count() == 0
@@ -50,3 +51,10 @@ def test_many_lines_without_a_blank(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, PATH).collect()} == {i: len(ids(t)) for i, t in enumerate(texts)}
     assert {r.doc_id: r.n_tokens for r in token_ids.token_ids(docs, PATH).collect()} == {i: len(ids(t)) + 1 for i, t in enumerate(texts)}
+
+
+def test_rows_of_one_id_fill_several_shards(spark):
+    docs = spark.createDataFrame([(i % 2 or None, f"text {i}") for i in range(400)], "doc_id long, text string")
+    _, manifest = token_ids.write_archive(docs, PATH, shards=8)
+    assert sorted(r.n_docs > 0 for r in manifest.collect()).count(True) >= 6
+    assert token_ids.token_ids(docs, PATH, shards=8).count() == 400
