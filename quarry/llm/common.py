@@ -75,13 +75,20 @@ def posix_scratch(spark: SparkSession, name: str) -> str:
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-@contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """At most so many rows in an Arrow batch of the jobs run inside: a batch of
-    texts or sets is held by the executor and by its Python worker at once."""
+def limit_arrow_rows(spark: SparkSession, rows: int) -> str:
+    """From now on at most so many rows in an Arrow batch of this session: a
+    batch of texts or sets is held by the executor and by its Python worker at
+    once.  Returns the setting before."""
     before = spark.conf.get(ARROW_ROWS)
     if int(before) <= 0 or int(before) > rows:
         spark.conf.set(ARROW_ROWS, str(rows))
+    return before
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """``limit_arrow_rows`` for the jobs run inside."""
+    before = limit_arrow_rows(spark, rows)
     try:
         yield
     finally:
