@@ -3,6 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before
 it kept; its result is written as Parquet and read again, which cuts the
 lineage.  All stages but the last return the columns of ``documents``.
+
+Documents are whole texts of any length, so the first stage limits the rows of
+an Arrow batch for the session that runs the pipeline; the limit stays, since a
+stage's result is only evaluated when it is written.
+
+Null ids and texts, repeated rows, empty tables and further columns are handled
+as each operator states; a stage without documents gives none.
 """
 
 from __future__ import annotations
@@ -10,13 +17,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import decontaminate, jaccard_join, mixing, token_ids, toxicity
-from quarry.llm.common import table
+from quarry.llm.common import limit_arrow_rows, table
 from quarry.llm.queries import tokenizer_path
 from quarry.session import materialize
 
+BATCH_ROWS = 1_000
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pattern grammar does not score as toxic (at 0.3)."""
+    limit_arrow_rows(spark, BATCH_ROWS)
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
