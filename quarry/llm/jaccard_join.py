@@ -20,7 +20,9 @@ the group (a star, not all pairs).  Links found are united, and groups that
 still hold several components are compared with another leader, from their
 largest component, up to ``ROUNDS`` times while that closes groups.  Only then are the pairs between the
 components of a group looked at, by sketches, inside the task that holds the
-group; pairs that may be links are compared.
+group.  Of the pairs that may be links, the nearest one of each component is
+compared first, for up to ``ROUNDS`` times; then those that still lie in
+different components.
 
 Hot groups.  Signatures in more than ``HOT_GROUP`` rows are counted before any
 task takes whole groups; their groups find leaders by aggregates, and no task
@@ -69,6 +71,7 @@ SEEN_SETS = 100_000  # set ids a task remembers, so that copies emit signatures
 FIRST_GROUPS = 8  # of a set's groups that go with its rows, so that a pair is returned by one of its groups
 SLICE_CHARS = 1 << 20  # of texts whose sets and signatures a task holds at a time
 TEXT_ROWS = 500  # texts or sets in one batch between an executor and its Python worker
+MANY = 3  # times as many pairs as components have nearest ones: then these are compared first
 COARSE = 4  # times fewer ranges that a sketch has in the first comparison within groups
 _U = np.uint64
 
@@ -190,7 +193,9 @@ def may_be_similar(na: int, ca: bytes, nb: int, cb: bytes) -> bool:
 
 
 def pairs_that_may_be_similar(n: np.ndarray, sketches: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``may_be_similar`` for many pairs of rows at once: a mask."""
+    """``may_be_similar`` for many pairs of rows at once: the share of elements
+    by which they differ at least, NaN where they cannot be similar."""
+    far = np.full(len(a), np.nan)
     width = np.fromiter(map(len, sketches), np.int64, len(sketches))
     ok = DEN * np.minimum(n[a], n[b]) >= NUM * np.maximum(n[a], n[b])
     coarse = np.minimum(width[a], width[b])
@@ -202,8 +207,9 @@ def pairs_that_may_be_similar(n: np.ndarray, sketches: list[bytes], a: np.ndarra
             x, y = place[c:c + PAIR_BLOCK][:len(at) - c], place[len(at) + c:len(at) + c + PAIR_BLOCK]
             apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
             part = at[c:c + PAIR_BLOCK]
-            ok[part] = apart <= (n[a[part]] + n[b[part]]) * (DEN - NUM) // (DEN + NUM)
-    return ok
+            both = n[a[part]] + n[b[part]]
+            far[part] = np.where(apart <= both * (DEN - NUM) // (DEN + NUM), apart / both, np.nan)
+    return far
 
 
 def pairs_between(component: np.ndarray, start: int, end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -384,14 +390,19 @@ def _elements(docs: DataFrame, classes: DataFrame, sids: DataFrame, name: str) -
     return made
 
 
+def _ends(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the sets that the pairs (a, b) have."""
+    ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
+    return sets.join(sent(ends), "sid", "left_semi")
+
+
 def _sketched(pairs: DataFrame, sets: DataFrame, coarse: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b, ...) whose sizes and sketches allow a link.  With
     ``coarse`` the smaller sketches are compared first, and the full ones are
     shuffled only for the sets of the pairs that are left."""
     if coarse is not None:
         pairs = materialize(_sketched(pairs, coarse), "jaccard-candidates")
-        ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-        sets = sets.join(sent(ends), "sid", "left_semi")
+        sets = _ends(sets, pairs)
     a = sets.select(F.col("sid").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("ka"))
     b = sets.select(F.col("sid").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("kb"))
 
@@ -477,9 +488,10 @@ def met_before(group: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarra
     return out
 
 
-def _rest(opened: DataFrame, sets: DataFrame, coarse: DataFrame, listed: bool) -> DataFrame:
-    """(a, b, ca, cb): the pairs of an open group's components that may be
-    links, with their components; those of hot groups if ``listed``."""
+def _rest(opened: DataFrame, coarse: DataFrame, listed: bool) -> DataFrame:
+    """(a, b, ca, cb, far): the pairs of an open group's components whose
+    smaller sketches allow a link, with their components and distance by these
+    sketches; those of hot groups if ``listed``."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf, starts, ends in _whole_groups(batches):
             sid, sig = pdf["sid"].to_numpy(np.int64), pdf["sig"].to_numpy(np.int64)
@@ -492,13 +504,14 @@ def _rest(opened: DataFrame, sets: DataFrame, coarse: DataFrame, listed: bool) -
 
             def checked() -> Iterator[pd.DataFrame]:
                 a, b = np.concatenate(left), np.concatenate(right)
-                ok = pairs_that_may_be_similar(n, sketches, a, b)
-                a, b = a[ok], b[ok]
+                far = pairs_that_may_be_similar(n, sketches, a, b)
+                ok = ~np.isnan(far)
+                a, b, far = a[ok], b[ok], far[ok]
                 fresh = ~met_before(sig, first, a, b)
-                a, b = a[fresh], b[fresh]
+                a, b, far = a[fresh], b[fresh], far[fresh]
                 a, b = np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a)
                 if len(a):
-                    yield pd.DataFrame({"a": sid[a], "b": sid[b], "ca": comp[a], "cb": comp[b]})
+                    yield pd.DataFrame({"a": sid[a], "b": sid[b], "ca": comp[a], "cb": comp[b], "far": far})
 
             for s, e in zip(starts, ends):
                 for i, j in pairs_between(comp, s, e):
@@ -516,8 +529,26 @@ def _rest(opened: DataFrame, sets: DataFrame, coarse: DataFrame, listed: bool) -
         members = members.unionAll(_blocks(opened.where("hot").select("sig", "sid", "component")))
     first = members.groupBy("sid").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, FIRST_GROUPS).alias("first"))
     members = members.join(coarse.join(first, "sid"), "sid")
-    found = materialize(_grouped(members).mapInPandas(emit, "a long, b long, ca long, cb long"), "jaccard-rest")
-    return _sketched(found.dropDuplicates(["a", "b"]), sets, coarse)
+    found = materialize(_grouped(members).mapInPandas(emit, "a long, b long, ca long, cb long, far double"), "jaccard-found")
+    once = materialize(found.dropDuplicates(["a", "b"]), "jaccard-rest")
+    discard(found)
+    return once
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """(a, b): for each component its nearest pair of the pairs (a, b, ca, cb, far)."""
+    pair = F.struct("far", "a", "b").alias("p")
+    ends = pairs.select(F.col("ca").alias("c"), pair).unionAll(pairs.select(F.col("cb").alias("c"), pair))
+    return ends.groupBy("c").agg(F.min("p").alias("p")).select("p.a", "p.b").distinct()
+
+
+def _still_apart(pairs: DataFrame, compared: DataFrame, newer: DataFrame) -> DataFrame:
+    """The pairs that were not compared and lie in different components, once
+    ``newer`` joins some of theirs."""
+    for c in ("ca", "cb"):
+        on = newer.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        pairs = pairs.join(sent(on), F.col(c) == F.col("_n"), "left").withColumn(c, F.coalesce("_c", c)).drop("_n", "_c")
+    return materialize(pairs.where("ca <> cb").join(sent(compared), ["a", "b"], "left_anti"), "jaccard-apart")
 
 
 def _coarse(sets: DataFrame) -> DataFrame:
@@ -583,6 +614,22 @@ def class_components(docs: DataFrame, doc_sets: DataFrame, tagged: DataFrame) ->
     def joined(pairs: DataFrame) -> DataFrame:
         return connected_components(_links(pairs, docs, classes), "ca", "cb")
 
+    def nearest_first(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """``found`` with the links among the pairs.  While there are many for
+        each component, only its nearest one is compared: copies that are
+        united by it need no other."""
+        for _ in range(ROUNDS):
+            nearest = materialize(_nearest(pairs), "jaccard-nearest")
+            if pairs.count() <= MANY * nearest.count():
+                break
+            newer = materialize(joined(_sketched(pairs.join(sent(nearest), ["a", "b"], "left_semi").drop("far"), _ends(sets, nearest))), "jaccard-newer")
+            found, before = merged(found, newer), pairs
+            pairs = _still_apart(pairs, nearest, newer)
+            discard(before, nearest, newer)
+        found = merged(found, joined(_sketched(pairs.drop("far"), _ends(sets, pairs))))
+        discard(pairs)
+        return found
+
     found, level, members, shared = star(groups), 0, None, groups
     while True:
         groups, rows = _with_components(shared.where("more"), found, "sid"), None
@@ -603,7 +650,7 @@ def class_components(docs: DataFrame, doc_sets: DataFrame, tagged: DataFrame) ->
         hot = materialize(groups.where("hot").select("sid").distinct(), "jaccard-hot-classes")
         before, members = members, hot.count() if any_hot else 0
         listed = members and (level >= MAX_LEVEL or (before is not None and members > STALLED * before))
-        found = merged(found, joined(_rest(groups, sets, coarse, listed)))
+        found = nearest_first(found, _rest(groups, coarse, listed))
         discard(groups)
         if listed or not members:
             discard(hot, classes, sets, coarse)

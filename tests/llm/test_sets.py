@@ -316,3 +316,26 @@ def test_joins_with_hot_keys_on_every_path(spark, monkeypatch):
         monkeypatch.setattr(common.bounded, "__defaults__", (limit,))
         monkeypatch.setattr(common, "HOT_KEYS", keys)
         assert sorted(map(str, common.join_unique(left, right, "k").collect())) == want
+
+
+def test_near_copies_are_united_without_comparing_their_pairs(spark, monkeypatch):
+    """Copies that lie just within reach of one another meet in many groups: of
+    the candidates between components, the nearest go first, and each is looked
+    at once."""
+    rng = random.Random(8)
+    base, rows, compared, sketched = [f"w{i}" for i in range(120)], [], [], J._sketched
+    for i in range(150):
+        rows.append((i, " ".join(edited(rng, base, rng.randrange(2, 5)))))
+    rows += [(1000 + i, " ".join([f"q{rng.randrange(10**6)}" for _ in range(40)] + base[:30])) for i in range(60)]  # a common passage, no link
+
+    def counted(pairs, *rest):
+        pairs = J.materialize(pairs, "test-pairs")
+        compared.append(pairs.count())
+        return sketched(pairs, *rest)
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(J, "_sketched", counted)
+    monkeypatch.setattr(J, "ROUNDS", 1)
+    assert sorted(str(tuple(r)) for r in J.components(docs).collect()) == brute_components(rows)
+    last = compared[4:]  # after the star and one leader round, each by two sketches
+    assert len(last) == 2 and last[0] <= len(rows) and sum(last) < 1.5 * max(last)
