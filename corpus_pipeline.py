@@ -22,6 +22,8 @@ from quarry.llm.queries import tokenizer_path
 from quarry.session import materialize
 
 BATCH_ROWS = 1_000
+#: Parts of texts a worker remembers when it encodes: workers outlive the stage, and have the others' work to do.
+CACHED_PARTS = 100_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token archive of what is left, read back: one row per document."""
-    return token_ids.token_ids(docs, tokenizer_path())
+    return token_ids.token_ids(docs, tokenizer_path(), cached=CACHED_PARTS)
 
 
 STAGES = [

@@ -28,7 +28,7 @@ _BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if
 
 _STOPS = frozenset(".,;:!?")
 
-CACHE_ENTRIES = 800_000  # per worker; the whole worker tier is dropped when it is full
+CACHE_ENTRIES = 800_000  # per worker and table (some 200 MB in all), unless the caller sets less; the whole worker tier is dropped when it is full
 CACHED_CHARS = 64  # longer parts are encoded each time
 
 
@@ -57,9 +57,10 @@ def is_byte_level(tokenizer) -> bool:
 class ChunkTable(dict):
     """part -> encoding; misses are encoded by the library and kept."""
 
-    def __init__(self, tokenizer, encode, join, frequent=None, first: ChunkTable | None = None):
+    def __init__(self, tokenizer, encode, join, frequent=None, first: ChunkTable | None = None, cached: int | None = None):
         super().__init__(frequent or {})
         self.tokenizer, self.encode, self.join, self.frequent = tokenizer, encode, join, frequent or {}
+        self.cached = CACHE_ENTRIES if cached is None else cached
         self.prefix = "" if first is None else " "
         self.first = self if first is None else first
         self.model, self.blank = tokenizer.model, "" if first is None else _BYTE_CHARS[32]
@@ -80,7 +81,7 @@ class ChunkTable(dict):
         else:
             value = self.encode(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids)
         if len(part) <= CACHED_CHARS:
-            if len(self) >= CACHE_ENTRIES + len(self.frequent):
+            if len(self) >= self.cached + len(self.frequent):
                 self.clear()
                 self.update(self.frequent)
             self[part] = value
@@ -89,15 +90,15 @@ class ChunkTable(dict):
 
 class ChunkEncoder:
     """Encodes whole texts; ``encode`` maps one part's ids to a value and
-    ``join`` combines the values of a text."""
+    ``join`` combines the values of a text; ``cached``: parts that each tier keeps."""
 
-    def __init__(self, path: str, encode, join, frequent=None):
+    def __init__(self, path: str, encode, join, frequent=None, cached: int | None = None):
         self.tokenizer = load_tokenizer(path)
         self.encode, self.join = encode, join
         self.cut = is_byte_level(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first = ChunkTable(self.tokenizer, encode, join)
-        self.rest = ChunkTable(self.tokenizer, encode, join, frequent, self.first)
+        self.first = ChunkTable(self.tokenizer, encode, join, cached=cached)
+        self.rest = ChunkTable(self.tokenizer, encode, join, frequent, self.first, cached)
 
     def __call__(self, text: str | None):
         if not text:
@@ -118,7 +119,7 @@ def counting_encoder(path: str, table) -> ChunkEncoder:
 
 
 @lru_cache(maxsize=2)
-def id_encoder(path: str, dtype: str) -> ChunkEncoder:
+def id_encoder(path: str, dtype: str, cached: int | None = None) -> ChunkEncoder:
     """Text -> bytes of its ids.  One per worker, see above."""
     kind = {"<u2": "H", "<u4": "I"}[dtype]  # array() is faster than NumPy for a few ids
     swap = sys.byteorder != "little"
@@ -129,4 +130,4 @@ def id_encoder(path: str, dtype: str) -> ChunkEncoder:
             a.byteswap()
         return a.tobytes()
 
-    return ChunkEncoder(path, pack, b"".join)
+    return ChunkEncoder(path, pack, b"".join, cached=cached)

@@ -46,7 +46,8 @@ def id_dtype(vocab_size: int) -> str:
 
 
 def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = None, end_id: int = 0,
-                  id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> tuple[str, DataFrame]:
+                  id_col: str = "doc_id", text_col: str = "text", shards: int | None = None,
+                  cached: int | None = None) -> tuple[str, DataFrame]:
     """Encode all documents into ``out_dir`` (on a shared mount) and return the
     folder and its manifest (shard, n_docs, n_ids, base).
 
@@ -54,7 +55,8 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
     shards by id and hash, so rows without an id, or of one id, fill more than
     one shard.  Null ids come first; null text is empty text, which still gets
     its end id.  Repeated rows are all written; other columns are ignored.  Only
-    the shard totals (one row per shard) reach the driver.
+    the shard totals (one row per shard) reach the driver.  ``cached``: parts of
+    texts that a worker remembers (memory for time; the ids are the same).
     """
     spark = docs.sparkSession
     ship(spark)
@@ -65,7 +67,7 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()
-        encoder = chunks.id_encoder(tokenizer_path, dtype)
+        encoder = chunks.id_encoder(tokenizer_path, dtype, cached)
         width = np.dtype(dtype).itemsize
         final = _shard_files(folder, shard)
         temporary = {k: f"{p}.{uuid.uuid4().hex}.tmp" for k, p in final.items()}

@@ -128,3 +128,19 @@ def test_no_documents(spark, tmp_path):
         table(spark, SF_SMALL, name).limit(0 if name == "documents" else 1000).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert token_ids.token_ids(table(spark, str(tmp_path), "documents"), tokenizer_path()).count() == 0
+
+
+def test_encoder_of_the_pipeline_keeps_few_parts(spark, monkeypatch):
+    """A worker's cache outlives the stage; what it holds is bounded, and the
+    ids do not depend on it."""
+    asked, real = [], token_ids.write_archive
+    monkeypatch.setattr(token_ids, "write_archive", lambda *a, **kw: asked.append(kw.get("cached")) or real(*a, **kw))
+    docs = spark.createDataFrame([(i, f"some text {i} with words{i}") for i in range(9)], "doc_id long, text string")
+    assert corpus_pipeline.write_token_ids(spark, docs, SF_SMALL).count() == 9
+    assert asked == [corpus_pipeline.CACHED_PARTS]
+    encoder = chunks.id_encoder(tokenizer_path(), "<u2", 50)
+    for i in range(300):
+        text = f"one{i} two{i}, {i} three{i}"
+        want = chunks.load_tokenizer(tokenizer_path()).encode(text, add_special_tokens=False).ids
+        assert encoder(text) == np.array(want, "<u2").tobytes()
+        assert len(encoder.first) <= 51 and len(encoder.rest) <= 51
