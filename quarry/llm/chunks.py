@@ -13,8 +13,10 @@ are encoded whole by the library, because the library cuts them differently.
 from __future__ import annotations
 
 import re
+import string
 import sys
 from array import array
+from codecs import charmap_decode
 from functools import lru_cache
 
 _ODD_BLANKS = re.compile(r" (?:\s|\Z)")
@@ -26,7 +28,9 @@ _LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 _PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
-_STOPS = frozenset(".,;:!?")
+_BYTE_TABLE = "".join(chr(b) if b in _PLAIN else _BYTE_CHARS[b] for b in range(256))
+
+_MARKS = string.punctuation.replace("'", "")  # of a run of these after letters; an apostrophe may begin a contraction
 
 CACHE_ENTRIES = 800_000  # per worker and table (some 200 MB in all), unless the caller sets less; the whole worker tier is dropped when it is full
 CACHED_CHARS = 64  # longer parts are encoded each time
@@ -42,6 +46,12 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def byte_chars(part: str) -> str:
+    """A part's UTF-8 bytes in the byte-level alphabet; for parts of letters and
+    other printable characters, since ASCII is passed on as it is."""
+    return part if part.isascii() else charmap_decode(part.encode(), "strict", _BYTE_TABLE)[0]
+
+
 def split_chunks(text: str) -> list[str]:
     """Parts of a text; every part but the first stands for blank + part."""
     return _CUT.split(text) if _ODD_BLANKS.search(text) else text.split(" ")
@@ -67,17 +77,17 @@ class ChunkTable(dict):
 
     def __missing__(self, part):
         # two more places where a new pre-token always starts: a line end between
-        # words, and a stop after letters
-        lines = _LINE_END.split(part)
+        # words, and a run of punctuation marks after letters
+        lines = _LINE_END.split(part) if "\n" in part else ()
         if len(lines) > 1:  # a loop: a part may have any number of lines
             values = [self[lines[0]]]
             for line in lines[1:]:
                 values += self.first["\n"], self.first[line]
             return self.join(values)
-        if part[-1:] in _STOPS and part[:-1].isalpha():
-            value = self[part[:-1]] + self.first[part[-1]]
-        elif part.isalpha():  # one pre-token: the library's merges alone
-            value = self.encode([t.id for t in self.model.tokenize(self.blank + part.encode().decode("latin-1").translate(_BYTE_CHARS))])
+        if part.isalpha():  # one pre-token: the library's merges alone
+            value = self.encode([t.id for t in self.model.tokenize(self.blank + byte_chars(part))])
+        elif (word := part.rstrip(_MARKS)) != part and word.isalpha():
+            value = self[word] + self.first[part[len(word):]]
         else:
             value = self.encode(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids)
         if len(part) <= CACHED_CHARS:

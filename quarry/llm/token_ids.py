@@ -9,8 +9,8 @@ ascending document id, in shard order):
   and the shard's length at the end;
 - ``docs-00000.bin``: ``int64``, the document ids.
 
-The manifest (one row per shard) holds each shard's base: the number of ids in
-all shards before it, by prefix sum.  A document's global start is base +
+The manifest (one row per shard) holds the type of the ids and each shard's
+base: the number of ids in all shards before it, by prefix sum.  A document's global start is base +
 local offset, so shards are written independently and in one pass.
 
 A task writes temporary files and renames them when its shard is complete, so
@@ -55,18 +55,19 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
     shards by id and hash, so rows without an id, or of one id, fill more than
     one shard.  Null ids come first; null text is empty text, which still gets
     its end id.  Repeated rows are all written; other columns are ignored.  Only
-    the shard totals (one row per shard) reach the driver.  ``cached``: parts of
+    the shard totals (one row per shard) reach the driver, and the tokenizer is
+    loaded by the tasks alone.  ``cached``: parts of
     texts that a worker remembers (memory for time; the ids are the same).
     """
     spark = docs.sparkSession
     ship(spark)
     folder = out_dir or posix_scratch(spark, "ids")
-    vocab = chunks.load_tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True)
-    dtype = id_dtype(max(vocab, end_id + 1))
-    end = np.array([end_id], dtype).tobytes()
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = TaskContext.get().partitionId()
+        vocab = chunks.load_tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True)
+        dtype = id_dtype(max(vocab, end_id + 1))
+        end = np.array([end_id], dtype).tobytes()
         encoder = chunks.id_encoder(tokenizer_path, dtype, cached)
         width = np.dtype(dtype).itemsize
         final = _shard_files(folder, shard)
@@ -90,22 +91,22 @@ def write_archive(docs: DataFrame, tokenizer_path: str, out_dir: str | None = No
                 f.close()
         for k in _KINDS:
             os.replace(temporary[k], final[k])
-        yield pd.DataFrame({"shard": [shard], "n_docs": [n_docs], "n_ids": [position]})
+        yield pd.DataFrame({"shard": [shard], "n_docs": [n_docs], "n_ids": [position], "dtype": [dtype]})
 
     src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     totals = (src.withColumn("text_key", F.xxhash64("text"))
               .repartitionByRange(shards or shuffle_partitions(spark), "doc_id", "text_key")
               .sortWithinPartitions("doc_id", "text_key", "text").select("doc_id", "text")
-              .mapInPandas(write, "shard int, n_docs long, n_ids long").collect())
+              .mapInPandas(write, "shard int, n_docs long, n_ids long, dtype string").collect())
     base, rows = 0, []
     for r in sorted(totals, key=lambda r: r["shard"]):
-        rows.append((r["shard"], r["n_docs"], r["n_ids"], base))
+        rows.append((r["shard"], r["n_docs"], r["n_ids"], base, r["dtype"]))
         base += r["n_ids"]
-    return folder, spark.createDataFrame(rows, "shard int, n_docs long, n_ids long, base long")
+    return folder, spark.createDataFrame(rows, "shard int, n_docs long, n_ids long, base long, dtype string")
 
 
-def read_archive(spark: SparkSession, folder: str, manifest: DataFrame, dtype: str) -> DataFrame:
+def read_archive(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Documents of an archive, read through memory maps in blocks of
     ``BLOCK_DOCS``: ``doc_id``, ``start`` (global), ``n_tokens`` (with the end
     id), ``ids_crc32`` (of the ids as little-endian ``uint32``)."""
@@ -116,14 +117,14 @@ def read_archive(spark: SparkSession, folder: str, manifest: DataFrame, dtype: s
                 paths = _shard_files(folder, b.shard)
                 last = min(b.first + BLOCK_DOCS, b.n_docs)
                 offsets = np.memmap(paths["offsets"], "<i8", "r")[b.first:last + 1]
-                ids = np.memmap(paths["ids"], dtype, "r")
+                ids = np.memmap(paths["ids"], b.dtype, "r")
                 doc_ids = np.array(np.memmap(paths["docs"], "<i8", "r")[b.first:last])
                 crc = [zlib.crc32(ids[s:e].astype("<u4").tobytes()) for s, e in zip(offsets[:-1], offsets[1:])]
                 yield pd.DataFrame({"doc_id": doc_ids, "start": offsets[:-1] + b.base,
                                     "n_tokens": np.diff(offsets), "ids_crc32": np.array(crc, "int64")})
 
     blocks = (manifest.where("n_docs > 0")
-              .select("shard", "n_docs", "base",
+              .select("shard", "n_docs", "base", "dtype",
                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(BLOCK_DOCS).cast("long"))).alias("first"))
               .repartition(shuffle_partitions(spark)))
     rows = blocks.mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -134,5 +135,4 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 0, **kw) -> Da
     """Write the archive and read it back: one row per document.  An empty
     table gives an empty archive and an empty result."""
     folder, manifest = write_archive(docs, tokenizer_path, end_id=end_id, **kw)
-    vocab = chunks.load_tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True)
-    return read_archive(docs.sparkSession, folder, manifest, id_dtype(max(vocab, end_id + 1)))
+    return read_archive(docs.sparkSession, folder, manifest)

@@ -58,3 +58,32 @@ def test_rows_of_one_id_fill_several_shards(spark):
     _, manifest = token_ids.write_archive(docs, PATH, shards=8)
     assert sorted(r.n_docs > 0 for r in manifest.collect()).count(True) >= 6
     assert token_ids.token_ids(docs, PATH, shards=8).count() == 400
+
+
+def test_marks_after_letters_are_looked_up_apart():
+    encoder = chunks.ChunkEncoder(PATH, list, lambda v: sum(v, []))
+    asked = []
+
+    class Spied:
+        def encode(self, text, **kw):
+            asked.append(text)
+            return encoder.tokenizer.encode(text, **kw)
+
+    encoder.first.tokenizer = encoder.rest.tokenizer = Spied()
+    text = " ".join(f"{w}{m}" for m in ("***", "$$$", ".!!", ",%%%") for w in ("amber", "Ünder", "cióncoar", "漢字"))
+    assert encoder("x " + text) == ids("x " + text)
+    assert sorted(asked) == sorted(["***", "$$$", ".!!", ",%%%"])  # once each; the words by the merges alone
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("aZéß漢 \n'*$#!.,_<|>~1s")), max_size=40))
+def test_marks_encode_as_the_whole_text(text):
+    assert chunks.ChunkEncoder(PATH, list, lambda v: sum(v, []))(text) == ids(text)
+
+
+def test_the_driver_loads_no_tokenizer(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    chunks.load_tokenizer.cache_clear()
+    got = {r.doc_id: r.n_tokens for r in token_ids.token_ids(docs, PATH).collect()}
+    assert chunks.load_tokenizer.cache_info().misses == 0  # the tasks run in other processes
+    assert got == {1: len(ids("some text")) + 1, 2: 1}
