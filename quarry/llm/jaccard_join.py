@@ -53,7 +53,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from quarry.llm.common import arrow_rows, bounded, discard, join_unique, mix64, sent, ship, shuffle_partitions
+from quarry.llm.common import SENT_ROWS, arrow_rows, bounded, discard, join_unique, mix64, sent, ship, shuffle_partitions
 from quarry.llm.components import connected_components, merged
 from quarry.session import materialize
 
@@ -391,9 +391,10 @@ def _elements(docs: DataFrame, classes: DataFrame, sids: DataFrame, name: str) -
 
 
 def _ends(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the sets that the pairs (a, b) have."""
+    """Those of the sets that the pairs (a, b), a written table, have."""
     ends = pairs.select(F.col("a").alias("sid")).unionAll(pairs.select(F.col("b").alias("sid"))).distinct()
-    return sets.join(sent(ends), "sid", "left_semi")
+    # two ends a pair: few pairs need not be shuffled to know that their ends are few
+    return sets.join(F.broadcast(ends) if bounded(pairs, SENT_ROWS // 2) else sent(ends), "sid", "left_semi")
 
 
 def _sketched(pairs: DataFrame, sets: DataFrame, coarse: DataFrame | None = None) -> DataFrame:

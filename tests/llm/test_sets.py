@@ -3,8 +3,9 @@ import random
 import re
 
 from llm_fixtures import no_docs, odd_docs  # noqa: F401
-from quarry.llm import decontaminate, jaccard_join as J, mixing, warc
+from quarry.llm import components, decontaminate, jaccard_join as J, mixing, warc
 from quarry.llm.components import connected_components
+from quarry.session import materialize
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -82,6 +83,36 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def _task_counts(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        done = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return done, sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+
+
+def test_a_round_of_few_edges_shuffles_little(spark, monkeypatch):
+    """Of three edges, by the broadcast path and the shuffled one, with and without repeats."""
+    rows = [(1, 2), (3, 2), (8, 9), (2, 1), (1, 2), (4, 4)]
+    edges = materialize(spark.createDataFrame(rows, "a long, b long"), "test-edges")
+    hold = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in hold}
+    for k, v in hold.items():
+        spark.conf.set(k, v)
+    try:
+        got, tasks = _task_counts(spark, "few-edges", lambda: connected_components(edges).collect())
+        monkeypatch.setattr(components, "bounded", lambda df, limit: False)
+        many, shuffled = _task_counts(spark, "many-edges", lambda: connected_components(edges).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, many)) == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
+    assert tasks < 0.9 * shuffled
+
+
 def test_decontamination_of_odd_documents(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "ONE two three four five six seven eight nine ten"), (2, "no ID"), (3, None), (4, ""), (None, "漢字")],
                                   "item_id long, text string")
